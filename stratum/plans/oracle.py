@@ -143,3 +143,107 @@ def gold_ctes() -> list[str]:
 def round6(col: str) -> str:
     """Aggregated doubles are reported to 6 decimals (nudged off exact ties)."""
     return f"round({col} + 1e-9, 6) as {col}"
+
+
+# --- audit, checks, access ----------------------------------------------------------
+
+def bronze_ctes_raw(sources=("outlet", "portfolio", "matching")) -> list[str]:
+    return [bronze_cte(s) for s in sources]
+
+
+EXPECTED_CTE = (
+    "expected as (select s.source_name, m.market from "
+    "(select market from scope union all select * from (values ('USA'), ('GBR'), ('DEU')) r(market)) m, "
+    "(values ('outlet'), ('portfolio'), ('matching')) s(source_name))")
+
+ACTUAL_COVERAGE_CTE = "actual as (" + " union all ".join(
+    f"select '{s}' as source_name, upper(trim(market)) as market, count(*) as row_count, "
+    f"count(distinct source_file) as source_file_count from {s}_parsed group by upper(trim(market))"
+    for s in ("outlet", "portfolio", "matching")) + ")"
+
+COVERAGE_AUDIT_BODY = (
+    "select e.source_name, e.market, coalesce(a.row_count, 0) as row_count, "
+    "coalesce(a.source_file_count, 0) as source_file_count, "
+    "case when a.market is null then 'missing_expected_market' else 'present' end as coverage_status "
+    "from expected e left join actual a on e.source_name = a.source_name and e.market = a.market "
+    "order by e.source_name, e.market")
+
+MISSING_COVERAGE_BODY = (
+    "select e.source_name, e.market from expected e left join actual a "
+    "on e.source_name = a.source_name and e.market = a.market where a.market is null")
+
+DIM_MARKET_CTE = "dim_market as (select " + sk("market") + " as market_key, market, market_name from scope)"
+
+CHECK_CTE_NAMES = {
+    "stg_outlets": "stg_outlet", "stg_portfolio": "stg_portfolio", "stg_matching": "stg_matching",
+    "int_outlets_valid": "val_outlet", "int_portfolio_valid": "val_portfolio",
+    "int_matching_valid": "val_matching", "int_outlets_rejected": "rej_outlet",
+    "int_portfolio_rejected": "rej_portfolio", "int_matching_rejected": "rej_matching",
+    "fct_outlet_product_listing": "fct", "missing_source_coverage": "missing",
+}
+
+
+def _check_failures_sql(c) -> str:
+    t = CHECK_CTE_NAMES.get(c.model, c.model)
+    cols = ", ".join(c.columns)
+    if c.kind == "not_null":
+        return f"(select count(*) from {t} where {c.columns[0]} is null)"
+    if c.kind == "unique":
+        col = c.columns[0]
+        return (f"(select count(*) from (select {col} from {t} where {col} is not null "
+                f"group by {col} having count(*) > 1) x)")
+    if c.kind == "unique_combination":
+        return f"(select count(*) from (select {cols} from {t} group by {cols} having count(*) > 1) x)"
+    if c.kind == "accepted_values":
+        vals = ", ".join(_sql_str(v) for v in c.values)
+        return f"(select count(*) from (select distinct {cols} from {t}) x where {cols} not in ({vals}))"
+    if c.kind == "relationships":
+        p = CHECK_CTE_NAMES.get(c.parent, c.parent)
+        return (f"(select count(*) from {t} ch where ch.{cols} is not null and not exists "
+                f"(select 1 from {p} pa where pa.{c.parent_column} = ch.{cols}))")
+    if c.kind == "custom":
+        return f"(select count(*) from {t})"
+    raise ValueError(c.kind)
+
+
+def checks_sql(suite) -> str:
+    rows = " union all ".join(
+        f"select {_sql_str(c.check_name)} as check_name, {_sql_str(c.model)} as model, "
+        f"{_sql_str(','.join(c.columns))} as column_name, {_sql_str(c.severity)} as severity, "
+        f"cast({_check_failures_sql(c)} as bigint) as failures" for c in suite)
+    body = (f"select check_name, model, column_name, severity, failures, "
+            f"case when failures = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status "
+            f"from ({rows}) r")
+    missing = f"missing as ({MISSING_COVERAGE_BODY})"
+    return with_(gold_ctes() + [DIM_MARKET_CTE, EXPECTED_CTE, ACTUAL_COVERAGE_CTE, missing], body)
+
+
+ENT_CTE = ("ent as (select concat('RB_', replace(market, ' ', '_'), '_ANALYST') as role_name, market from scope "
+           "union all select 'RB_HQ_ANALYST' as role_name, market from scope)")
+
+ADMIN_ROLES_SQL = "('ACCOUNTADMIN', 'SYSADMIN', 'SECURITYADMIN')"
+
+
+def _policy(role: str, table_alias: str) -> str:
+    return (f"(exists (select 1 from ent where ent.role_name = '{role}' and ent.market = {table_alias}.market) "
+            f"or '{role}' in {ADMIN_ROLES_SQL})")
+
+
+def row_access_body(role: str, avg_cols) -> str:
+    excl = ", ".join(avg_cols)
+    rounded = ", ".join(round6(c) for c in avg_cols)
+    return f"select * exclude ({excl}), {rounded} from dim_outlet d where {_policy(role, 'd')}"
+
+
+def role_visibility_body(probe_roles) -> str:
+    probes = " union all ".join(f"select '{r}' as role_name" for r in probe_roles)
+    return (
+        f"select r.role_name as active_role, coalesce(array_to_string(list_sort(list(distinct d.market)), ','), '') "
+        f"as visible_markets from (select distinct role_name from (select role_name from ent union all {probes}) q) r "
+        f"left join dim_outlet d on (exists (select 1 from ent where ent.role_name = r.role_name "
+        f"and ent.market = d.market) or r.role_name in {ADMIN_ROLES_SQL}) group by r.role_name")
+
+
+def role_counts_body(role: str) -> str:
+    return (f"select market, count(*) as listing_count from fct f where {_policy(role, 'f')} "
+            f"group by market order by market")

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import conform, dims, facts, quality
-from ..sources import constants, standins
+from ..operators import access, audit, checks, conform, dims, facts, quality
+from ..session import shared_dir
+from ..sources import constants, layers, standins
 from . import build, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,16 +38,24 @@ def round6(df: DataFrame, cols) -> DataFrame:
     return df
 
 
-def _bronze(spark, sf_dir, sources=standins.SOURCES):
-    return {s: standins.parsed_standin(spark, sf_dir, s, with_raw=True) for s in sources}
+def _bronze(spark, sf_dir, sources=standins.SOURCES, materialized=()):
+    """Stand-in bronze per source.  Sources named in ``materialized`` are
+    written once as a bronze table (parquet in the shared folder), as real
+    bronze is, so several consumers in one plan scan it instead of
+    re-deriving it from the driver tables."""
+    out = {}
+    for s in sources:
+        df = standins.parsed_standin(spark, sf_dir, s, with_raw=True)
+        out[s] = layers.materialize(df, f"bronze-{s}") if s in materialized else df
+    return out
 
 
 def _scope(spark, sf_dir):
     return constants.scope_from_regions(spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet"))
 
 
-def _layers(spark, sf_dir) -> build.Layers:
-    return build.build(_bronze(spark, sf_dir), _scope(spark, sf_dir))
+def _layers(spark, sf_dir, materialized=("portfolio",)) -> build.Layers:
+    return build.build(_bronze(spark, sf_dir, materialized=materialized), _scope(spark, sf_dir))
 
 
 # --- gold --------------------------------------------------------------------
@@ -114,3 +123,104 @@ def _per_source(source: str):
 
 for _s in ("outlet", "portfolio", "matching"):
     _per_source(_s)
+
+
+# --- checks, audit, access ---------------------------------------------------------
+
+def _expected_scope(spark, sf_dir):
+    """Markets expected per source: the data's regions plus the reference's
+    three markets (absent from the stand-ins, so coverage gaps are real)."""
+    return _scope(spark, sf_dir).select("market").unionByName(
+        constants.reference_scope(spark).select("market"))
+
+
+@register("coverage_audit", oracle.with_(oracle.bronze_ctes_raw() + [oracle.SCOPE_CTE, oracle.EXPECTED_CTE,
+                                                                     oracle.ACTUAL_COVERAGE_CTE],
+                                         oracle.COVERAGE_AUDIT_BODY))
+def coverage_audit(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    return audit.coverage_audit(bronze, constants.expected_coverage(_expected_scope(spark, sf_dir)))
+
+
+@register("missing_coverage", oracle.with_(oracle.bronze_ctes_raw() + [oracle.SCOPE_CTE, oracle.EXPECTED_CTE,
+                                                                       oracle.ACTUAL_COVERAGE_CTE],
+                                           oracle.MISSING_COVERAGE_BODY))
+def missing_coverage(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    return audit.missing_coverage(bronze, constants.expected_coverage(_expected_scope(spark, sf_dir)))
+
+
+CHECK_MODELS = {
+    "stg_outlets": ("staged", "outlet"), "stg_portfolio": ("staged", "portfolio"),
+    "stg_matching": ("staged", "matching"),
+    "int_outlets_valid": ("valid", "outlet"), "int_portfolio_valid": ("valid", "portfolio"),
+    "int_matching_valid": ("valid", "matching"),
+    "int_outlets_rejected": ("rejected", "outlet"), "int_portfolio_rejected": ("rejected", "portfolio"),
+    "int_matching_rejected": ("rejected", "matching"),
+}
+
+
+def model_tables(lay: build.Layers) -> dict[str, DataFrame]:
+    tables = {name: getattr(lay, part)[src] for name, (part, src) in CHECK_MODELS.items()}
+    tables.update(lay.gold)
+    return tables
+
+
+ACCEPTED_MARKETS = tuple(m for m, _ in constants.REFERENCE_MARKETS)
+
+
+@register("checks_summary", oracle.checks_sql(checks.declared_suite(ACCEPTED_MARKETS)))
+def checks_summary(spark, sf_dir):
+    """The declared suite over every layer.  Layer tables are written once
+    to the shared folder, so ~80 checks read tables instead of re-deriving
+    the whole model per check."""
+    base = shared_dir(spark, "warehouse", unique=True)
+    bronze = _bronze(spark, sf_dir)
+    lay = build.build(bronze, _scope(spark, sf_dir), persist=layers.layer_persister(base))
+    tables = model_tables(lay)
+    tables["missing_source_coverage"] = audit.missing_coverage(
+        bronze, constants.expected_coverage(_expected_scope(spark, sf_dir)))
+    return checks.run_checks(checks.declared_suite(ACCEPTED_MARKETS), tables)
+
+
+ACCESS_ROLE = "RB_EUROPE_ANALYST"
+
+
+def _gold_with_access(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return lay, constants.entitlements(_scope(spark, sf_dir))
+
+
+@register("row_access", oracle.with_(oracle.gold_ctes() + [oracle.ENT_CTE],
+                                     oracle.row_access_body(ACCESS_ROLE, _AVG_COLS)))
+def row_access(spark, sf_dir):
+    b = _bronze(spark, sf_dir, ("outlet", "matching"))
+    v, _ = build.intermediate(build.silver(b))
+    d = round6(dims.dim_outlet(v["outlet"], v["matching"]), _AVG_COLS)
+    return access.restrict(d, constants.entitlements(_scope(spark, sf_dir)), ACCESS_ROLE)
+
+
+PROBE_ROLES = ("ACCOUNTADMIN", "RB_UNKNOWN_ROLE")
+
+
+@register("role_visibility", oracle.with_(oracle.layer_ctes(("outlet", "matching"))
+                                          + [oracle.SCOPE_CTE, oracle.DIM_OUTLET_CTE, oracle.ENT_CTE],
+                                          oracle.role_visibility_body(PROBE_ROLES)))
+def role_visibility(spark, sf_dir):
+    b = _bronze(spark, sf_dir, ("outlet", "matching"))
+    v, _ = build.intermediate(build.silver(b))
+    d = dims.dim_outlet(v["outlet"], v["matching"])
+    ents = constants.entitlements(_scope(spark, sf_dir))
+    roles = ents.select("role_name").unionByName(
+        spark.createDataFrame([(r,) for r in PROBE_ROLES], "role_name string"))
+    vis = access.visible_markets(d, ents, roles)
+    return vis.select(F.col("role_name").alias("active_role"),
+                      F.array_join("visible_markets", ",").alias("visible_markets"))
+
+
+@register("role_counts", oracle.with_(oracle.gold_ctes() + [oracle.ENT_CTE],
+                                      oracle.role_counts_body(constants.HQ_ROLE)))
+def role_counts(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    ents = constants.entitlements(_scope(spark, sf_dir))
+    return access.role_listing_counts(lay.gold["fct_outlet_product_listing"], ents, constants.HQ_ROLE)

@@ -162,8 +162,32 @@ def duckdb_sql(text: str) -> str:
     return text.format(**{t: t for t in DRIVER_TABLES})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A single-row-group file is read by one task and everything narrow above
+    it (projections, broadcast joins) would stay on that task.  Large inputs
+    have many splits and are left untouched, so this never adds a shuffle at
+    scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+# Dimension-sized driver tables are broadcast into the stand-in joins and
+# need no spreading.
+_SMALL = ("region", "nation")
+
+
 def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
+    return {t: (spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") if t in _SMALL
+                else read_table(spark, sf_dir, t)) for t in DRIVER_TABLES}
 
 
 def parsed_standin(spark: SparkSession, sf_dir: str, source: str,
@@ -171,7 +195,7 @@ def parsed_standin(spark: SparkSession, sf_dir: str, source: str,
     tables = driver_tables(spark, sf_dir)
     text = parsed_sql(source, "spark", with_raw)
     used = {t: df for t, df in tables.items() if "{" + t + "}" in text}
-    return spark.sql(text.replace("chr(9)", "char(9)"), **used)
+    return spark.sql(text, **used)
 
 
 def standin_bronze(spark: SparkSession, sf_dir: str, with_raw: bool = True) -> dict[str, DataFrame]:

@@ -247,3 +247,29 @@ def role_visibility_body(probe_roles) -> str:
 def role_counts_body(role: str) -> str:
     return (f"select market, count(*) as listing_count from fct f where {_policy(role, 'f')} "
             f"group by market order by market")
+
+
+# --- labels, json path, lineage -------------------------------------------------------
+
+def _class_text_sql() -> str:
+    from ..operators.labels import TEXT_PARTS
+    parts = ", ".join(f"{_sql_str(lbl)}, coalesce(cast({c} as varchar), '')" for lbl, c in TEXT_PARTS)
+    return f"concat({parts})"
+
+
+def scoped_cte() -> str:
+    from ..operators.labels import LISTING_COLUMNS
+    return (f"scoped as (select {', '.join(LISTING_COLUMNS)}, {_class_text_sql()} as classification_text "
+            f"from val_portfolio where coalesce(item_name, addon_text) is not null)")
+
+
+def labelled_cte(scored_at: str) -> str:
+    from ..operators.labels import NO_RULE, RULES, UNCLEAR
+    lab = "case " + " ".join(f"when {r.sql()} then {_sql_str(r.label)}" for r in RULES) + f" else '{UNCLEAR}' end"
+    rid = "case " + " ".join(f"when {r.sql()} then {_sql_str(r.rule_id)}" for r in RULES) + f" else '{NO_RULE}' end"
+    return (f"review as (select *, {lab} as predicted_label, {rid} as rule_id, "
+            f"cast(null as varchar) as manual_review_label, cast(null as varchar) as manual_review_notes, "
+            f"cast('{scored_at}' as timestamp) as scored_at from scoped)")
+
+
+SAMPLE_ORDER = "md5(concat_ws('|', market, source_file, cast(file_row_number as varchar)))"

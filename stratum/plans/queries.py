@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import access, audit, checks, conform, dims, facts, quality
+from ..operators import access, audit, checks, conform, dims, facts, labels, quality
 from ..session import shared_dir
-from ..sources import constants, layers, standins
+from ..sources import constants, layers, lineage, standins
 from . import build, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,97 @@ def role_counts(spark, sf_dir):
     lay = _layers(spark, sf_dir)
     ents = constants.entitlements(_scope(spark, sf_dir))
     return access.role_listing_counts(lay.gold["fct_outlet_product_listing"], ents, constants.HQ_ROLE)
+
+
+# --- labels -------------------------------------------------------------------------
+
+# Fixed scoring time of the registered runs (outputs carry no wall clock).
+SCORED_AT = "2024-06-02 00:00:00"
+
+
+def _valid_portfolio(spark, sf_dir):
+    staged = conform.stg_portfolio(standins.parsed_standin(spark, sf_dir, "portfolio", True))
+    return quality.split(staged, quality.PORTFOLIO_RULES)[0]
+
+
+def _review(spark, sf_dir):
+    scoped = labels.scope_sample(_valid_portfolio(spark, sf_dir), n=None)
+    return labels.to_review_table(labels.label(scoped), SCORED_AT)
+
+
+_LBL_CTES = oracle.layer_ctes(("portfolio",)) + [oracle.scoped_cte()]
+
+
+@register("class_text", oracle.with_(_LBL_CTES, "select market, source_file, file_row_number, "
+                                                "classification_text from scoped"))
+def class_text(spark, sf_dir):
+    return labels.scope_sample(_valid_portfolio(spark, sf_dir), n=None).select(
+        "market", "source_file", "file_row_number", "classification_text")
+
+
+@register("classify_rules", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)],
+                                         "select market, source_file, file_row_number, predicted_label, "
+                                         "rule_id from review"))
+def classify_rules(spark, sf_dir):
+    return _review(spark, sf_dir).select("market", "source_file", "file_row_number",
+                                         "predicted_label", "rule_id")
+
+
+@register("sample_scope", oracle.with_(_LBL_CTES, f"select * from scoped order by {oracle.SAMPLE_ORDER}, "
+                                                  "market, source_file, file_row_number limit 500"))
+def sample_scope(spark, sf_dir):
+    return labels.scope_sample(_valid_portfolio(spark, sf_dir), n=500)
+
+
+@register("label_counts", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)],
+                                       "select predicted_label, count(*) as row_count from review "
+                                       "group by predicted_label order by row_count desc, predicted_label"))
+def label_counts(spark, sf_dir):
+    return labels.label_counts(_review(spark, sf_dir))
+
+
+@register("label_recent", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)],
+                                       "select market, item_name, addon_text, menu_category, "
+                                       "drink_category_primary, drink_category_secondary, item_price, "
+                                       "predicted_label from review order by scored_at desc, market, "
+                                       "source_file, file_row_number limit 50"))
+def label_recent(spark, sf_dir):
+    return labels.recent(_review(spark, sf_dir), 50)
+
+
+# --- semi-structured path, lineage join, layer tables ------------------------------------
+
+@register("json_path", "select event_id, json_extract_string(props, '$.k') as k_text, "
+                       "json_extract_string(concat('{\"labels\":[\"', event_type, '\"]}'), '$.labels[0]') "
+                       "as first_label from events")
+def json_path(spark, sf_dir):
+    ev = standins.read_table(spark, sf_dir, "events")
+    doc = F.concat(F.lit('{"labels":["'), F.col("event_type"), F.lit('"]}'))
+    return ev.select("event_id", F.get_json_object("props", "$.k").alias("k_text"),
+                     F.get_json_object(doc, "$.labels[0]").alias("first_label"))
+
+
+@register("lineage_join", "select p.*, r.raw_data as raw_record from ("
+          + lineage.PARSED_SQL.format(orders="orders").replace(
+              "concat(' ', lower(o_orderstatus), ' ') as market", "upper(trim(concat(' ', lower(o_orderstatus), ' '))) as market")
+          + ") p left join (" + lineage.RAW_SQL["duckdb"].format(orders="orders") + ") r "
+          "on p.market = upper(trim(r.market)) and p.source_file = r.source_file "
+          "and p.file_row_number = r.file_row_number")
+def lineage_join(spark, sf_dir):
+    parsed, raw = lineage.lineage_pair(spark, sf_dir)
+    return conform.attach_raw(parsed, raw)
+
+
+@register("layer_roundtrip", oracle.with_(oracle.layer_ctes(("outlet",)) + [oracle.DIM_PLATFORM_CTE],
+                                          "select * from dim_platform"))
+def layer_roundtrip(spark, sf_dir):
+    """Create a gold table, replace it (insert overwrite), read it back with
+    the key columns first (``keys, *``)."""
+    base = shared_dir(spark, "warehouse", unique=True)
+    staged = conform.stg_outlets(standins.parsed_standin(spark, sf_dir, "outlet", True))
+    v, _ = quality.split(staged, quality.OUTLET_RULES)
+    d = dims.dim_platform(v)
+    layers.write_layer(d, base, "gold", "dim_platform")
+    back = layers.write_layer(d, base, "gold", "dim_platform", mode="overwrite")
+    keys = ["platform_key", "market_key"]
+    return back.select(*keys, *[c for c in back.columns if c not in keys])

@@ -273,3 +273,38 @@ def labelled_cte(scored_at: str) -> str:
 
 
 SAMPLE_ORDER = "md5(concat_ws('|', market, source_file, cast(file_row_number as varchar)))"
+
+
+# --- ingest -----------------------------------------------------------------------------
+
+def landed_ctes() -> list[str]:
+    from ..sources import landed_events
+    rows = landed_events.ROWS_SQL.format(events="events", region="region")
+    return [f"landed as ({rows})",
+            "numbered as (select *, row_number() over (partition by market, bucket order by seq) "
+            "+ coalesce(sum(length(line) - length(replace(line, chr(10), ''))) over (partition by market, bucket "
+            "order by seq rows between unbounded preceding and 1 preceding), 0) as file_row_number from landed)"]
+
+
+SOURCE_DIR_SQL = "concat('MATCHING/market=', market, '/bucket=', cast(bucket as varchar), '/')"
+
+
+def _null_if(x: str) -> str:
+    return f"case when {x} in ('NULL', 'null', '') then null else {x} end"
+
+
+def ingest_parsed_body(load_ts: str) -> str:
+    from ..sources.schemas import MATCHING_FIELDS
+    fields = ", ".join(f"{_null_if(f)} as {f}" for f in MATCHING_FIELDS)
+    return (f"select market, {SOURCE_DIR_SQL} as source_dir, file_row_number, "
+            f"cast('{load_ts}' as timestamp) as load_timestamp, {fields} from numbered")
+
+
+def ingest_raw_body(load_ts: str) -> str:
+    return (f"select market, {SOURCE_DIR_SQL} as source_dir, file_row_number, "
+            f"cast('{load_ts}' as timestamp) as load_timestamp, {_null_if('trim(line)')} as raw_data from numbered")
+
+
+FILE_REJECT_BODY = (f"select {SOURCE_DIR_SQL} as source_dir, 'UNBALANCED_QUOTES' as issue from "
+                    "(select market, bucket, sum(case when stray then 1 else 0 end) as n_stray from landed "
+                    "group by market, bucket) f where n_stray % 2 = 1")

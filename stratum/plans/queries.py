@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators import access, audit, checks, conform, dims, facts, labels, quality
 from ..session import shared_dir
-from ..sources import constants, layers, lineage, standins
+from ..sources import constants, ingest, landed_events, landing, layers, lineage, schemas, standins
+from ..streaming import file_ingest
 from . import build, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -318,3 +319,47 @@ def layer_roundtrip(spark, sf_dir):
     back = layers.write_layer(d, base, "gold", "dim_platform", mode="overwrite")
     keys = ["platform_key", "market_key"]
     return back.select(*keys, *[c for c in back.columns if c not in keys])
+
+
+# --- ingest (files landed from the driver tables, then loaded) -----------------------------
+
+def _land_events(spark, sf_dir, with_stray=False) -> str:
+    root = shared_dir(spark, "landing", unique=True)
+    landing.write_landing(landed_events.landing_rows(spark, sf_dir, with_stray), root, "matching")
+    return root
+
+
+def _source_dir(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_dir", F.regexp_replace("source_file", "[^/]*$", ""))
+
+
+_PARSED_OUT = ["market", "source_dir", "file_row_number", "load_timestamp", *schemas.MATCHING_FIELDS]
+_TS = landed_events.INGEST_LOAD_TS
+
+
+@register("ingest_parsed", oracle.with_(oracle.landed_ctes(), oracle.ingest_parsed_body(_TS)))
+def ingest_parsed(spark, sf_dir):
+    load = ingest.ingest(spark, _land_events(spark, sf_dir), "matching", _TS)
+    return _source_dir(load.parsed).select(*_PARSED_OUT)
+
+
+@register("ingest_raw", oracle.with_(oracle.landed_ctes(), oracle.ingest_raw_body(_TS)))
+def ingest_raw(spark, sf_dir):
+    load = ingest.ingest(spark, _land_events(spark, sf_dir), "matching", _TS)
+    return _source_dir(load.raw).select("market", "source_dir", "file_row_number", "load_timestamp", "raw_data")
+
+
+@register("file_reject", oracle.with_(oracle.landed_ctes()[:1], oracle.FILE_REJECT_BODY))
+def file_reject(spark, sf_dir):
+    load = ingest.ingest(spark, _land_events(spark, sf_dir, with_stray=True), "matching", _TS)
+    return _source_dir(load.file_issues).select("source_dir", "issue")
+
+
+@register("ingest_stream", oracle.with_(oracle.landed_ctes(), oracle.ingest_parsed_body(_TS)))
+def ingest_stream(spark, sf_dir):
+    """The same landed files loaded by the streaming ingest (availableNow)."""
+    root = _land_events(spark, sf_dir)
+    out = shared_dir(spark, "bronze_stream", unique=True)
+    q = file_ingest.stream_bronze(spark, root, "matching", out, f"{out}/_checkpoint", load_ts=_TS)
+    q.awaitTermination()
+    return _source_dir(file_ingest.read_bronze(spark, out, "parsed")).select(*_PARSED_OUT)

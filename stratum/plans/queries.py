@@ -8,6 +8,7 @@ matching DuckDB SQL (same column names) where one exists.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with standins.table_scope(spark, sf_dir):
+                return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -39,24 +45,29 @@ def round6(df: DataFrame, cols) -> DataFrame:
     return df
 
 
-def _bronze(spark, sf_dir, sources=standins.SOURCES, materialized=()):
+def _bronze(spark, sf_dir, sources=standins.SOURCES, materialized=(), with_raw=True):
     """Stand-in bronze per source.  Sources named in ``materialized`` are
     written once as a bronze table (parquet in the shared folder), as real
-    bronze is, so several consumers in one plan scan it instead of
-    re-deriving it from the driver tables."""
-    out = {}
-    for s in sources:
-        df = standins.parsed_standin(spark, sf_dir, s, with_raw=True)
-        out[s] = layers.materialize(df, f"bronze-{s}") if s in materialized else df
+    bronze is, so the several consumers in one gold plan scan a table
+    instead of re-deriving the stand-in from the driver tables each time."""
+    out = {s: standins.parsed_standin(spark, sf_dir, s, with_raw=with_raw) for s in sources}
+    todo = [s for s in sources if s in materialized]
+    if todo:
+        # Independent writes: submitted together so their stages share the cores.
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            done = pool.map(lambda s: (s, layers.materialize(out[s], f"bronze-{s}")), todo)
+            out.update(dict(done))
     return out
 
 
 def _scope(spark, sf_dir):
-    return constants.scope_from_regions(spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet"))
+    return constants.scope_from_regions(standins.read_table(spark, sf_dir, "region"))
 
 
-def _layers(spark, sf_dir, materialized=("portfolio",)) -> build.Layers:
-    return build.build(_bronze(spark, sf_dir, materialized=materialized), _scope(spark, sf_dir))
+def _layers(spark, sf_dir, materialized=standins.SOURCES) -> build.Layers:
+    """Gold build: raw lineage text is not read by any gold model, so the
+    stand-in bronze is written without it."""
+    return build.build(_bronze(spark, sf_dir, materialized=materialized, with_raw=False), _scope(spark, sf_dir))
 
 
 # --- gold --------------------------------------------------------------------

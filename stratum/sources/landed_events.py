@@ -29,7 +29,7 @@ INGEST_LOAD_TS = "2024-06-03 00:00:00"
 
 def landing_rows(spark: SparkSession, sf_dir: str, with_stray: bool = False) -> DataFrame:
     rows = spark.sql(ROWS_SQL, events=standins.read_table(spark, sf_dir, "events"),
-                     region=spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet"))
+                     region=standins.read_table(spark, sf_dir, "region"))
     if with_stray:
         from pyspark.sql import functions as F
         rows = rows.withColumn("line", F.concat("line", F.when(F.col("stray"), F.lit('"')).otherwise(F.lit(""))))

@@ -10,6 +10,9 @@ bronze rows.  Every stand-in scales with the table it is derived from.
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .schemas import SOURCE_FIELDS
@@ -176,25 +179,58 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
 # Dimension-sized driver tables are broadcast into the stand-in joins and
 # need no spreading.
 _SMALL = ("region", "nation")
 
 
-def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: (spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") if t in _SMALL
-                else read_table(spark, sf_dir, t)) for t in DRIVER_TABLES}
+class DriverTables:
+    """The driver tables of one scale factor, each read (and spread) once
+    per query build, and only when a plan uses it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._cache = spark, sf_dir.rstrip("/"), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = df if name in _SMALL else spread(df)
+        return self._cache[name]
+
+
+_ACTIVE = threading.local()
+
+
+@contextmanager
+def table_scope(spark: SparkSession, sf_dir: str):
+    """Within the block, every stand-in of (spark, sf_dir) shares one
+    DriverTables, so a query build reads each table's footer once."""
+    prev = getattr(_ACTIVE, "tables", None)
+    _ACTIVE.tables = DriverTables(spark, sf_dir)
+    try:
+        yield _ACTIVE.tables
+    finally:
+        _ACTIVE.tables = prev
+
+
+def _tables(spark, sf_dir, tables=None) -> DriverTables:
+    if tables is not None:
+        return tables
+    active = getattr(_ACTIVE, "tables", None)
+    if active is not None and active.spark is spark and active.sf_dir == sf_dir.rstrip("/"):
+        return active
+    return DriverTables(spark, sf_dir)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _tables(spark, sf_dir)[name]
 
 
 def parsed_standin(spark: SparkSession, sf_dir: str, source: str,
-                   with_raw: bool = False) -> DataFrame:
-    tables = driver_tables(spark, sf_dir)
+                   with_raw: bool = False, tables: DriverTables | None = None) -> DataFrame:
+    tables = _tables(spark, sf_dir, tables)
     text = parsed_sql(source, "spark", with_raw)
-    used = {t: df for t, df in tables.items() if "{" + t + "}" in text}
+    used = {t: tables[t] for t in DRIVER_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 

@@ -37,7 +37,6 @@ from ..functions.text import NULL_TOKENS, null_if_token
 from .schemas import RAW_SCHEMA, SOURCE_FOLDERS, payload_schema
 
 QUOTE = '"'
-REPLACEMENT_CHAR = "\ufffd"
 BOM = "\ufeff"
 
 # File-level issue codes.
@@ -74,7 +73,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     splits = (lines.groupBy("file_path", "block_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"),
                    F.sum("_q").alias("_qs"), F.sum((F.col("_q") % 2).cast("long")).alias("_odd"),
-                   F.max(F.instr("value", REPLACEMENT_CHAR) > 0).alias("_enc")))
+                   F.max(~F.is_valid_utf8("value")).alias("_enc")))
     by_file = Window.partitionBy("file_path").orderBy("block_start")
     whole = Window.partitionBy("file_path")
     splits = (splits

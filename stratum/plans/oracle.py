@@ -308,3 +308,87 @@ def ingest_raw_body(load_ts: str) -> str:
 FILE_REJECT_BODY = (f"select {SOURCE_DIR_SQL} as source_dir, 'UNBALANCED_QUOTES' as issue from "
                     "(select market, bucket, sum(case when stray then 1 else 0 end) as n_stray from landed "
                     "group by market, bucket) f where n_stray % 2 = 1")
+
+
+# --- monitoring extensions -------------------------------------------------------------------
+
+def _rate_sql(num: str, den: str) -> str:
+    return f"round(cast({num} as double) / nullif(cast({den} as double), 0) + 1e-9, 6)"
+
+
+def layer_counts_body() -> str:
+    parts = []
+    for s in ("outlet", "portfolio", "matching"):
+        parts += [f"select '{s}' as source_name, upper(trim(market)) as market, 'bronze' as layer, count(*) as n "
+                  f"from {s}_parsed group by 2",
+                  f"select '{s}', market, 'valid', count(*) from val_{s} group by 2",
+                  f"select '{s}', market, 'rejected', count(*) from rej_{s} group by 2"]
+    parts.append("select 'portfolio', market, 'gold', count(*) from fct group by 2")
+    cols = ", ".join(f"cast(coalesce(sum(case when layer = '{lay}' then n end), 0) as bigint) as {lay}_rows"
+                     for lay in ("bronze", "valid", "rejected", "gold"))
+    return f"select source_name, market, {cols} from ({' union all '.join(parts)}) x group by source_name, market"
+
+
+REJECT_TREND_BODY = " union all ".join(
+    f"select '{s}' as source_name, date_trunc('day', load_timestamp) as load_period, error_code, "
+    f"count(*) as rejected_rows from rej_{s} group by 2, 3" for s in ("outlet", "portfolio", "matching"))
+
+JOIN_COVERAGE_BODY = (
+    "select l.market, count(*) as listings, count(k.hit) as matched_listings, "
+    + _rate_sql("count(k.hit)", "count(*)") + " as coverage_rate "
+    "from (select market, id_ext_link from val_portfolio where id_outlet is not null and id_beverage is not null) l "
+    "left join (select distinct market, id_ext_link, 1 as hit from dim_outlet) k "
+    "on l.market = k.market and l.id_ext_link = k.id_ext_link group by l.market")
+
+
+def freshness_body(as_of: str, max_age_hours: float) -> str:
+    parts = " union all ".join(
+        f"select '{s}' as source_name, upper(trim(market)) as market, max(load_timestamp) as last_load, "
+        f"count(distinct source_file) as source_files from {s}_parsed group by 2"
+        for s in ("outlet", "portfolio", "matching"))
+    age = f"round((epoch_us(cast('{as_of}' as timestamp)) - epoch_us(last_load)) / 3.6e9, 3)"
+    return (f"select source_name, market, last_load, source_files, {age} as age_hours, "
+            f"case when {age} <= {max_age_hours} then 'fresh' else 'stale' end as freshness_status from ({parts}) f")
+
+
+def score_incremental_body(cutoff: str) -> str:
+    text = _class_text_sql()
+    prev = (f"select market, source_file, file_row_number, case when file_row_number % 7 = 0 "
+            f"then concat({text}, ' (old)') else {text} end as classification_text "
+            f"from val_portfolio where coalesce(item_name, addon_text) is not null "
+            f"and created_at < cast('{cutoff}' as timestamp)")
+    return (f"select s.* from scoped s where not exists (select 1 from ({prev}) p where p.market = s.market "
+            f"and p.source_file = s.source_file and p.file_row_number = s.file_row_number "
+            f"and sha256(p.classification_text) = sha256(s.classification_text))")
+
+
+def review_metrics_body(manual_sql: str) -> str:
+    m = f"({manual_sql})"
+    reviewed = f"{m} is not null"
+    return (
+        "select market, count(*) as scored_rows, "
+        f"sum(case when {reviewed} then 1 else 0 end) as reviewed_rows, "
+        + _rate_sql(f"sum(case when {reviewed} and predicted_label = {m} then 1 else 0 end)",
+                    f"sum(case when {reviewed} then 1 else 0 end)") + " as agreement_rate, "
+        + _rate_sql(f"sum(case when {reviewed} and predicted_label = 'meal_or_combo_with_drink' and {m} = "
+                    f"'meal_or_combo_with_drink' then 1 else 0 end)",
+                    f"sum(case when {reviewed} and predicted_label = 'meal_or_combo_with_drink' then 1 else 0 end)")
+        + " as precision_positive, "
+        + _rate_sql(f"sum(case when {reviewed} and predicted_label = 'meal_or_combo_with_drink' and {m} = "
+                    f"'meal_or_combo_with_drink' then 1 else 0 end)",
+                    f"sum(case when {reviewed} and {m} = 'meal_or_combo_with_drink' then 1 else 0 end)")
+        + " as recall_positive, "
+        + _rate_sql("sum(case when predicted_label = 'unclear_needs_review' then 1 else 0 end)", "count(*)")
+        + " as review_rate from review group by market")
+
+
+DIM_HISTORY_BODY = (
+    "select market, id_beverage, item_name, menu_category, has_addon_prompt, valid_from, "
+    "lead(valid_from) over w as valid_to, lead(valid_from) over w is null as is_current from ("
+    "select *, lag(_sig) over w as _prev from (select *, concat_ws('|', coalesce(cast(item_name as varchar), '<null>'), "
+    "coalesce(cast(menu_category as varchar), '<null>'), coalesce(cast(has_addon_prompt as varchar), '<null>')) as _sig "
+    "from (select distinct market, id_beverage, created_at as valid_from, item_name, menu_category, has_addon_prompt "
+    "from val_portfolio where id_beverage is not null and created_at is not null) v) s "
+    "window w as (partition by market, id_beverage order by valid_from, _sig)) c "
+    "where _prev is null or _prev <> _sig "
+    "window w as (partition by market, id_beverage order by valid_from, _sig)")

@@ -60,6 +60,13 @@ def rejected(staged: DataFrame, rules) -> DataFrame:
             .select(*KEYS, "error_code", "error_reason", "raw_record", "load_timestamp", *data))
 
 
+def _any_null(cols) -> Column:
+    out = F.col(cols[0]).isNull()
+    for c in cols[1:]:
+        out = out | F.col(c).isNull()
+    return out
+
+
 def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     """int_*_valid: staged rows whose row key has no rejected row.
 
@@ -68,10 +75,22 @@ def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     every row sharing its key; a rejected row with a NULL key part matches
     nothing and so also stays valid.  The rejected key set is usually small
     and AQE turns the join into a broadcast at runtime; when it is not, it
-    is a sort-merge anti join on three high-cardinality keys (skewed
-    partitions are split by AQE).
+    is a sort-merge anti join on three high-cardinality keys.
+
+    Rows with a NULL key part can never match, but they would all hash to
+    one partition.  A fourth join column salts them: 0 for keyed rows, a
+    row hash otherwise -- they spread over all partitions, still match
+    nothing, and no extra scan is needed.  The same expression is used on
+    both sides so the optimizer cannot fold it into a constant.
     """
-    return staged.join(rejected_rows.select(*KEYS), KEYS, "left_anti")
+    left = staged.withColumn("_null_salt", _null_salt(staged.columns))
+    bad_keys = (rejected_rows.select(*KEYS, "raw_record")
+                .withColumn("_null_salt", _null_salt(KEYS + ["raw_record"])).drop("raw_record"))
+    return left.join(bad_keys, KEYS + ["_null_salt"], "left_anti").drop("_null_salt")
+
+
+def _null_salt(cols) -> Column:
+    return F.when(_any_null(KEYS), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("long"))
 
 
 def split(staged: DataFrame, rules) -> tuple[DataFrame, DataFrame]:

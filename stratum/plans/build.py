@@ -8,6 +8,7 @@ re-expanding every upstream view, as the reference's all-view design does.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -47,14 +48,38 @@ def gold(valid: dict[str, DataFrame], scope: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _keep_all(persist, items: dict[str, tuple[DataFrame, str, str]]) -> dict[str, DataFrame]:
+    """Persist independent tables of one layer together: their jobs are
+    submitted concurrently and share the cluster instead of queueing."""
+    if not items:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(8, len(items))) as pool:
+        futures = {k: pool.submit(persist, df, layer, name) for k, (df, layer, name) in items.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def build(bronze: dict[str, DataFrame], scope: DataFrame, raw: dict[str, DataFrame] | None = None,
           persist=None) -> Layers:
     """All layers.  ``persist(df, layer, name) -> DataFrame`` materialises a
-    layer table and returns a DataFrame reading it back (see sources.layers)."""
-    keep = persist or (lambda df, layer, name: df)
-    staged = {s: keep(df, "silver", f"stg_{s}") for s, df in silver(bronze, raw).items()}
+    layer table and returns a DataFrame reading it back (see sources.layers);
+    each layer is then built from the persisted tables of the layer below,
+    so every upstream table is computed once."""
+    if persist is None:
+        staged = silver(bronze, raw)
+        valid, rejected = intermediate(staged)
+        return Layers(staged, valid, rejected, gold(valid, scope))
+    staged = _keep_all(persist, {s: (df, "silver", f"stg_{s}") for s, df in silver(bronze, raw).items()})
     valid, rejected = intermediate(staged)
-    valid = {s: keep(df, "silver", f"int_{s}_valid") for s, df in valid.items()}
-    rejected = {s: keep(df, "silver", f"int_{s}_rejected") for s, df in rejected.items()}
-    g = {n: keep(df, "gold", n) for n, df in gold(valid, scope).items()}
-    return Layers(staged, valid, rejected, g)
+    kept = _keep_all(persist, {**{("v", s): (df, "silver", f"int_{s}_valid") for s, df in valid.items()},
+                               **{("r", s): (df, "silver", f"int_{s}_rejected") for s, df in rejected.items()}})
+    valid = {s: kept[("v", s)] for s in valid}
+    rejected = {s: kept[("r", s)] for s in rejected}
+    d = _keep_all(persist, {
+        "dim_market": (dims.dim_market(scope), "gold", "dim_market"),
+        "dim_platform": (dims.dim_platform(valid["outlet"]), "gold", "dim_platform"),
+        "dim_outlet": (dims.dim_outlet(valid["outlet"], valid["matching"]), "gold", "dim_outlet"),
+        "dim_product": (dims.dim_product(valid["portfolio"]), "gold", "dim_product"),
+    })
+    fact = facts.fct_listing(valid["portfolio"], d["dim_outlet"], d["dim_product"])
+    d["fct_outlet_product_listing"] = persist(fact, "gold", "fct_outlet_product_listing")
+    return Layers(staged, valid, rejected, d)

@@ -67,7 +67,32 @@ def _prev_sum(col: str, w) -> Column:
     return F.coalesce(F.sum(col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
+# A per-split table row is a file path plus a few longs; 256 bytes is a
+# generous bound.  Up to ~1M splits (~128 TB at 128 MB splits) it is broadcast.
+SPLIT_ROW_BYTES = 256
+MAX_SPLIT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def split_count_bound(lines: DataFrame) -> int | None:
+    """Upper bound on the number of file splits behind ``lines``, from
+    planning metadata only (no job): splits <= scan partitions + files,
+    since a split never exceeds a partition and each file adds at most one
+    partial split."""
+    try:
+        return lines.rdd.getNumPartitions() + len(lines.inputFiles())
+    except Exception:  # noqa: BLE001 - e.g. a source without a file listing
+        return None
+
+
+def _small(splits: DataFrame, bound: int | None) -> DataFrame:
+    """Broadcast a per-split table only behind its proven size bound;
+    beyond it the join is left to AQE (shuffle join)."""
+    if bound is not None and bound * SPLIT_ROW_BYTES <= MAX_SPLIT_BROADCAST_BYTES:
+        return F.broadcast(splits)
+    return splits
+
+
+def number_lines(lines: DataFrame, bound: int | None = None) -> DataFrame:
     """Add ``line_no`` (0-based in the file), quote counts and file stats."""
     lines = lines.withColumn("_q", _quotes(F.col("value")))
     splits = (lines.groupBy("file_path", "block_start")
@@ -83,12 +108,11 @@ def number_lines(lines: DataFrame) -> DataFrame:
               .withColumn("_file_odd_lines", F.sum("_odd").over(whole))
               .withColumn("_file_bad_enc", F.max("_enc").over(whole))
               .drop("_n", "_qs", "_odd", "_enc"))
-    # One row per split: small, and AQE broadcasts it when its measured size allows.
-    return (lines.join(splits, ["file_path", "block_start"])
+    return (lines.join(_small(splits, bound), ["file_path", "block_start"])
             .withColumn("line_no", F.col("_line0") + F.col("_id") - F.col("_id0")))
 
 
-def assemble_records(numbered: DataFrame) -> DataFrame:
+def assemble_records(numbered: DataFrame, bound: int | None = None) -> DataFrame:
     """file_path, record_line, record, bad-file flags: one row per record."""
     flags = ["_file_quotes", "_file_odd_lines", "_file_bad_enc"]
     simple = (numbered.filter(F.col("_file_odd_lines") == 0)
@@ -103,7 +127,7 @@ def assemble_records(numbered: DataFrame) -> DataFrame:
     starts = (multi.groupBy("file_path", "block_start").agg(F.sum(F.col("_start").cast("long")).alias("_ns"))
               .withColumn("_soff", _prev_sum("_ns", Window.partitionBy("file_path").orderBy("block_start")))
               .drop("_ns"))
-    multi = (multi.join(starts, ["file_path", "block_start"])
+    multi = (multi.join(_small(starts, bound), ["file_path", "block_start"])
              .withColumn("_record_id", F.col("_soff") + F.col("_starts")))
     grouped = (multi.groupBy("file_path", "_record_id")
                .agg(F.min("line_no").alias("record_line"),
@@ -142,7 +166,8 @@ def land(spark: SparkSession, root: str, source: str) -> Landed:
 def land_lines(lines: DataFrame, root: str) -> Landed:
     """Records from a lines frame (value, file_path, block_start, _id); also
     used on each micro-batch of the streaming ingest."""
-    recs = assemble_records(number_lines(lines))
+    bound = split_count_bound(lines)
+    recs = assemble_records(number_lines(lines, bound), bound)
     rel = _relative(F.col("file_path"), root)
     unbalanced = (F.col("_file_quotes") % 2) == 1
     recs = recs.select(

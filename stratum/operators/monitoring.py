@@ -35,7 +35,9 @@ def layer_counts(per_layer: dict[str, dict[str, DataFrame]]) -> DataFrame:
 
 def reject_trend(rejected: dict[str, DataFrame], unit: str = "day") -> DataFrame:
     """Rejected rows per source, load period and error code."""
-    parts = [df.groupBy(F.date_trunc(unit, "load_timestamp").alias("load_period"), "error_code")
+    # date_trunc yields a session-zone timestamp; back to wall-clock ntz.
+    period = F.date_trunc(unit, "load_timestamp").cast("timestamp_ntz")
+    parts = [df.groupBy(period.alias("load_period"), "error_code")
              .agg(F.count(F.lit(1)).alias("rejected_rows"))
              .select(F.lit(src).alias("source_name"), "load_period", "error_code", "rejected_rows")
              for src, df in rejected.items()]
@@ -67,7 +69,7 @@ def freshness(bronze: dict[str, DataFrame], as_of, max_age_hours: float = 24.0)
              .select(F.lit(src).alias("source_name"), "market", "last_load", "source_files")
              for src, df in bronze.items()]
     out = reduce(DataFrame.unionByName, parts)
-    age = (F.unix_micros(F.to_timestamp(ts)) - F.unix_micros(F.to_timestamp("last_load"))) / F.lit(3.6e9)
+    age = F.timestamp_diff("MICROSECOND", F.col("last_load"), ts) / F.lit(3.6e9)
     return (out.withColumn("age_hours", F.round(age, 3))
             .withColumn("freshness_status",
                         F.when(F.col("age_hours") <= F.lit(max_age_hours), F.lit("fresh")).otherwise(F.lit("stale"))))

@@ -101,6 +101,8 @@ def dim_product(valid_portfolio: DataFrame) -> DataFrame:
            .select(*_PRODUCT_COLS, "load_timestamp", "source_file", "file_row_number"))
     latest = latest_per_key(src, ["market", "id_beverage"], [
         F.col("created_at").desc_nulls_last(), F.col("load_timestamp").desc_nulls_first(),
-        F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last()])
+        F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last(),
+        # a row key can repeat: end with the row content so no tie is left open
+        *[F.col(c).asc_nulls_last() for c in _PRODUCT_COLS[2:]]])
     return latest.select(surrogate_key("market", "id_beverage").alias("product_key"),
                          surrogate_key("market").alias("market_key"), *_PRODUCT_COLS)

@@ -96,8 +96,18 @@ def scope_sample(valid_portfolio: DataFrame, market: str | None = None, n: int |
           .withColumn("classification_text", classification_text(valid_portfolio)))
     if n is None:
         return df
-    order = F.md5(F.concat_ws("|", "market", "source_file", F.col("file_row_number").cast("string")))
-    return df.orderBy(order, "market", "source_file", "file_row_number").limit(n)
+    return df.orderBy(*sample_order()).limit(n)
+
+
+# Rows may share a row key (a file re-landed), so every order that feeds a
+# limit ends with the full row content: the result never depends on ties.
+TIE_BREAK = ["classification_text", "id_beverage", "id_outlet", "id_drink"]
+
+
+def sample_order():
+    """Stable pseudo-random order: hash of the row key, then the row itself."""
+    h = F.md5(F.concat_ws("|", "market", "source_file", F.col("file_row_number").cast("string")))
+    return [h] + [F.col(c).asc_nulls_last() for c in ["market", "source_file", "file_row_number", *TIE_BREAK]]
 
 
 def _verdict() -> Column:
@@ -151,7 +161,9 @@ def label_counts(review: DataFrame) -> DataFrame:
 def recent(review: DataFrame, n: int = 50) -> DataFrame:
     """The n most recently scored rows (row key breaks ties: scored_at is
     one value per run).  Planned as TakeOrderedAndProject."""
-    return (review.orderBy(F.col("scored_at").desc(), "market", "source_file", "file_row_number")
+    order = [F.col("scored_at").desc_nulls_last()] + [
+        F.col(c).asc_nulls_last() for c in ["market", "source_file", "file_row_number", *TIE_BREAK]]
+    return (review.orderBy(*order)
             .limit(n)
             .select("market", "item_name", "addon_text", "menu_category", "drink_category_primary",
                     "drink_category_secondary", "item_price", "predicted_label"))

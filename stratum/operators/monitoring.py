@@ -92,8 +92,7 @@ def to_score(scoped: DataFrame, predictions: DataFrame, budget: int | None = Non
             .join(seen, keys + ["_h"], "left_anti").drop("_h"))
     if budget is None:
         return todo
-    order = F.md5(F.concat_ws("|", "market", "source_file", F.col("file_row_number").cast("string")))
-    return todo.orderBy(order, *keys).limit(budget)
+    return todo.orderBy(*labels.sample_order()).limit(budget)
 
 
 def review_metrics(review: DataFrame, positive: str = labels.MEAL) -> DataFrame:

@@ -59,21 +59,27 @@ def _keep_all(persist, items: dict[str, tuple[DataFrame, str, str]]) -> dict[str
 
 
 def build(bronze: dict[str, DataFrame], scope: DataFrame, raw: dict[str, DataFrame] | None = None,
-          persist=None) -> Layers:
+          persist=None, persist_staged: bool = True, persist_rejected: bool = True) -> Layers:
     """All layers.  ``persist(df, layer, name) -> DataFrame`` materialises a
     layer table and returns a DataFrame reading it back (see sources.layers);
     each layer is then built from the persisted tables of the layer below,
-    so every upstream table is computed once."""
+    so every upstream table is computed once.  Staged and rejected tables
+    can stay views when bronze is already a table (they are one cheap
+    projection / filter of it)."""
     if persist is None:
         staged = silver(bronze, raw)
         valid, rejected = intermediate(staged)
         return Layers(staged, valid, rejected, gold(valid, scope))
-    staged = _keep_all(persist, {s: (df, "silver", f"stg_{s}") for s, df in silver(bronze, raw).items()})
+    staged = silver(bronze, raw)
+    if persist_staged:
+        staged = _keep_all(persist, {s: (df, "silver", f"stg_{s}") for s, df in staged.items()})
     valid, rejected = intermediate(staged)
-    kept = _keep_all(persist, {**{("v", s): (df, "silver", f"int_{s}_valid") for s, df in valid.items()},
-                               **{("r", s): (df, "silver", f"int_{s}_rejected") for s, df in rejected.items()}})
+    items = {("v", s): (df, "silver", f"int_{s}_valid") for s, df in valid.items()}
+    if persist_rejected:
+        items.update({("r", s): (df, "silver", f"int_{s}_rejected") for s, df in rejected.items()})
+    kept = _keep_all(persist, items)
     valid = {s: kept[("v", s)] for s in valid}
-    rejected = {s: kept[("r", s)] for s in rejected}
+    rejected = {s: kept.get(("r", s), df) for s, df in rejected.items()}
     d = _keep_all(persist, {
         "dim_market": (dims.dim_market(scope), "gold", "dim_market"),
         "dim_platform": (dims.dim_platform(valid["outlet"]), "gold", "dim_platform"),

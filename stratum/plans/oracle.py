@@ -119,7 +119,9 @@ DIM_PRODUCT_CTE = (
     "dim_product as (select " + sk("market", "id_beverage") + " as product_key, " + sk("market")
     + " as market_key, " + _PRODUCT_COLS + " from (select *, row_number() over (partition by market, "
     "id_beverage order by created_at desc nulls last, load_timestamp desc nulls first, "
-    "source_file asc nulls last, file_row_number asc nulls last) as row_num from val_portfolio "
+    "source_file asc nulls last, file_row_number asc nulls last, "
+    + ", ".join(f"{c.strip()} asc nulls last" for c in _PRODUCT_COLS.split(",")[2:])
+    + ") as row_num from val_portfolio "
     "where id_beverage is not null) d where row_num = 1)")
 
 FACT_CTE = (
@@ -272,7 +274,13 @@ def labelled_cte(scored_at: str) -> str:
             f"cast('{scored_at}' as timestamp) as scored_at from scoped)")
 
 
-SAMPLE_ORDER = "md5(concat_ws('|', market, source_file, cast(file_row_number as varchar)))"
+SAMPLE_ORDER = ("md5(concat_ws('|', market, source_file, cast(file_row_number as varchar))), "
+                + ", ".join(f"{c} asc nulls last" for c in ("market", "source_file", "file_row_number",
+                                                             "classification_text", "id_beverage",
+                                                             "id_outlet", "id_drink")))
+RECENT_ORDER = "scored_at desc nulls last, " + ", ".join(
+    f"{c} asc nulls last" for c in ("market", "source_file", "file_row_number", "classification_text",
+                                    "id_beverage", "id_outlet", "id_drink"))
 
 
 # --- ingest -----------------------------------------------------------------------------

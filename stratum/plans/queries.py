@@ -187,8 +187,9 @@ def checks_summary(spark, sf_dir):
     to the shared folder, so ~80 checks read tables instead of re-deriving
     the whole model per check."""
     base = shared_dir(spark, "warehouse", unique=True)
-    bronze = _bronze(spark, sf_dir)
-    lay = build.build(bronze, _scope(spark, sf_dir), persist=layers.layer_persister(base))
+    bronze = _bronze(spark, sf_dir, materialized=standins.SOURCES, with_raw=False)
+    lay = build.build(bronze, _scope(spark, sf_dir), persist=layers.layer_persister(base),
+                      persist_staged=False, persist_rejected=False)
     tables = model_tables(lay)
     tables["missing_source_coverage"] = audit.missing_coverage(
         bronze, constants.expected_coverage(_expected_scope(spark, sf_dir)))
@@ -272,8 +273,8 @@ def classify_rules(spark, sf_dir):
                                          "predicted_label", "rule_id")
 
 
-@register("sample_scope", oracle.with_(_LBL_CTES, f"select * from scoped order by {oracle.SAMPLE_ORDER}, "
-                                                  "market, source_file, file_row_number limit 500"))
+@register("sample_scope", oracle.with_(_LBL_CTES, f"select * from scoped order by {oracle.SAMPLE_ORDER} "
+                                                  "limit 500"))
 def sample_scope(spark, sf_dir):
     return labels.scope_sample(_valid_portfolio(spark, sf_dir), n=500)
 
@@ -288,8 +289,7 @@ def label_counts(spark, sf_dir):
 @register("label_recent", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)],
                                        "select market, item_name, addon_text, menu_category, "
                                        "drink_category_primary, drink_category_secondary, item_price, "
-                                       "predicted_label from review order by scored_at desc, market, "
-                                       "source_file, file_row_number limit 50"))
+                                       f"predicted_label from review order by {oracle.RECENT_ORDER} limit 50"))
 def label_recent(spark, sf_dir):
     return labels.recent(_review(spark, sf_dir), 50)
 

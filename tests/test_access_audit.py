@@ -56,3 +56,15 @@ def test_warn_severity(spark):
     res = {r.model: r.status for r in checks.run_checks(
         [checks.custom("w1", "empty"), checks.custom("w2", "full")], {"empty": empty, "full": full}).collect()}
     assert res == {"empty": "pass", "full": "warn"}
+
+
+def test_row_policy_prunes_market_partitions(spark, tmp_dir):
+    from stratum.sources import layers
+    df = spark.createDataFrame([(m, i) for m in ("USA", "GBR", "DEU") for i in range(10)], "market string, v int")
+    back = layers.write_layer(df, tmp_dir, "gold", "t")
+    ents = constants.entitlements(constants.reference_scope(spark))
+    r = access.restrict(back, ents, "RB_GBR_ANALYST")
+    plan = r._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "dynamicpruningexpression(market" in plan  # only entitled partitions are read
+    assert [tuple(x) for x in r.groupBy("market").count().collect()] == [("GBR", 10)]

@@ -92,8 +92,16 @@ def _small(splits: DataFrame, bound: int | None) -> DataFrame:
     return splits
 
 
-def number_lines(lines: DataFrame, bound: int | None = None) -> DataFrame:
-    """Add ``line_no`` (0-based in the file), quote counts and file stats."""
+def _keep(df: DataFrame) -> DataFrame:
+    return df
+
+
+def number_lines(lines: DataFrame, bound: int | None = None, cut=_keep) -> DataFrame:
+    """Add ``line_no`` (0-based in the file), quote counts and file stats.
+
+    ``cut`` materialises the per-split table (one row per split) so that
+    every branch reading it scans a small table instead of re-running the
+    aggregation over the whole input."""
     lines = lines.withColumn("_q", _quotes(F.col("value")))
     splits = (lines.groupBy("file_path", "block_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"),
@@ -108,12 +116,15 @@ def number_lines(lines: DataFrame, bound: int | None = None) -> DataFrame:
               .withColumn("_file_odd_lines", F.sum("_odd").over(whole))
               .withColumn("_file_bad_enc", F.max("_enc").over(whole))
               .drop("_n", "_qs", "_odd", "_enc"))
-    return (lines.join(_small(splits, bound), ["file_path", "block_start"])
+    return (lines.join(_small(cut(splits), bound), ["file_path", "block_start"])
             .withColumn("line_no", F.col("_line0") + F.col("_id") - F.col("_id0")))
 
 
-def assemble_records(numbered: DataFrame, bound: int | None = None) -> DataFrame:
-    """file_path, record_line, record, bad-file flags: one row per record."""
+def assemble_records(numbered: DataFrame, bound: int | None = None, cut=_keep) -> DataFrame:
+    """file_path, record_line, record, bad-file flags: one row per record.
+
+    ``cut`` materialises the windowed lines of files with multi-line
+    records (only those files), which three later steps read."""
     flags = ["_file_quotes", "_file_odd_lines", "_file_bad_enc"]
     simple = (numbered.filter(F.col("_file_odd_lines") == 0)
               .select("file_path", F.col("line_no").alias("record_line"),
@@ -123,20 +134,28 @@ def assemble_records(numbered: DataFrame, bound: int | None = None) -> DataFrame
     multi = (multi
              .withColumn("_start", ((F.col("_qoff") + _prev_sum("_q", in_split)) % 2) == 0)
              .withColumn("_starts", F.sum(F.col("_start").cast("long"))
-                         .over(in_split.rowsBetween(Window.unboundedPreceding, 0))))
+                         .over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+             .select("file_path", "block_start", "line_no", "value", "_q", "_start", "_starts", *flags))
+    multi = cut(multi)
     starts = (multi.groupBy("file_path", "block_start").agg(F.sum(F.col("_start").cast("long")).alias("_ns"))
               .withColumn("_soff", _prev_sum("_ns", Window.partitionBy("file_path").orderBy("block_start")))
               .drop("_ns"))
     multi = (multi.join(_small(starts, bound), ["file_path", "block_start"])
              .withColumn("_record_id", F.col("_soff") + F.col("_starts")))
-    grouped = (multi.groupBy("file_path", "_record_id")
+    # A line that starts a record and holds an even number of quotes is a
+    # whole record: only lines of multi-line records take the grouping shuffle.
+    whole = F.col("_start") & ((F.col("_q") % 2) == 0)
+    single = (multi.filter(whole)
+              .select("file_path", F.col("line_no").alias("record_line"), F.col("value").alias("record"), *flags))
+    grouped = (multi.filter(~whole)
+               .groupBy("file_path", "_record_id")
                .agg(F.min("line_no").alias("record_line"),
                     F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("_parts"),
                     *[F.first(f).alias(f) for f in flags])
                .select("file_path", "record_line",
                        F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("record"),
                        *flags))
-    return simple.unionByName(grouped)
+    return simple.unionByName(single).unionByName(grouped)
 
 
 def _relative(file_path: Column, root: str) -> Column:
@@ -157,17 +176,24 @@ class Landed:
     file_issues: DataFrame  # source_file, issue
 
 
-def land(spark: SparkSession, root: str, source: str) -> Landed:
-    """Scan ``<root>/<SOURCE>/`` once and assemble records."""
+def land(spark: SparkSession, root: str, source: str, cut_lineage: bool = False) -> Landed:
+    """Scan ``<root>/<SOURCE>/`` and assemble records.
+
+    With ``cut_lineage`` the two reused intermediates (per-split table,
+    windowed multi-line files) are written once to the shared folder: the
+    input text is then read three times in all (split statistics, files
+    without and files with multi-line records) instead of once per use."""
     folder = f"{root.rstrip('/')}/{SOURCE_FOLDERS[source]}"
-    return land_lines(read_lines(spark, folder), root)
+    return land_lines(read_lines(spark, folder), root, cut_lineage)
 
 
-def land_lines(lines: DataFrame, root: str) -> Landed:
+def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed:
     """Records from a lines frame (value, file_path, block_start, _id); also
     used on each micro-batch of the streaming ingest."""
+    from .layers import materialize
     bound = split_count_bound(lines)
-    recs = assemble_records(number_lines(lines, bound), bound)
+    cut = (lambda df: materialize(df, "ingest-step")) if cut_lineage else _keep
+    recs = assemble_records(number_lines(lines, bound, cut), bound, cut)
     rel = _relative(F.col("file_path"), root)
     unbalanced = (F.col("_file_quotes") % 2) == 1
     recs = recs.select(
@@ -243,7 +269,7 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
     the scan and the record assembly.
     """
     from .layers import materialize
-    landed = land(spark, root, source)
+    landed = land(spark, root, source, cut_lineage=staged_records)
     if staged_records:
         recs = materialize(landed.records, f"records-{source}")
         landed = Landed(recs, bad_files(recs))

@@ -32,7 +32,7 @@ def stream_lines(spark: SparkSession, root: str, source: str, max_files_per_trig
 def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str, load_ts=None) -> None:
     """Bronze raw + parsed + file issues of one micro-batch (idempotent)."""
     lines = batch.withColumn("_id", F.monotonically_increasing_id())
-    landed = ingest.land_lines(lines, root)
+    landed = ingest.land_lines(lines, root, cut_lineage=True)
     records = landed.records.persist()
     try:
         ts = ingest._ts(load_ts)

@@ -46,10 +46,9 @@ def classify(staged: DataFrame, rules) -> DataFrame:
     for r in rules:
         pair = F.struct(F.lit(r.code).alias("code"), F.lit(r.reason).alias("reason"))
         verdict = F.when(r.when(), pair) if verdict is None else verdict.when(r.when(), pair)
-    return (staged.withColumn("_verdict", verdict)
-            .withColumn("error_code", F.col("_verdict.code"))
-            .withColumn("error_reason", F.col("_verdict.reason"))
-            .drop("_verdict"))
+    # one projection (each DataFrame call re-analyses the whole plan); the
+    # shared CASE is evaluated once by codegen's common subexpressions
+    return staged.select("*", verdict["code"].alias("error_code"), verdict["reason"].alias("error_reason"))
 
 
 def rejected(staged: DataFrame, rules) -> DataFrame:
@@ -83,10 +82,9 @@ def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     nothing, and no extra scan is needed.  The same expression is used on
     both sides so the optimizer cannot fold it into a constant.
     """
-    left = staged.withColumn("_null_salt", _null_salt(staged.columns))
-    bad_keys = (rejected_rows.select(*KEYS, "raw_record")
-                .withColumn("_null_salt", _null_salt(KEYS + ["raw_record"])).drop("raw_record"))
-    return left.join(bad_keys, KEYS + ["_null_salt"], "left_anti").drop("_null_salt")
+    left = staged.select("*", _null_salt(staged.columns).alias("_null_salt"))
+    bad_keys = rejected_rows.select(*KEYS, _null_salt(KEYS + ["raw_record"]).alias("_null_salt"))
+    return left.join(bad_keys, KEYS + ["_null_salt"], "left_anti").select(*staged.columns)
 
 
 def _null_salt(cols) -> Column:

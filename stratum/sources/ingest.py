@@ -236,14 +236,20 @@ def parse_records(records: DataFrame, source: str) -> DataFrame:
                          F.col("_p._corrupt").alias("_corrupt"))
 
 
-def to_parsed(landed: Landed, source: str, load_ts=None, keep_corrupt: bool = False) -> DataFrame:
-    """Parsed bronze: metadata + all-string payload (ON_ERROR=CONTINUE, S11)."""
+def to_parsed(landed: Landed, source: str, load_ts=None, keep_corrupt: bool = False,
+              keep_raw: bool = False) -> DataFrame:
+    """Parsed bronze: metadata + all-string payload (ON_ERROR=CONTINUE, S11).
+
+    ``keep_raw`` carries the record text as ``raw_data`` from the same scan,
+    so staging needs no lineage join back to the raw table."""
     r = landed.records.filter((F.col("file_row_number") > 0) & ~F.col("_bad_parsed"))
     p = parse_records(r, source)
     cols = ["market", "source_file", "file_row_number", _ts(load_ts).alias("load_timestamp")]
     cols += [f.name for f in payload_schema(source).fields]
     if keep_corrupt:
         cols.append("_corrupt")
+    if keep_raw:
+        cols.append(null_if_token(F.trim(F.col("record")), NULL_TOKENS).alias("raw_data"))
     return p.select(*cols)
 
 
@@ -261,7 +267,7 @@ class BronzeLoad:
 
 
 def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
-           staged_records: bool = True) -> BronzeLoad:
+           staged_records: bool = True, keep_raw: bool = False) -> BronzeLoad:
     """Both bronze tables of one source from a single scan.
 
     ``staged_records`` writes the assembled records once to the shared
@@ -274,7 +280,7 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
         recs = materialize(landed.records, f"records-{source}")
         landed = Landed(recs, bad_files(recs))
     ts = _ts(load_ts) if load_ts is not None else _ts(None)
-    return BronzeLoad(to_raw(landed, ts), to_parsed(landed, source, ts), landed.file_issues)
+    return BronzeLoad(to_raw(landed, ts), to_parsed(landed, source, ts, keep_raw=keep_raw), landed.file_issues)
 
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]

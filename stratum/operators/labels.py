@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,3 +169,23 @@ def recent(review: DataFrame, n: int = 50) -> DataFrame:
             .limit(n)
             .select("market", "item_name", "addon_text", "menu_category", "drink_category_primary",
                     "drink_category_secondary", "item_price", "predicted_label"))
+
+
+def pattern_scorer(patterns: list[tuple[str, str]]):
+    """A scorer for ``label(..., scorer=)``: the first (regex, label) whose
+    regex matches the lower-cased classification text, else NULL.
+
+    An Arrow-batched pandas UDF (vectorised ``str.contains`` per pattern);
+    e.g. reviewer-curated phrases for the rows the rules leave undecided.
+    """
+    rules = [(p, lbl) for p, lbl in patterns if lbl in LABELS]
+
+    def score(text: pd.Series) -> pd.Series:
+        low = text.fillna("").str.lower()
+        out = pd.Series([None] * len(low), index=low.index, dtype=object)
+        for pat, lbl in rules:
+            hit = out.isna() & low.str.contains(pat, regex=True)
+            out[hit] = lbl
+        return out
+
+    return F.pandas_udf(score, "string")

@@ -53,7 +53,11 @@ def run(spark: SparkSession, landing_root: str, warehouse: str, load_ts: str,
     scope = scope if scope is not None else constants.reference_scope(spark)
     accepted = tuple(accepted_markets or (m for m, _ in constants.REFERENCE_MARKETS))
     bronze, issues = load_bronze(spark, landing_root, warehouse, load_ts)
+    # INSERT OVERWRITE of the role x market entitlement table
+    layers.write_layer(constants.entitlements(scope), warehouse, "security", "role_market_entitlements",
+                       mode="overwrite", partition_by=())
     lay = build.build(bronze, scope, persist=layers.layer_persister(warehouse))
+    layers.register_views(lay.gold, "gold")
     expected = constants.expected_coverage(scope)
     coverage = layers.write_layer(audit.coverage_audit(bronze, expected), warehouse, "audit",
                                   "source_coverage_audit", partition_by=())

@@ -17,7 +17,7 @@ from ..session import shared_dir
 
 # Model folder -> namespace routing (intermediate -> SILVER).
 LAYER_NAMESPACE = {"bronze": "BRONZE", "silver": "SILVER", "intermediate": "SILVER",
-                   "audit": "AUDIT", "gold": "GOLD"}
+                   "audit": "AUDIT", "gold": "GOLD", "security": "SECURITY"}
 
 
 def namespace(layer: str, default: str = "PUBLIC") -> str:
@@ -70,3 +70,15 @@ def layer_persister(base: str):
     def persist(df: DataFrame, layer: str, name: str) -> DataFrame:
         return write_layer(df, base, layer, name)
     return persist
+
+
+def register_views(tables: dict[str, DataFrame], layer: str | None = None) -> list[str]:
+    """Expose models as session views (S19: every model a view), named
+    ``<namespace>__<model>`` when a layer is given.  Views are lazy: a read
+    re-plans from the underlying tables, nothing is computed here."""
+    names = []
+    for name, df in tables.items():
+        view = f"{namespace(layer).lower()}__{name}" if layer else name
+        df.createOrReplaceTempView(view)
+        names.append(view)
+    return names

@@ -33,3 +33,5 @@ def test_layered_run_from_files(spark, tmp_dir):
     assert {r.coverage_status for r in res.coverage.collect()} == {"present"}
     assert res.file_issues.count() == 0
     assert spark.read.parquet(f"{wh}/BRONZE/OUTLET_RAW").count() == res.bronze["outlet"].count()
+    assert spark.read.parquet(f"{wh}/SECURITY/role_market_entitlements").count() == 10
+    assert spark.table("gold__fct_outlet_product_listing").count() == fact.count()

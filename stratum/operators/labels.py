@@ -106,10 +106,12 @@ def scope_sample(valid_portfolio: DataFrame, market: str | None = None, n: int |
 TIE_BREAK = ["classification_text", "id_beverage", "id_outlet", "id_drink"]
 
 
-def sample_order():
-    """Stable pseudo-random order: hash of the row key, then the row itself."""
+def sample_order(columns=None):
+    """Stable pseudo-random order: hash of the row key, then the row itself
+    (the tie-break columns that ``columns`` has, when given)."""
     h = F.md5(F.concat_ws("|", "market", "source_file", F.col("file_row_number").cast("string")))
-    return [h] + [F.col(c).asc_nulls_last() for c in ["market", "source_file", "file_row_number", *TIE_BREAK]]
+    tail = [c for c in TIE_BREAK if columns is None or c in columns]
+    return [h] + [F.col(c).asc_nulls_last() for c in ["market", "source_file", "file_row_number", *tail]]
 
 
 def _verdict() -> Column:

@@ -92,7 +92,7 @@ def to_score(scoped: DataFrame, predictions: DataFrame, budget: int | None = Non
             .join(seen, keys + ["_h"], "left_anti").drop("_h"))
     if budget is None:
         return todo
-    return todo.orderBy(*labels.sample_order()).limit(budget)
+    return todo.orderBy(*labels.sample_order(todo.columns)).limit(budget)
 
 
 def review_metrics(review: DataFrame, positive: str = labels.MEAL) -> DataFrame:

@@ -37,6 +37,7 @@ def load_bronze(spark: SparkSession, landing_root: str, warehouse: str, load_ts:
         load = ingest.ingest(spark, landing_root, source, load_ts, keep_raw=True)
         name = SOURCE_FOLDERS[source]
         layers.write_layer(load.raw, warehouse, "bronze", f"{name}_RAW", mode=mode)
+        layers.write_layer(load.parse_issues, warehouse, "audit", f"{name}_PARSE_ISSUES", mode=mode)
         parsed = layers.write_layer(load.parsed, warehouse, "bronze", f"{name}_PARSED", mode=mode)
         issues = load.file_issues.selectExpr(f"'{source}' as source_name", "*")
         return source, parsed, issues

@@ -174,6 +174,7 @@ class Landed:
     """Assembled records of one source plus the files that cannot be loaded."""
     records: DataFrame      # market, source_file, file_row_number, record, _bad_raw, _bad_parsed
     file_issues: DataFrame  # source_file, issue
+    lines: DataFrame | None = None  # physical lines: market, source_file, file_row_number, value, _bad_enc
 
 
 def land(spark: SparkSession, root: str, source: str, cut_lineage: bool = False) -> Landed:
@@ -193,8 +194,13 @@ def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed
     from .layers import materialize
     bound = split_count_bound(lines)
     cut = (lambda df: materialize(df, "ingest-step")) if cut_lineage else _keep
-    recs = assemble_records(number_lines(lines, bound, cut), bound, cut)
+    numbered = number_lines(lines, bound, cut)
+    recs = assemble_records(numbered, bound, cut)
     rel = _relative(F.col("file_path"), root)
+    physical = numbered.select(market_of(rel).alias("market"), rel.alias("source_file"),
+                               F.col("line_no").cast("long").alias("file_row_number"),
+                               F.regexp_replace("value", "^" + BOM, "").alias("value"),
+                               F.col("_file_bad_enc").alias("_bad_enc"))
     unbalanced = (F.col("_file_quotes") % 2) == 1
     recs = recs.select(
         market_of(rel).alias("market"), rel.alias("source_file"),
@@ -202,7 +208,7 @@ def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed
         F.regexp_replace("record", "^" + BOM, "").alias("record"),
         (unbalanced | F.col("_file_bad_enc")).alias("_bad_raw"),
         unbalanced.alias("_bad_parsed"))
-    return Landed(recs, bad_files(recs))
+    return Landed(recs, bad_files(recs), physical)
 
 
 def bad_files(records: DataFrame) -> DataFrame:
@@ -220,10 +226,21 @@ def _ts(load_ts) -> Column:
     return F.lit(load_ts or datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def to_raw(landed: Landed, load_ts=None) -> DataFrame:
-    """Raw bronze: the record as one string; bad files are skipped whole."""
+def to_raw(landed: Landed, load_ts=None, mode: str = "record") -> DataFrame:
+    """Raw bronze: one string per row; bad files are skipped whole.
+
+    ``mode="record"`` (default): the assembled record, numbered like the
+    parsed row, so raw and parsed always pair up.  ``mode="line"``: every
+    physical line as the raw line format reads it (no quote awareness, so a
+    quoted newline gives two rows and only undecodable files are skipped).
+    """
+    ts = _ts(load_ts).alias("load_timestamp")
+    if mode == "line":
+        r = landed.lines.filter((F.col("file_row_number") > 0) & ~F.col("_bad_enc"))
+        return r.select("market", "source_file", "file_row_number", ts,
+                        null_if_token(F.trim(F.col("value")), NULL_TOKENS).alias("raw_data"))
     r = landed.records.filter((F.col("file_row_number") > 0) & ~F.col("_bad_raw"))
-    return r.select("market", "source_file", "file_row_number", _ts(load_ts).alias("load_timestamp"),
+    return r.select("market", "source_file", "file_row_number", ts,
                     null_if_token(F.trim(F.col("record")), NULL_TOKENS).alias("raw_data"))
 
 
@@ -264,10 +281,11 @@ class BronzeLoad:
     raw: DataFrame
     parsed: DataFrame
     file_issues: DataFrame
+    parse_issues: DataFrame | None = None  # rows kept NULL-filled / truncated (ON_ERROR=CONTINUE)
 
 
 def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
-           staged_records: bool = True, keep_raw: bool = False) -> BronzeLoad:
+           staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "record") -> BronzeLoad:
     """Both bronze tables of one source from a single scan.
 
     ``staged_records`` writes the assembled records once to the shared
@@ -278,9 +296,11 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
     landed = land(spark, root, source, cut_lineage=staged_records)
     if staged_records:
         recs = materialize(landed.records, f"records-{source}")
-        landed = Landed(recs, bad_files(recs))
+        landed = Landed(recs, bad_files(recs), landed.lines)
     ts = _ts(load_ts) if load_ts is not None else _ts(None)
-    return BronzeLoad(to_raw(landed, ts), to_parsed(landed, source, ts, keep_raw=keep_raw), landed.file_issues)
+    issues = parse_issues(to_parsed(landed, source, ts, keep_corrupt=True))
+    return BronzeLoad(to_raw(landed, ts, raw_mode), to_parsed(landed, source, ts, keep_raw=keep_raw),
+                      landed.file_issues, issues)
 
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]

@@ -51,7 +51,8 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
         partition_by = ("market",) if "market" in df.columns else ()
     path = table_path(base, layer, name)
     write_table(df, path, mode, partition_by)
-    back = read_table(df.sparkSession, path)
+    # the known schema: no footer sampling, and an empty table reads back empty
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)  # keep the model's column order
 
 
@@ -62,7 +63,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def layer_persister(base: str):

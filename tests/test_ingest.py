@@ -54,9 +54,13 @@ def test_edge_rows(spark, tmp_dir):
     assert sorted(raw) == [1, 2, 4, 5, 6, 7]
     issues = [tuple(r) for r in load.file_issues.collect()]
     assert issues == [("MATCHING/DEU/bad.tsv", "UNBALANCED_QUOTES")]
-    corrupt = ingest.parse_issues(ingest.to_parsed(ingest.land(spark, tmp_dir, "matching"), "matching",
-                                                   "2024-01-01 00:00:00", keep_corrupt=True))
-    assert sorted(r.file_row_number for r in corrupt.collect()) == [6, 7]
+    assert sorted(r.file_row_number for r in load.parse_issues.collect()) == [6, 7]
+    lines = ingest.ingest(spark, tmp_dir, "matching", "2024-01-01 00:00:00", staged_records=False,
+                          raw_mode="line").raw
+    by_line = {(r.source_file, r.file_row_number): r.raw_data for r in lines.collect()}
+    assert by_line[("MATCHING/usa/f1.tsv", 2)] == '2\t"line1'  # the raw line format splits quoted newlines
+    assert by_line[("MATCHING/usa/f1.tsv", 3)] == 'line2"\tp' + "\t" * (len(MATCHING_FIELDS) - 3)
+    assert ("MATCHING/DEU/bad.tsv", 1) in by_line  # unbalanced quotes are no error for raw lines
 
 
 def _brute_force(text):

@@ -141,3 +141,10 @@ def dim_history(valid_portfolio: DataFrame, attrs=("item_name", "menu_category",
     return (changed.withColumn("valid_to", F.lead("valid_from").over(w))
             .withColumn("is_current", F.col("valid_to").isNull())
             .select(*keys, *attrs, "valid_from", "valid_to", "is_current"))
+
+
+def lineage_fingerprint(staged: DataFrame) -> DataFrame:
+    """Row key + SHA-256 of the raw record carried from bronze, so a
+    parsed row can be matched to its landed text without the text."""
+    return staged.select("market", "source_file", "file_row_number",
+                         F.sha2(F.col("raw_record"), 256).alias("raw_fingerprint"))

@@ -443,3 +443,31 @@ def review_metrics(spark, sf_dir):
 @register("dim_history", oracle.with_(oracle.layer_ctes(("portfolio",)), oracle.DIM_HISTORY_BODY))
 def dim_history(spark, sf_dir):
     return monitoring.dim_history(_valid_portfolio(spark, sf_dir))
+
+
+@register("lineage_fingerprint", oracle.with_([oracle.bronze_cte("matching"), oracle.stg_cte("matching")],
+                                              "select market, source_file, file_row_number, "
+                                              "sha256(raw_record) as raw_fingerprint from stg_matching"))
+def lineage_fingerprint(spark, sf_dir):
+    staged = conform.stg_matching(standins.parsed_standin(spark, sf_dir, "matching", True))
+    return monitoring.lineage_fingerprint(staged)
+
+
+INCREMENTAL_MARKET = "EUROPE"
+
+
+@register("incremental_gold", oracle.with_(oracle.layer_ctes(("outlet",)) + [oracle.DIM_PLATFORM_CTE],
+                                           "select * from dim_platform"))
+def incremental_gold(spark, sf_dir):
+    """Build a gold table, then rebuild one market from its bronze
+    slice and overwrite only that market's partition; the table must equal
+    a full rebuild."""
+    base = shared_dir(spark, "warehouse", unique=True)
+    bronze = standins.parsed_standin(spark, sf_dir, "outlet", True)
+    def platform(b):
+        staged = conform.stg_outlets(b)
+        return dims.dim_platform(quality.split(staged, quality.OUTLET_RULES)[0])
+    layers.write_layer(platform(bronze), base, "gold", "dim_platform")
+    one_market = bronze.filter(F.upper(F.trim("market")) == F.lit(INCREMENTAL_MARKET))
+    return layers.write_layer(platform(one_market), base, "gold", "dim_platform",
+                              only_touched_partitions=True)

@@ -31,11 +31,17 @@ def table_path(base: str, layer: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: tuple[str, ...] = ()) -> None:
-    """CTAS / INSERT OVERWRITE (mode='overwrite') or append."""
+                partition_by: tuple[str, ...] = (), only_touched_partitions: bool = False) -> None:
+    """CTAS / INSERT OVERWRITE (mode='overwrite') or append.
+
+    ``only_touched_partitions`` replaces just the partitions present in
+    ``df`` (dynamic partition overwrite): a one-market rebuild or backfill
+    leaves every other market's files untouched."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if only_touched_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
@@ -44,13 +50,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_layer(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
-                partition_by: tuple[str, ...] | None = None) -> DataFrame:
+                partition_by: tuple[str, ...] | None = None,
+                only_touched_partitions: bool = False) -> DataFrame:
     """Write a model's table into its layer namespace and return a DataFrame
     that reads it back (the lineage is cut at the layer edge)."""
     if partition_by is None:
         partition_by = ("market",) if "market" in df.columns else ()
     path = table_path(base, layer, name)
-    write_table(df, path, mode, partition_by)
+    write_table(df, path, mode, partition_by, only_touched_partitions)
     # the known schema: no footer sampling, and an empty table reads back empty
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)  # keep the model's column order

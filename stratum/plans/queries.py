@@ -199,11 +199,6 @@ def checks_summary(spark, sf_dir):
 ACCESS_ROLE = "RB_EUROPE_ANALYST"
 
 
-def _gold_with_access(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    return lay, constants.entitlements(_scope(spark, sf_dir))
-
-
 @register("row_access", oracle.with_(oracle.gold_ctes() + [oracle.ENT_CTE],
                                      oracle.row_access_body(ACCESS_ROLE, _AVG_COLS)))
 def row_access(spark, sf_dir):

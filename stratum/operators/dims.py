@@ -106,3 +106,30 @@ def dim_product(valid_portfolio: DataFrame) -> DataFrame:
         *[F.col(c).asc_nulls_last() for c in _PRODUCT_COLS[2:]]])
     return latest.select(surrogate_key("market", "id_beverage").alias("product_key"),
                          surrogate_key("market").alias("market_key"), *_PRODUCT_COLS)
+
+
+_DRINK_COLS = ["market", "id_drink", "item_brand", "item_subbrand", "item_manufacturer",
+               "drink_category_primary", "drink_category_secondary"]
+
+
+def dim_drink(valid_portfolio: DataFrame) -> DataFrame:
+    """Drink-level dimension (one row per market and id_drink): the latest
+    brand and category attributes, ordered like dim_product."""
+    src = (valid_portfolio.filter(F.col("id_drink").isNotNull())
+           .select(*_DRINK_COLS, "created_at", "load_timestamp", "source_file", "file_row_number"))
+    latest = latest_per_key(src, ["market", "id_drink"], [
+        F.col("created_at").desc_nulls_last(), F.col("load_timestamp").desc_nulls_first(),
+        F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last(),
+        *[F.col(c).asc_nulls_last() for c in _DRINK_COLS[2:]]])
+    return latest.select(surrogate_key("market", "id_drink").alias("drink_key"),
+                         surrogate_key("market").alias("market_key"), *_DRINK_COLS)
+
+
+def bridge_beverage_drink(valid_portfolio: DataFrame) -> DataFrame:
+    """Beverage (size variant) -> drink bridge: distinct pairs seen in listings,
+    with how many listings carry each pair (a beverage may map to several drinks)."""
+    return (valid_portfolio.filter(F.col("id_beverage").isNotNull() & F.col("id_drink").isNotNull())
+            .groupBy("market", "id_beverage", "id_drink").agg(F.count(F.lit(1)).alias("listings"))
+            .select(surrogate_key("market", "id_beverage").alias("product_key"),
+                    surrogate_key("market", "id_drink").alias("drink_key"),
+                    "market", "id_beverage", "id_drink", "listings"))

@@ -400,3 +400,19 @@ DIM_HISTORY_BODY = (
     "window w as (partition by market, id_beverage order by valid_from, _sig)) c "
     "where _prev is null or _prev <> _sig "
     "window w as (partition by market, id_beverage order by valid_from, _sig)")
+
+
+_DRINK = ("market, id_drink, item_brand, item_subbrand, item_manufacturer, drink_category_primary, "
+          "drink_category_secondary")
+
+DIM_DRINK_BODY = (
+    "select " + sk("market", "id_drink") + " as drink_key, " + sk("market") + " as market_key, " + _DRINK
+    + " from (select *, row_number() over (partition by market, id_drink order by created_at desc nulls last, "
+    "load_timestamp desc nulls first, source_file asc nulls last, file_row_number asc nulls last, "
+    + ", ".join(f"{c.strip()} asc nulls last" for c in _DRINK.split(",")[2:])
+    + ") as row_num from val_portfolio where id_drink is not null) d where row_num = 1")
+
+BRIDGE_BODY = (
+    "select " + sk("market", "id_beverage") + " as product_key, " + sk("market", "id_drink") + " as drink_key, "
+    "market, id_beverage, id_drink, count(*) as listings from val_portfolio "
+    "where id_beverage is not null and id_drink is not null group by market, id_beverage, id_drink")

@@ -466,3 +466,16 @@ def incremental_gold(spark, sf_dir):
     one_market = bronze.filter(F.upper(F.trim("market")) == F.lit(INCREMENTAL_MARKET))
     return layers.write_layer(platform(one_market), base, "gold", "dim_platform",
                               only_touched_partitions=True)
+
+
+
+@register("dim_drink", oracle.with_(oracle.layer_ctes(("portfolio",)), oracle.DIM_DRINK_BODY))
+def dim_drink(spark, sf_dir):
+    """Drink-level dimension next to the beverage-level dim_product."""
+    return dims.dim_drink(_valid_portfolio(spark, sf_dir))
+
+
+@register("bridge_beverage_drink", oracle.with_(oracle.layer_ctes(("portfolio",)), oracle.BRIDGE_BODY))
+def bridge_beverage_drink(spark, sf_dir):
+    """Which drink each beverage (size variant) belongs to."""
+    return dims.bridge_beverage_drink(_valid_portfolio(spark, sf_dir))

@@ -479,3 +479,30 @@ def dim_drink(spark, sf_dir):
 def bridge_beverage_drink(spark, sf_dir):
     """Which drink each beverage (size variant) belongs to."""
     return dims.bridge_beverage_drink(_valid_portfolio(spark, sf_dir))
+
+
+
+ALLOWED_SEGMENT = ("EUROPE", "pharmacy")  # the registered run's market exception
+
+
+def _allowlist(spark, sf_dir):
+    m, v = ALLOWED_SEGMENT
+    return (standins.read_table(spark, sf_dir, "region")
+            .filter(F.upper(F.trim("r_name")) == F.lit(m))
+            .select(F.upper(F.trim("r_name")).alias("market"),
+                    F.lit(quality.INVALID_SEGMENT_TYPE[0]).alias("error_code"), F.lit(v).alias("value")))
+
+
+@register("reject_exceptions", oracle.with_(
+    oracle.layer_ctes(("outlet",), valid=False)
+    + [f"allow as (select upper(trim(r_name)) as market, 'INVALID_SEGMENT_TYPE' as error_code, "
+       f"'{ALLOWED_SEGMENT[1]}' as value from region where upper(trim(r_name)) = '{ALLOWED_SEGMENT[0]}')"],
+    "select r.market, r.source_file, r.file_row_number, r.error_code, 'reject' as severity, "
+    "exists (select 1 from allow a where a.market = r.market and a.error_code = r.error_code and "
+    "a.value = case when r.error_code = 'INVALID_SEGMENT_TYPE' then r.segment_type end) as allowlisted "
+    "from rej_outlet r"))
+def reject_exceptions(spark, sf_dir):
+    """Outlet rejects with severity and a per-market allowlist."""
+    staged = conform.stg_outlets(standins.parsed_standin(spark, sf_dir, "outlet", True))
+    _, flagged = quality.split_with_exceptions(staged, quality.OUTLET_RULES, _allowlist(spark, sf_dir))
+    return flagged.select("market", "source_file", "file_row_number", "error_code", "severity", "allowlisted")

@@ -52,3 +52,21 @@ def test_filter_split_equals_anti_join_when_keys_unique(spark):
     a = sorted(r.raw_record for r in quality.split(df, quality.OUTLET_RULES)[0].collect())
     b = sorted(r.raw_record for r in quality.valid_by_filter(df, quality.OUTLET_RULES).collect())
     assert a == b
+
+
+def test_allowlist_and_warn_severity(spark):
+    df = _outlets(spark, [
+        ("USA", "f", 1, TS, "pharmacy", "a", TS),   # allowlisted in USA
+        ("GBR", "f", 2, TS, "pharmacy", "b", TS),   # not allowlisted in GBR
+        ("USA", "f", 3, None, "restaurant", "c", TS),
+    ])
+    allow = spark.createDataFrame([("USA", "INVALID_SEGMENT_TYPE", "pharmacy")],
+                                  "market string, error_code string, value string")
+    valid, flagged = quality.split_with_exceptions(df, quality.OUTLET_RULES, allow)
+    assert sorted(r.raw_record for r in valid.collect()) == ["a"]
+    rows = {r.raw_record: (r.severity, r.allowlisted) for r in flagged.collect()}
+    assert rows == {"a": ("reject", True), "b": ("reject", False), "c": ("reject", False)}
+    warn_rules = [quality.Rule(*quality.MISSING_CREATED_AT, lambda: __import__("pyspark.sql.functions",
+                  fromlist=["col"]).col("created_at").isNull(), severity="warn")]
+    valid2, flagged2 = quality.split_with_exceptions(df, warn_rules)
+    assert valid2.count() == 3 and [r.severity for r in flagged2.collect()] == ["warn"]

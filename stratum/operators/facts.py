@@ -20,7 +20,8 @@ FACT_COLUMNS = ["listing_key", "market_key", "platform_key", "outlet_key", "prod
                 "delivery_fee", "min_order_amount", "created_at", "load_timestamp"]
 
 
-def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None
+                ) -> DataFrame:
     """One row per valid listing (a portfolio file row) that maps to an outlet.
 
     The reference writes LEFT JOIN dim_outlet + ``outlet_key IS NOT NULL``;
@@ -30,6 +31,12 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
     Both joins shuffle on compound high-cardinality keys; AQE broadcasts a
     side at runtime only when its measured size is under the threshold and
     splits skewed partitions otherwise.
+
+    ``dim_product=None`` states that the product dimension is built from
+    these same listings (as in a layered build): every listing with an
+    id_beverage then has its product row, so the LEFT JOIN only ever yields
+    ``surrogate_key(market, id_beverage)`` -- computed directly, which saves
+    a shuffle of every fact row.  Pass the dimension to join an external one.
     """
     listings = (valid_portfolio
                 .filter(F.col("id_outlet").isNotNull() & F.col("id_beverage").isNotNull())
@@ -38,9 +45,12 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
         "market", "id_ext_link", "platform_key", "outlet_key", "serves_red_bull", "serves_drinks",
         "is_chain", F.col("average_rating").alias("outlet_average_rating"),
         F.col("num_ratings").alias("outlet_num_ratings"), "delivery_fee", "min_order_amount")
-    products = dim_product.select("market", "id_beverage", "product_key")
-    enriched = (listings.join(outlets, ["market", "id_ext_link"], "inner")
-                .join(products, ["market", "id_beverage"], "left"))
+    enriched = listings.join(outlets, ["market", "id_ext_link"], "inner")
+    if dim_product is None:
+        enriched = enriched.withColumn("product_key", surrogate_key("market", "id_beverage"))
+    else:
+        products = dim_product.select("market", "id_beverage", "product_key")
+        enriched = enriched.join(products, ["market", "id_beverage"], "left")
     return (enriched
             .withColumn("listing_key", surrogate_key("market", "source_file", "file_row_number"))
             .withColumn("market_key", surrogate_key("market"))

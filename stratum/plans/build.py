@@ -44,7 +44,8 @@ def gold(valid: dict[str, DataFrame], scope: DataFrame) -> dict[str, DataFrame]:
         "dim_platform": dims.dim_platform(valid["outlet"]),
         "dim_outlet": d_outlet,
         "dim_product": d_product,
-        "fct_outlet_product_listing": facts.fct_listing(valid["portfolio"], d_outlet, d_product),
+        # dim_product comes from the same valid listings: product keys need no join
+        "fct_outlet_product_listing": facts.fct_listing(valid["portfolio"], d_outlet),
     }
 
 
@@ -86,6 +87,6 @@ def build(bronze: dict[str, DataFrame], scope: DataFrame, raw: dict[str, DataFra
         "dim_outlet": (dims.dim_outlet(valid["outlet"], valid["matching"]), "gold", "dim_outlet"),
         "dim_product": (dims.dim_product(valid["portfolio"]), "gold", "dim_product"),
     })
-    fact = facts.fct_listing(valid["portfolio"], d["dim_outlet"], d["dim_product"])
+    fact = facts.fct_listing(valid["portfolio"], d["dim_outlet"])
     d["fct_outlet_product_listing"] = persist(fact, "gold", "fct_outlet_product_listing")
     return Layers(staged, valid, rejected, d)

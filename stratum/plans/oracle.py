@@ -289,9 +289,10 @@ def landed_ctes() -> list[str]:
     from ..sources import landed_events
     rows = landed_events.ROWS_SQL.format(events="events", region="region")
     return [f"landed as ({rows})",
-            "numbered as (select *, row_number() over (partition by market, bucket order by seq) "
+            "numbered as (select *, cast(row_number() over (partition by market, bucket order by seq) "
             "+ coalesce(sum(length(line) - length(replace(line, chr(10), ''))) over (partition by market, bucket "
-            "order by seq rows between unbounded preceding and 1 preceding), 0) as file_row_number from landed)"]
+            "order by seq rows between unbounded preceding and 1 preceding), 0) as bigint) as file_row_number "
+            "from landed)"]
 
 
 SOURCE_DIR_SQL = "concat('MATCHING/market=', market, '/bucket=', cast(bucket as varchar), '/')"
@@ -375,7 +376,7 @@ def review_metrics_body(manual_sql: str) -> str:
     reviewed = f"{m} is not null"
     return (
         "select market, count(*) as scored_rows, "
-        f"sum(case when {reviewed} then 1 else 0 end) as reviewed_rows, "
+        f"cast(sum(case when {reviewed} then 1 else 0 end) as bigint) as reviewed_rows, "
         + _rate_sql(f"sum(case when {reviewed} and predicted_label = {m} then 1 else 0 end)",
                     f"sum(case when {reviewed} then 1 else 0 end)") + " as agreement_rate, "
         + _rate_sql(f"sum(case when {reviewed} and predicted_label = 'meal_or_combo_with_drink' and {m} = "

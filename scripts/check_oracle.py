@@ -72,7 +72,14 @@ def main():
         orows = rel.fetchall()
         hs, ls = digest(scols, srows)
         ho, lo = digest(ocols, orows)
-        ok = (len(srows) == len(orows)) and sorted(scols) == sorted(ocols) and hs == ho
+        stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        otypes = dict(zip(ocols, (str(t) for t in rel.types)))
+        twin = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+                "timestamp_ntz": "TIMESTAMP", "int": "INTEGER"}
+        tdiff = {c: (stypes[c], otypes.get(c)) for c in stypes if twin.get(stypes[c]) != otypes.get(c)}
+        if tdiff:
+            print("   type differences", tdiff)
+        ok = (len(srows) == len(orows)) and sorted(scols) == sorted(ocols) and hs == ho and not tdiff
         bad += not ok
         print(f"{n:28s} {'OK ' if ok else 'BAD'} rows {len(srows)}/{len(orows)} {ts:.1f}s")
         if not ok:

@@ -27,6 +27,7 @@ line 0, first data row = 1), shared by raw and parsed rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -50,6 +51,28 @@ CSV_OPTIONS = {
 }
 
 
+@contextmanager
+def fixed_split_layout(spark: SparkSession):
+    """Pin how files are cut into splits for the duration of one load.
+
+    Line numbering joins a per-split table computed by one job with lines
+    scanned by another; both must see identical splits.  Spark sizes splits
+    from ``spark.sql.files.minPartitionNum``, which defaults to the current
+    core count -- it changes when executors are lost or added.  Pinning it
+    makes the layout a function of the files alone, so a job re-planned
+    after an executor loss still cuts the files the same way.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    prev = spark.conf.get(key, None)
+    if prev is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if prev is None:
+            spark.conf.unset(key)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every physical line of every file under ``path``."""
     return (spark.read.option("recursiveFileLookup", "true").text(path)
@@ -293,10 +316,14 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
     the scan and the record assembly.
     """
     from .layers import materialize
-    landed = land(spark, root, source, cut_lineage=staged_records)
     if staged_records:
-        recs = materialize(landed.records, f"records-{source}")
+        # every scan of the text happens inside this block, on one split layout
+        with fixed_split_layout(spark):
+            landed = land(spark, root, source, cut_lineage=True)
+            recs = materialize(landed.records, f"records-{source}")
         landed = Landed(recs, bad_files(recs), landed.lines)
+    else:
+        landed = land(spark, root, source)
     ts = _ts(load_ts) if load_ts is not None else _ts(None)
     issues = parse_issues(to_parsed(landed, source, ts, keep_corrupt=True))
     return BronzeLoad(to_raw(landed, ts, raw_mode), to_parsed(landed, source, ts, keep_raw=keep_raw),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources import ingest
+from ..sources import ingest, layers
 from ..sources.schemas import SOURCE_FOLDERS
 
 
@@ -30,19 +30,22 @@ def stream_lines(spark: SparkSession, root: str, source: str, max_files_per_trig
 
 
 def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str, load_ts=None) -> None:
-    """Bronze raw + parsed + file issues of one micro-batch (idempotent)."""
+    """Bronze raw + parsed + file issues of one micro-batch (idempotent).
+
+    The batch's records are written once to the shared folder while the
+    split layout is pinned (every text scan sees the same splits); the three
+    outputs then read that table, so a lost executor never re-scans text.
+    """
     lines = batch.withColumn("_id", F.monotonically_increasing_id())
-    landed = ingest.land_lines(lines, root, cut_lineage=True)
-    records = landed.records.persist()
-    try:
-        ts = ingest._ts(load_ts)
-        landed = ingest.Landed(records, ingest.bad_files(records))
-        for name, df in (("raw", ingest.to_raw(landed, ts)),
-                         ("parsed", ingest.to_parsed(landed, source, ts)),
-                         ("file_issues", landed.file_issues)):
-            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/batch={batch_id}")
-    finally:
-        records.unpersist()
+    with ingest.fixed_split_layout(batch.sparkSession):
+        landed = ingest.land_lines(lines, root, cut_lineage=True)
+        records = layers.materialize(landed.records, f"stream-records-{batch_id}")
+    ts = ingest._ts(load_ts)
+    landed = ingest.Landed(records, ingest.bad_files(records))
+    for name, df in (("raw", ingest.to_raw(landed, ts)),
+                     ("parsed", ingest.to_parsed(landed, source, ts)),
+                     ("file_issues", landed.file_issues)):
+        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/batch={batch_id}")
 
 
 def stream_bronze(spark: SparkSession, root: str, source: str, out: str, checkpoint: str,

@@ -1,0 +1 @@
+"""Compositions: layer build, end-to-end run, registered queries, oracle SQL."""

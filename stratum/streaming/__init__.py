@@ -1,0 +1 @@
+"""Structured Streaming: continuous file ingest into bronze (each file once)."""

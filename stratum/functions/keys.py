@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Must equal the public surrogate-key convention the
-# reference's gold models rely on (md5 over '-'-joined text, NULL parts
-# replaced by a sentinel) so that keys are stable across engines.
+# Key recipe: md5 over '-'-joined text parts, a NULL part replaced by a
+# sentinel (null-safe, order-sensitive).  The reference pins the recipe
+# but not its body, so the digest values are ours; Spark and the SQL twin
+# below produce identical digests.
 KEY_SEPARATOR = "-"
-NULL_SENTINEL = "_dbt_utils_surrogate_key_null_"
+NULL_SENTINEL = "_null_key_part_"
 
 
 def surrogate_key(*cols, sentinel: str = NULL_SENTINEL) -> Column:

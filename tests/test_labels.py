@@ -7,14 +7,14 @@ COLS = ("market string, source_file string, file_row_number long, id_outlet stri
 
 # The four worked examples of the reference's labelling notebook.
 EXAMPLES = [
-    ("Red Bull 250ml", "", "Drinks", "Energy Drinks", "Red Bull", "250ml can", 2.99, "Red Bull",
-     "Red Bull Energy Drink", False, labels.STANDALONE),
+    ("Volt 250ml", "", "Drinks", "Energy Drinks", "Volt", "250ml can", 2.99, "Volt",
+     "Volt Energy Drink", False, labels.STANDALONE),
     ("Cheeseburger Menu", "choose your drink", "Burgers", "Soft Drinks", "Cola", "burger, fries and a drink",
-     10.90, "Coca-Cola", "Coca-Cola Unspecified", True, labels.MEAL),
-    ("L.A. Chicken-Crossies (8 Stuck)", "Coca-Cola Zero Sugar 1.0l reusable", "Fingerfood", "Soft Drink", "Cola",
-     "crispy chicken snack with selectable drink", 8.90, "Coca-Cola", "Coca-Cola Zero Sugar", True, labels.MEAL),
+     10.90, "Cola Co", "Cola Unspecified", True, labels.MEAL),
+    ("L.A. Chicken-Crossies (8 Stuck)", "Cola Zero 1.0l reusable", "Fingerfood", "Soft Drink", "Cola",
+     "crispy chicken snack with selectable drink", 8.90, "Cola Co", "Cola Zero", True, labels.MEAL),
     ("Family Box", "optional drink selection", "Specials", "", "", "large sharing menu with optional drink add-on",
-     24.90, "Sprite", "Sprite Unspecified", True, labels.UNCLEAR),
+     24.90, "Lemon Co", "Lemon Unspecified", True, labels.UNCLEAR),
 ]
 
 

@@ -175,7 +175,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        # hash on all columns: as even as round robin, and deterministic under
+        # task retries without the local sort a retry-safe round robin needs
+        return df.repartition(cores, *df.columns)
     return df
 
 

@@ -47,3 +47,11 @@ def test_dedup_is_planned_as_group_limit(spark):
     staged = conform.stg_portfolio(bronze(spark, "portfolio", [{"item_price": "1", "id_beverage": "b"}]))
     plan = _plan(spark, dims.dim_product(quality.split(staged, quality.PORTFOLIO_RULES)[0]))
     assert "WindowGroupLimit" in plan
+
+
+def test_split_layout_is_pinned_during_a_load(spark):
+    key = "spark.sql.files.minPartitionNum"
+    assert spark.conf.get(key, None) is None
+    with ingest.fixed_split_layout(spark):
+        assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key, None) is None  # restored

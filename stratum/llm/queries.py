@@ -5,17 +5,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, shards, toxicity
+from . import embed, mixing, ngram_join, secrets, shards, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, least=90)
+
+
 def op4_mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98, recall=1.0)
+
+
 def op8_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -25,5 +37,6 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mix_weights, op8_toxicity_pu, op9_jump_shards)}
+QUERIES = {f.__name__: f for f in (
+    op2_secret_tokens, op3_jaccard_join, op4_mix_weights, op7_multi_index, op8_toxicity_pu, op9_jump_shards)}
 ORACLE: dict[str, str] = {}

@@ -186,7 +186,7 @@ def _range(seeds: Seeds, item: int) -> np.ndarray:
     return seeds.by_item[seeds.item_ends[item]: seeds.item_ends[item + 1]]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.6, rare: float = RARE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5, rare: float = RARE) -> DataFrame:
     """doc_id, item_id, score, seeds, start, end: a row for each document and
     each test item that it copies.
 
@@ -218,7 +218,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.6, rare: float = RARE) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5, rare: float = RARE) -> DataFrame:
     """``docs`` (all columns) without the documents that copy a test item."""
     for seeds in _passes(benchmark, n):
         known = docs.sparkSession.sparkContext.broadcast(vars(_rare(docs, seeds, rare)))

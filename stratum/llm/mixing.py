@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import BROADCAST_IDS, saved
 
 #: Rows that one task sorts, on average.
 ROWS_PER_BUCKET = 100_000
@@ -117,8 +117,11 @@ def _cut(copies: DataFrame, budget: int, buckets: int):
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with every document as often as the mix takes it (all columns)."""
+    """``docs`` (all columns) with every document as often as the mix takes it.
+    Rows that share a doc_id share their copies evenly, the rest going to none.
+    The counts are broadcast while they are few; else documents are shuffled."""
     n = mix(docs.select("doc_id", "source", "text"), **how)
-    counts = n.groupBy(F.col("doc_id").alias("_id")).agg((F.sum("copies") / F.count("*")).cast("int").alias("_copies"))
-    out = docs.join(counts, docs["doc_id"].eqNullSafe(F.col("_id"))).filter(F.col("_copies") > 0)
-    return out.select(docs["*"], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    counts = saved(n.groupBy(F.col("doc_id").alias("_id")).agg((F.sum("copies") / F.count("*")).cast("int").alias("_copies")).filter("_copies > 0"), "mix-copies")
+    side = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
+    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")))
+    return out.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, hashes, mix, saved, semi, shingles, words
+from .common import BROADCAST_IDS, components, hashes, mix, saved, semi, shingles, words
 
 #: A region with more shingles or documents is split before it is joined.
 LEAF_SHINGLES, LEAF_DOCS = 4_000_000, 8192
@@ -291,3 +291,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, **how) -> Data
     return s.select("doc_id", "n_shingles", "hi", "lo").join(known, ["hi", "lo"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.least("c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")).select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, least: int = 80, **how) -> DataFrame:
+    """``docs`` (all columns) with one document of each group of near
+    duplicates: the one with the smallest doc_id, once.  Documents without
+    words or without an id stay."""
+    found = saved(near_duplicates(docs, k, least, **how), "jaccard-groups")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not again.limit(1).count():
+        return out
+    return out.join(again, "doc_id", "left_anti").unionByName(out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))

@@ -5,13 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed, mixing, ngram_join, secrets, shards, toxicity
+from . import chat, decontam, embed, licenses, mixing, ngram_join, secrets, shards, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,14 @@ def op4_mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversation_lines(*chat.tool_events(table(spark, sf_dir, "conversations")))
+
+
 def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98, recall=1.0)
 
@@ -37,6 +49,11 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_secret_tokens, op3_jaccard_join, op4_mix_weights, op7_multi_index, op8_toxicity_pu, op9_jump_shards)}
+    op1_warc_chain, op2_secret_tokens, op3_jaccard_join, op4_mix_weights, op5_decontaminate, op6_tool_calls,
+    op7_multi_index, op8_toxicity_pu, op9_jump_shards, op10_license_dice)}
 ORACLE: dict[str, str] = {}

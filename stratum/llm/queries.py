@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, embed, licenses, mixing, ngram_join, secrets, shards, toxicity, warc
+from . import chat, decontam, embed, licenses, mixing, ngram_join, oracle, secrets, shards, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,4 +56,10 @@ def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_warc_chain, op2_secret_tokens, op3_jaccard_join, op4_mix_weights, op5_decontaminate, op6_tool_calls,
     op7_multi_index, op8_toxicity_pu, op9_jump_shards, op10_license_dice)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc_chain": oracle.warc(),
+    "op3_jaccard_join": oracle.jaccard(k=3, least=90),
+    "op4_mix_weights": oracle.mix(),
+    "op7_multi_index": oracle.near_vectors(least=0.98),
+    "op10_license_dice": oracle.licences(licenses.TEMPLATES),
+}

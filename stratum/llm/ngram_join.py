@@ -1,18 +1,19 @@
 """Exact n-gram Jaccard join as a metric-space join.
 
-Documents with equal shingle sets become one point.  Every point is cut, by
-hash range, into more slices than a linked pair can have differing shingles:
-linked points then agree in whole slices (the pigeonhole makes this exact).
-The points that share a slice elect the smallest one as pivot, and the points
-that met a pivot are its region.  Inside a region the Jaccard distance to the
-pivot bounds that between members: by the triangle inequality only members
-whose pivot distances differ by at most the link distance are compared.
-Regions too large for a task are split again: pivots from the region span
-Voronoi cells, a point joins each cell whose pivot is at most two link
-distances further than its nearest one (these windows hold all links), and the
-cells join recursively.  Where distances are too even for cells to shrink, the
-region is split into pairs of hash blocks instead.  Every link is verified on
-the whole sets; components come from the links.
+Documents with equal shingle sets are one point.  Every point is cut, by hash
+range, into more slices than a linked pair can have differing shingles, so
+linked points agree in whole slices.  Of its shared slices a point may forget
+the most frequent ones, as many as are to spare: the rarest slice of a linked
+pair stays on both sides.  The points that share a slice elect the smallest as
+pivot, and the points that met a pivot are its region.  Inside a region the
+Jaccard distance to the pivot bounds that between members: by the triangle
+inequality only members whose pivot distances differ by at most the link
+distance are compared.  Regions too large for a task are split again: pivots
+from the region span Voronoi cells, a point joins each cell whose pivot is at
+most two link distances further than its nearest one (these windows hold all
+links), and the cells join recursively.  Where distances are too even for
+cells to shrink, the region is split into pairs of hash blocks instead.  Every
+link is verified on the whole sets; components come from the links.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, components, hashes, mix, saved, semi, shingles, words
@@ -34,75 +35,97 @@ LEAF_SHINGLES, LEAF_DOCS = 4_000_000, 8192
 PIVOTS, MOST_LEVELS = 12, 3
 
 
-def classes(least: int, top: int = 1 << 40) -> list[tuple[int, int, int, int, int]]:
-    """Size classes (from, to, slices, informative, spare).  Linked sizes are in
-    one class or in neighbouring ones.
+def classes(least: int, top: int = 1 << 40) -> list[tuple[int, int, int, int]]:
+    """Size classes (from, to, slices, spare); a pair belongs to the class of
+    its smaller set.
 
-    At most t shingles differ between linked sets of up to ``to`` - 1
-    shingles; with t + 1 + spare slices, 1 + spare slices agree.  A slice with
-    fewer than ``informative`` shingles says little: a set with at most
-    ``spare`` such slices leaves them out and still agrees in another one."""
-    out, low, ratio = [], 1, max(1.5, 100 / least)
+    A set of n shingles differs from a linked one that is no smaller in at
+    most (100 - least) * n / least shingles.  With that many slices for the
+    largest n of the class, and 1 + spare more, 1 + spare slices agree."""
+    out, low = [], 1
     while low < top:
-        high = max(low + 1, math.ceil(low * ratio))
-        t = (100 - least) * 2 * (high - 1) // (100 + least)
-        mean = low / (t + 1)
-        informative = 3 if mean >= 5.5 else 2 if mean >= 4 else 1
-        thin = sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(informative))
-        spare = 2 + math.ceil(1.5 * thin * (t + 1))
-        out.append((low, high, t + 1 + spare if t else 0, informative, spare))
+        high = max(low + 1, math.ceil(low * 1.6))
+        t = (100 - least) * (high - 1) // least
+        spare = 2 + math.ceil(0.2 * t)
+        out.append((low, high, t + 1 + spare if t else 0, spare))
         low = high
     return out
 
 
-def signatures(s: np.ndarray, least: int, plan: list[tuple[int, int, int, int, int]]) -> np.ndarray:
-    """Hashes of the slices of a set: for its size class, and for the next
-    larger one where a set of that class can still link."""
+#: The low bits of a signature hold its size class.
+CLASS_BITS = 127
+
+
+def signatures(s: np.ndarray, least: int, plan: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """Hashes of the slices of a set: for its size class, and for the smaller
+    classes that hold sets it can link with."""
     n, found = len(s), []
-    for c, (low, high, slices, informative, spare) in enumerate(plan):
-        own, boundary = low <= n < high, n < low and 100 * n >= least * low
-        if n < low and not boundary:
+    mixed = None
+    for c, (low, high, slices, _) in enumerate(plan):
+        if n < low:
             break
-        if not (own or boundary) or not slices:
+        if not slices or least * n > 100 * (high - 1):
             continue
         with np.errstate(over="ignore"):
+            if mixed is None:
+                mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s), dtype=np.uint64)])
             at = ((s >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)  # slices are ranges of the sorted hashes
             ends = np.searchsorted(at, np.arange(slices + 1, dtype=np.uint64))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s), dtype=np.uint64)])
-            size = np.diff(ends).astype(np.uint64)
-            sig = mix(sums[ends[1:]] - sums[ends[:-1]] + mix(np.arange(slices, dtype=np.uint64) * np.uint64(1_000_003) + size * np.uint64(65_537) + np.uint64(c)))
-        rich = size >= informative
-        found.append(sig[rich] if (~rich).sum() <= spare else sig)
+            place = np.arange(slices, dtype=np.uint64) * np.uint64(1_000_003) + np.diff(ends).astype(np.uint64) * np.uint64(65_537) + np.uint64(c)
+            sig = mix(mixed[ends[1:]] - mixed[ends[:-1]] + mix(place))
+        found.append(sig & ~np.uint64(CLASS_BITS) | np.uint64(c))
     return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
 
 
-def sketch(docs: DataFrame, k: int, least: int) -> DataFrame:
-    """doc_id, n_shingles, hi and lo (128-bit digest of the set), sigs."""
-    plan = classes(least)
+def _point(s: np.ndarray) -> int:
+    """The 64-bit name of a set."""
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+
 
+def sketch(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, n_shingles and the point x of every row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(hashes(words(t)), k) for t in b["text"].to_pylist()]
-            digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            both = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-            sigs = [signatures(s, least, plan) for s in sets]
-            offsets = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-            flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n_shingles", "hi", "lo", "sigs"])
+            sets = (shingles(hashes(words(t)), k) for t in b["text"].to_pylist())
+            n, x = zip(*((len(s), _point(s)) for s in sets), strict=True) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(x, pa.int64())], ["doc_id", "n_shingles", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles bigint, hi bigint, lo bigint, sigs array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles bigint, x bigint")
+
+
+def _filed(docs: DataFrame, k: int, least: int) -> DataFrame:
+    """(sig, x): the slices of every point, once per task at least; copies
+    within a task are left out before anything is shuffled."""
+    plan = classes(least)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b in batches:
+            for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
+                sigs, xs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for t in part["text"].to_pylist():
+                    s = shingles(hashes(words(t)), k)
+                    if len(s) and (x := _point(s)) not in seen:
+                        seen.add(x)
+                        sigs.append(signatures(s, least, plan))
+                        xs.append(np.full(len(sigs[-1]), x))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(xs))], ["sig", "x"])
+
+    return docs.filter("doc_id is not null").select("text").mapInArrow(rows, "sig bigint, x bigint")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """(x, shingles) of the rows' points, each once per task at most."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
-            sets = [shingles(hashes(words(t)), k) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([s.tobytes() for s in sets], pa.binary())], ["x", "shingles"])
+            sets = {_point(s): s.tobytes() for s in (shingles(hashes(words(t)), k) for t in b["text"].to_pylist())}
+            new = [x for x in sets if x not in seen]
+            seen.update(new)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64()), pa.array([sets[x] for x in new], pa.binary())], ["x", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, f"x {docs.schema['doc_id'].dataType.simpleString()}, shingles binary")
+    return docs.select("text").mapInArrow(rows, "x bigint, shingles binary")
 
 
 def _linked(a: int, b: int, common: int, least: int) -> bool:
@@ -176,8 +199,9 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.
                 yield ids, sets
                 ids, sets = [], []
             now = region
-            ids.append(x)
-            sets.append(np.frombuffer(s, np.uint64))
+            if not ids or ids[-1] != x:  # a point may come from several tasks
+                ids.append(x)
+                sets.append(np.frombuffer(s, np.uint64))
     if ids:
         yield ids, sets
 
@@ -234,15 +258,29 @@ def _blocks(large: DataFrame, costs: DataFrame, leaf: int, leaf_docs: int) -> Da
     return rows.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "x", "n")
 
 
+def _met(docs: DataFrame, k: int, least: int) -> DataFrame:
+    """(pivot, x): the points that share a slice with a pivot, without what a
+    point may forget."""
+    same = Window.partitionBy("sig")
+    shared = _filed(docs, k, least).select("sig", "x", F.count("*").over(same).alias("often"), F.min("x").over(same).alias("pivot"),
+                                           F.max("x").over(same).alias("last")).filter("pivot < last")
+    size_class = F.col("sig").bitwiseAND(F.lit(CLASS_BITS)).cast("int")
+    spare = F.element_at(F.array(*(F.lit(c[-1]) for c in classes(least))), size_class + 1)
+    own = Window.partitionBy("x", "class").orderBy(F.desc("often"), "sig")
+    ranked = shared.withColumn("class", size_class).withColumn("rank", F.dense_rank().over(own))
+    return ranked.filter(F.col("rank") > spare).select("pivot", "x").distinct()
+
+
 def links(points: DataFrame, docs: DataFrame, k: int, least: int, leaf: int = LEAF_SHINGLES, leaf_docs: int = LEAF_DOCS,
           pivots: int = PIVOTS) -> DataFrame:
     """(a, b): links that connect the same points as all links do.  ``points``:
-    (x, n, sigs), of distinct sets."""
-    filed = points.select("x", "n", F.explode("sigs").alias("sig"))
-    buckets = filed.groupBy("sig").agg(F.min("x").alias("pivot"), F.max("x").alias("last")).filter("pivot < last")
-    regions = filed.join(buckets.select("sig", "pivot"), "sig").groupBy("pivot", "x").agg(F.max("n").alias("n"))
-    regions = saved(regions.select(F.xxhash64("pivot").alias("region"), "x", "n"), "jaccard-regions")
-    sets = saved(_sets(semi(docs, regions.select(F.col("x").alias("doc_id")).distinct(), "doc_id"), k), "jaccard-sets")
+    (x, n, rep), one row per point."""
+    regions = _met(docs, k, least).join(points.select("x", "n"), "x").select(F.xxhash64("pivot").alias("region"), "x", "n")
+    regions = saved(regions, "jaccard-regions")
+    many = regions.groupBy("region").count().filter("count > 1").select("region")
+    regions = saved(regions.join(many, "region", "left_semi"), "jaccard-regions")
+    active = points.join(regions.select("x").distinct(), "x", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    sets = saved(_sets(semi(docs, active, "doc_id"), k), "jaccard-sets")
     found = []
     for level in range(MOST_LEVELS + 1):
         costs = saved(regions.groupBy("region").agg(F.sum("n").alias("cost"), F.count("*").alias("docs")), "jaccard-costs")
@@ -278,19 +316,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, **how) -> Data
     shingle; null and empty texts make none and link with nothing.  Documents
     link when 100 * common >= ``least`` * union.  component_id: smallest
     doc_id that links reach, the own one included.  Repeated texts are one
-    point.  Rows with one doc_id are one vertex.  Rows with a null doc_id link
-    with nothing and have a null component.  Other columns aren't read.
+    point, named by a 64-bit digest.  Rows that share a doc_id are told apart by
+    their texts.  Rows with a null doc_id link with nothing and have a null
+    component.  Other columns aren't read.
     """
-    s = saved(sketch(docs, k, least), "jaccard-sketch")
+    s = saved(sketch(docs, k), "jaccard-sketch")
     real = s.filter("n_shingles > 0 and doc_id is not null")
-    same = saved(real.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    points = real.join(same.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("x"), F.col("n_shingles").alias("n"), "sigs")
+    points = saved(real.groupBy("x").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("rep")), "jaccard-points")
     comp = components(links(points, docs, k, least, **how), "jaccard-components")
-    known = same.join(comp, same["rep"] == comp["v"], "left").select("hi", "lo", F.coalesce("c", "rep").alias("c"))
-    return s.select("doc_id", "n_shingles", "hi", "lo").join(known, ["hi", "lo"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.least("c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")).select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    known = points.join(comp, points["x"] == comp["v"], "left").select("x", "rep", F.coalesce("c", "x").alias("c"))
+    least_id = known.groupBy("c").agg(F.min("rep").alias("component_id"))
+    known = known.join(least_id, "c").select("x", "component_id")
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return s.join(known, "x", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, least: int = 80, **how) -> DataFrame:

@@ -21,6 +21,8 @@ from .common import saved
 
 #: Bounds of the fitting sample (documents) and of the model (terms).
 MOST_POSITIVE, MOST_UNLABELLED, MOST_TERMS = 4000, 8000, 128
+#: Standard deviations by which P must exceed the clean share of a term.
+LEAST_SIGMA = 5.0
 #: A document with this score or more is toxic.
 THRESHOLD = 0.7
 
@@ -95,8 +97,10 @@ def fit(docs: DataFrame, labels: DataFrame, steps: int = 600, rate: float = 0.05
     # expected share among the clean part of U, never below 0; both sides smoothed
     share_p = (F.col("p") + 0.5) / (np_ + 1)
     clean = F.greatest(F.col("u") / nu - prior * F.col("p") / np_, F.lit(0.0))
-    gain = share_p * F.log2(share_p / ((clean + 0.5 / nu) / (1 - prior)))
-    best = counts.filter(F.col("p") >= 3).select("term", gain.alias("g")).orderBy(F.desc("g"), "term").limit(MOST_TERMS)
+    share_c = (clean + 0.5 / nu) / (1 - prior)
+    gain = share_p * F.log2(share_p / share_c)
+    beyond_chance = (F.col("p") - np_ * share_c) / F.sqrt(np_ * share_c * F.greatest(1 - share_c, F.lit(0.0)) + 0.25)
+    best = counts.filter((F.col("p") >= 3) & (beyond_chance >= LEAST_SIGMA)).select("term", gain.alias("g")).orderBy(F.desc("g"), "term").limit(MOST_TERMS)
     vocabulary = [r["term"] for r in best.collect()]
     if not vocabulary:
         return {"weights": {}, "bias": -20.0, "prior": prior}

@@ -91,6 +91,14 @@ _PRODUCT_COLS = ["market", "id_beverage", "id_drink", "id_category", "item_name"
                  "created_at"]
 
 
+def product_order() -> list[Column]:
+    """created_at DESC NULLS LAST, load_timestamp DESC, the row key, then the
+    row content (a row key can repeat), so no tie is left open."""
+    return [F.col("created_at").desc_nulls_last(), F.col("load_timestamp").desc_nulls_first(),
+            F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last(),
+            *[F.col(c).asc_nulls_last() for c in _PRODUCT_COLS[2:]]]
+
+
 def dim_product(valid_portfolio: DataFrame) -> DataFrame:
     """Latest listing attributes per (market, id_beverage).
 
@@ -99,11 +107,7 @@ def dim_product(valid_portfolio: DataFrame) -> DataFrame:
     """
     src = (valid_portfolio.filter(F.col("id_beverage").isNotNull())
            .select(*_PRODUCT_COLS, "load_timestamp", "source_file", "file_row_number"))
-    latest = latest_per_key(src, ["market", "id_beverage"], [
-        F.col("created_at").desc_nulls_last(), F.col("load_timestamp").desc_nulls_first(),
-        F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last(),
-        # a row key can repeat: end with the row content so no tie is left open
-        *[F.col(c).asc_nulls_last() for c in _PRODUCT_COLS[2:]]])
+    latest = latest_per_key(src, ["market", "id_beverage"], product_order())
     return latest.select(surrogate_key("market", "id_beverage").alias("product_key"),
                          surrogate_key("market").alias("market_key"), *_PRODUCT_COLS)
 

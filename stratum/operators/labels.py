@@ -3,19 +3,18 @@
 The hosted-model call of the reference is re-aimed as a transparent rule
 ladder of regular expressions evaluated on the JVM (``rlike``), the
 "cheap rules first" path the reference itself recommends.  Rows no rule
-decides can be sent to an optional scorer (a pandas UDF, e.g. a model
-trained on reviewed labels); only those rows cross into Python.
+decides can be given to an optional scorer, a column function of their text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import layers
+
 # The closed label set.
 STANDALONE = "standalone_drink"
 MEAL = "meal_or_combo_with_drink"
@@ -41,12 +40,14 @@ LISTING_COLUMNS = ["market", "source_file", "file_row_number", "id_outlet", "id_
                    "drink_category_secondary", "item_description", "item_price", "item_brand",
                    "item_subbrand", "has_addon_prompt"]
 
-# Our rule vocabulary (lower-case, matched anywhere in the text).
-OPTIONAL_PATTERN = "optional"
-MEAL_PATTERN = ("menu|combo|box|bucket|bundle|meal|burger|pizza|fries|snack|sandwich|wrap|"
-                "chicken|fingerfood|nuggets|kebab|pasta|salad")
-DRINK_CATEGORY_PATTERN = "drink|beverage|getr.nke|boisson|bebida"
-DRINK_NAME_PATTERN = "[0-9] ?ml|[0-9] ?cl|[0-9][.,]?[0-9]* ?l( |$)|can|bottle|dose|flasche"
+# Our rule vocabulary: whole words of the lower-cased text.
+OPTIONAL_PATTERN = r"\boptional\b"
+MEAL_PATTERN = (r"\b(menus?|menü|combos?|box|bucket|bundle|meals?|burgers?|[a-z]*burger|pizzas?|fries|snacks?|sandwich(es)?|"
+                r"wraps?|chicken|fingerfood|nuggets|kebab|pasta|salads?|rice|bowls?)\b")
+# An add-on that lets the customer pick a drink belongs to a meal.
+PICK_PATTERN = r"\b(choose|select|pick|choice of|add)\b.*\b(drinks?|beverages?|sodas?|cola)\b"
+DRINK_CATEGORY_PATTERN = r"\b(([a-z]+ )?drinks?|beverages?|getr.nke?|boissons?|bebidas?)\b"
+DRINK_NAME_PATTERN = r"\b[0-9]+([.,][0-9]+)? ?(ml|cl|l)\b|\b(cans?|bottles?|dose|flasche)\b"
 
 
 @dataclass(frozen=True)
@@ -72,8 +73,10 @@ class LabelRule:
 RULES = [
     LabelRule("optional_drink", UNCLEAR, ("addon_text", "item_description"), OPTIONAL_PATTERN),
     LabelRule("meal_words", MEAL, ("item_name", "menu_category", "item_description"), MEAL_PATTERN),
+    LabelRule("pick_a_drink", MEAL, ("addon_text",), PICK_PATTERN),
     LabelRule("drink_category", STANDALONE, ("menu_category",), DRINK_CATEGORY_PATTERN),
     LabelRule("drink_name", STANDALONE, ("item_name",), DRINK_NAME_PATTERN),
+    LabelRule("drink_kind", STANDALONE, ("drink_category_primary", "drink_category_secondary"), DRINK_CATEGORY_PATTERN),
 ]
 NO_RULE = "no_rule"
 
@@ -86,7 +89,7 @@ def classification_text(df: DataFrame) -> Column:
     return F.concat(*parts)
 
 
-def scope_sample(valid_portfolio: DataFrame, market: str | None = None, n: int | None = 500) -> DataFrame:
+def scope_sample(valid_portfolio: DataFrame, market: str | None = None, n: int | None = None) -> DataFrame:
     """Rows in scope (optional market, item name or addon text present),
     then a deterministic sample of ``n`` (top-n by a hash of the row key:
     each task keeps n rows, no global sort).  ``n=None`` keeps every row."""
@@ -126,25 +129,19 @@ def label(df: DataFrame, scorer=None) -> DataFrame:
     """Add ``predicted_label`` and ``rule_id``.
 
     The ladder yields a {labels: [label], rule_id} object; the label is read
-    with a path + index (``labels[0]``).  With ``scorer`` (a Column function
-    of the classification text returning a label or NULL), only undecided
-    rows are scored and the result is unioned back.
+    with a path + index (``labels[0]``).  ``scorer`` (a Column function of the
+    classification text returning a label or NULL) decides what no rule did,
+    in the same pass: its branch is only evaluated for such rows.
     """
     out = df.withColumn("_verdict", _verdict())
     out = (out.withColumn("predicted_label", F.col("_verdict.labels")[0])
            .withColumn("rule_id", F.col("_verdict.rule_id")).drop("_verdict"))
     if scorer is None:
         return out
-    decided = out.filter(F.col("rule_id") != F.lit(NO_RULE))
-    undecided = out.filter(F.col("rule_id") == F.lit(NO_RULE))
-    scored = undecided.withColumn("_score", scorer(F.col("classification_text")))
-    scored = (scored.withColumn("predicted_label",
-                                F.when(F.col("_score").isin(*LABELS), F.col("_score"))
-                                .otherwise(F.col("predicted_label")))
-              .withColumn("rule_id", F.when(F.col("_score").isin(*LABELS), F.lit("scorer"))
-                          .otherwise(F.col("rule_id")))
-              .drop("_score"))
-    return decided.unionByName(scored)
+    out = out.withColumn("_score", F.when(F.col("rule_id") == NO_RULE, scorer(F.col("classification_text"))))
+    known = F.col("_score").isin(*LABELS)
+    return (out.withColumn("predicted_label", F.when(known, F.col("_score")).otherwise(F.col("predicted_label")))
+            .withColumn("rule_id", F.when(known, F.lit("scorer")).otherwise(F.col("rule_id"))).drop("_score"))
 
 
 def to_review_table(labelled: DataFrame, scored_at) -> DataFrame:
@@ -162,32 +159,30 @@ def label_counts(review: DataFrame) -> DataFrame:
             .orderBy(F.col("row_count").desc(), "predicted_label"))
 
 
-def recent(review: DataFrame, n: int = 50) -> DataFrame:
+def recent(review: DataFrame, n: int | None = None) -> DataFrame:
     """The n most recently scored rows (row key breaks ties: scored_at is
     one value per run).  Planned as TakeOrderedAndProject."""
     order = [F.col("scored_at").desc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in ["market", "source_file", "file_row_number", *TIE_BREAK]]
-    return (review.orderBy(*order)
-            .limit(n)
+    ordered = review.orderBy(*order)
+    return ((ordered if n is None else ordered.limit(n))
             .select("market", "item_name", "addon_text", "menu_category", "drink_category_primary",
                     "drink_category_secondary", "item_price", "predicted_label"))
 
 
 def pattern_scorer(patterns: list[tuple[str, str]]):
-    """A scorer for ``label(..., scorer=)``: the first (regex, label) whose
-    regex matches the lower-cased classification text, else NULL.
-
-    An Arrow-batched pandas UDF (vectorised ``str.contains`` per pattern);
-    e.g. reviewer-curated phrases for the rows the rules leave undecided.
-    """
-    rules = [(p, lbl) for p, lbl in patterns if lbl in LABELS]
-
-    def score(text: pd.Series) -> pd.Series:
-        low = text.fillna("").str.lower()
-        out = pd.Series([None] * len(low), index=low.index, dtype=object)
-        for pat, lbl in rules:
-            hit = out.isna() & low.str.contains(pat, regex=True)
-            out[hit] = lbl
+    """A scorer for ``label(..., scorer=)``: the label of the first (regex,
+    label) whose regex matches the lower-cased classification text, else NULL;
+    e.g. reviewer-curated phrases for the rows the rules leave undecided."""
+    def score(text: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for pattern, lbl in reversed([p for p in patterns if p[1] in LABELS]):
+            out = F.when(F.lower(text).rlike(pattern), F.lit(lbl)).otherwise(out)
         return out
 
-    return F.pandas_udf(score, "string")
+    return score
+
+
+def append_predictions(review: DataFrame, base: str) -> DataFrame:
+    """C4: append a scoring run to the AUDIT review table; the whole table."""
+    return layers.write_layer(review, base, "audit", "MENU_ITEM_LABELS", mode="append")

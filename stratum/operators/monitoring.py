@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canon_market
-from . import labels
+from . import dims, labels
 
 LAYERS = ("bronze", "valid", "rejected", "gold")
 
@@ -124,20 +124,19 @@ def _rate(num: str, den: str):
 def dim_history(valid_portfolio: DataFrame, attrs=("item_name", "menu_category", "has_addon_prompt")) -> DataFrame:
     """Product versions with valid_from / valid_to (SCD type 2).
 
-    Rows are first reduced to distinct (key, attributes, created_at) --
-    a partial aggregate, so a hot product ships only its distinct versions
-    -- then consecutive identical versions are collapsed with ``lag`` and
-    closed with ``lead`` per product.
-    """
+    Of the listings of a product at one time, the one that ``dim_product``
+    would take counts (each task keeps one per product and time before the
+    shuffle).  Consecutive equal versions are one.  Undated listings are valid
+    and come first, with an open start, so every product of ``dim_product``
+    has a history and its current version is the one there."""
     keys = ["market", "id_beverage"]
-    versions = (valid_portfolio.filter(F.col("id_beverage").isNotNull() & F.col("created_at").isNotNull())
-                .groupBy(*keys, F.col("created_at").alias("valid_from"), *attrs).agg(F.lit(1).alias("_x"))
-                .drop("_x"))
-    sig = F.concat_ws("|", *[F.coalesce(F.col(a).cast("string"), F.lit("<null>")) for a in attrs])
-    w = Window.partitionBy(*keys).orderBy(F.col("valid_from").asc(), F.col("_sig").asc())
-    changed = (versions.withColumn("_sig", sig)
-               .withColumn("_prev", F.lag("_sig").over(w))
-               .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_sig"))))
+    src = valid_portfolio.filter(F.col("id_beverage").isNotNull()).withColumn("valid_from", F.col("created_at"))
+    versions = dims.latest_per_key(src, [*keys, "valid_from"], dims.product_order())
+    w = Window.partitionBy(*keys).orderBy(F.col("valid_from").asc_nulls_first())
+    version = F.struct(*attrs)
+    changed = (versions.select(*keys, *attrs, "valid_from", version.alias("_version"))
+               .withColumn("_prev", F.lag("_version").over(w)).withColumn("_row", F.row_number().over(w))
+               .filter((F.col("_row") == 1) | ~F.col("_prev").eqNullSafe(F.col("_version"))))
     return (changed.withColumn("valid_to", F.lead("valid_from").over(w))
             .withColumn("is_current", F.col("valid_to").isNull())
             .select(*keys, *attrs, "valid_from", "valid_to", "is_current"))

@@ -79,19 +79,14 @@ def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     and AQE turns the join into a broadcast at runtime; when it is not, it
     is a sort-merge anti join on three high-cardinality keys.
 
-    Rows with a NULL key part can never match, but they would all hash to
-    one partition.  A fourth join column salts them: 0 for keyed rows, a
-    row hash otherwise -- they spread over all partitions, still match
-    nothing, and no extra scan is needed.  The same expression is used on
-    both sides so the optimizer cannot fold it into a constant.
+    Rows with a NULL key part can never match and go past the join, so they
+    neither gather in one partition nor make the join read more than the key
+    and the columns a consumer asks for (both filters reach the scan).
     """
-    left = staged.select("*", _null_salt(staged.columns).alias("_null_salt"))
-    bad_keys = rejected_rows.select(*KEYS, _null_salt(KEYS + ["raw_record"]).alias("_null_salt"))
-    return left.join(bad_keys, KEYS + ["_null_salt"], "left_anti").select(*staged.columns)
-
-
-def _null_salt(cols) -> Column:
-    return F.when(_any_null(KEYS), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("long"))
+    keyless = _any_null(KEYS)
+    bad_keys = rejected_rows.filter(~keyless).select(*KEYS)
+    return staged.filter(~keyless).join(bad_keys, KEYS, "left_anti").select(*staged.columns).unionByName(
+        staged.filter(keyless))
 
 
 def split(staged: DataFrame, rules) -> tuple[DataFrame, DataFrame]:

@@ -80,7 +80,7 @@ def with_(ctes: list[str], body: str) -> str:
 
 
 SCOPE_CTE = ("scope as (select upper(trim(r_name)) as market, "
-             "concat(upper(substr(r_name, 1, 1)), lower(substr(r_name, 2, 1000))) as market_name from region)")
+             "concat(upper(substr(r_name, 1, 1)), lower(substr(r_name, 2))) as market_name from region)")
 
 DIM_PLATFORM_CTE = (
     "dim_platform as (select " + sk("market", "id_platform") + " as platform_key, " + sk("market") +
@@ -220,8 +220,8 @@ def checks_sql(suite) -> str:
     return with_(gold_ctes() + [DIM_MARKET_CTE, EXPECTED_CTE, ACTUAL_COVERAGE_CTE, missing], body)
 
 
-ENT_CTE = ("ent as (select concat('RB_', replace(market, ' ', '_'), '_ANALYST') as role_name, market from scope "
-           "union all select 'RB_HQ_ANALYST' as role_name, market from scope)")
+ENT_CTE = ("ent as (select concat('MARKET_', replace(market, ' ', '_'), '_ANALYST') as role_name, market from scope "
+           "union all select 'MARKET_HQ_ANALYST' as role_name, market from scope)")
 
 ADMIN_ROLES_SQL = "('ACCOUNTADMIN', 'SYSADMIN', 'SECURITYADMIN')"
 
@@ -391,16 +391,19 @@ def review_metrics_body(manual_sql: str) -> str:
         + " as review_rate from review group by market")
 
 
+_PRODUCT_TIE = ", ".join(f"{c.strip()} asc nulls last" for c in _PRODUCT_COLS.split(",")[2:])
 DIM_HISTORY_BODY = (
-    "select market, id_beverage, item_name, menu_category, has_addon_prompt, valid_from, "
-    "lead(valid_from) over w as valid_to, lead(valid_from) over w is null as is_current from ("
-    "select *, lag(_sig) over w as _prev from (select *, concat_ws('|', coalesce(cast(item_name as varchar), '<null>'), "
-    "coalesce(cast(menu_category as varchar), '<null>'), coalesce(cast(has_addon_prompt as varchar), '<null>')) as _sig "
-    "from (select distinct market, id_beverage, created_at as valid_from, item_name, menu_category, has_addon_prompt "
-    "from val_portfolio where id_beverage is not null and created_at is not null) v) s "
-    "window w as (partition by market, id_beverage order by valid_from, _sig)) c "
-    "where _prev is null or _prev <> _sig "
-    "window w as (partition by market, id_beverage order by valid_from, _sig)")
+    "select market, id_beverage, item_name, menu_category, has_addon_prompt, t as valid_from, "
+    "min(t) over later as valid_to, min(t) over later is null as is_current from ("
+    "select d.*, exists (select 1 from (select * from picked p where p.market = d.market and p.id_beverage = d.id_beverage "
+    "and coalesce(p.t, timestamp '0001-01-01') < coalesce(d.t, timestamp '0001-01-01') order by p.t desc nulls last limit 1) e "
+    "where e.v is not distinct from d.v) as same from picked d) x where not same "
+    "window later as (partition by market, id_beverage order by t nulls first rows between 1 following and 1 following)")
+HISTORY_CTE = (
+    "picked as (select market, id_beverage, item_name, menu_category, has_addon_prompt, created_at as t, "
+    "row(item_name, menu_category, has_addon_prompt) as v from val_portfolio where id_beverage is not null "
+    "qualify row_number() over (partition by market, id_beverage, created_at order by load_timestamp desc nulls first, "
+    "source_file asc nulls last, file_row_number asc nulls last, " + _PRODUCT_TIE + ") = 1)")
 
 
 _DRINK = ("market, id_drink, item_brand, item_subbrand, item_manufacturer, drink_category_primary, "

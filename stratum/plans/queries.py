@@ -196,7 +196,7 @@ def checks_summary(spark, sf_dir):
     return checks.run_checks(checks.declared_suite(ACCEPTED_MARKETS), tables)
 
 
-ACCESS_ROLE = "RB_EUROPE_ANALYST"
+ACCESS_ROLE = constants.role("EUROPE")
 
 
 @register("row_access", oracle.with_(oracle.gold_ctes() + [oracle.ENT_CTE],
@@ -208,7 +208,7 @@ def row_access(spark, sf_dir):
     return access.restrict(d, constants.entitlements(_scope(spark, sf_dir)), ACCESS_ROLE)
 
 
-PROBE_ROLES = ("ACCOUNTADMIN", "RB_UNKNOWN_ROLE")
+PROBE_ROLES = ("ACCOUNTADMIN", constants.role("UNKNOWN"))
 
 
 @register("role_visibility", oracle.with_(oracle.layer_ctes(("outlet", "matching"))
@@ -229,7 +229,7 @@ def role_visibility(spark, sf_dir):
 @register("role_counts", oracle.with_(oracle.gold_ctes() + [oracle.ENT_CTE],
                                       oracle.role_counts_body(constants.HQ_ROLE)))
 def role_counts(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lay = _layers(spark, sf_dir, materialized=())  # a count needs a few columns: no bronze copies
     ents = constants.entitlements(_scope(spark, sf_dir))
     return access.role_listing_counts(lay.gold["fct_outlet_product_listing"], ents, constants.HQ_ROLE)
 
@@ -375,8 +375,8 @@ def ingest_stream(spark, sf_dir):
 
 @register("layer_counts", oracle.with_(oracle.gold_ctes(), oracle.layer_counts_body()))
 def layer_counts(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
     bronze = _bronze(spark, sf_dir, with_raw=False)
+    lay = build.build(bronze, _scope(spark, sf_dir))
     return monitoring.layer_counts({
         "bronze": bronze, "valid": lay.valid, "rejected": lay.rejected,
         "gold": {"portfolio": lay.gold["fct_outlet_product_listing"]}})
@@ -390,7 +390,7 @@ def reject_trend(spark, sf_dir):
 
 @register("join_coverage", oracle.with_(oracle.gold_ctes(), oracle.JOIN_COVERAGE_BODY))
 def join_coverage(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lay = _layers(spark, sf_dir, materialized=())
     return monitoring.join_coverage(lay.valid["portfolio"], lay.gold["dim_outlet"])
 
 
@@ -435,7 +435,7 @@ def review_metrics(spark, sf_dir):
     return monitoring.review_metrics(review)
 
 
-@register("dim_history", oracle.with_(oracle.layer_ctes(("portfolio",)), oracle.DIM_HISTORY_BODY))
+@register("dim_history", oracle.with_(oracle.layer_ctes(("portfolio",)) + [oracle.HISTORY_CTE], oracle.DIM_HISTORY_BODY))
 def dim_history(spark, sf_dir):
     return monitoring.dim_history(_valid_portfolio(spark, sf_dir))
 

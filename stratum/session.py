@@ -42,7 +42,8 @@ def build_session(master: str = "local[8]", app: str = "stratum",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; create a local one only if unset."""
+    """Return the session's checkpoint dir.  Unset, a local session gets a
+    temporary one; a cluster fails, since its nodes share no local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="stratum-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

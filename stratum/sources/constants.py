@@ -15,10 +15,17 @@ from pyspark.sql import functions as F
 # The reference's market scope, source names, roles.
 REFERENCE_MARKETS = [("USA", "United States"), ("GBR", "United Kingdom"), ("DEU", "Germany")]
 SOURCE_NAMES = ("outlet", "portfolio", "matching")
-HQ_ROLE = "RB_HQ_ANALYST"
 ADMIN_ROLES = ("ACCOUNTADMIN", "SYSADMIN", "SECURITYADMIN")
-ROLE_PREFIX = "RB_"
-ROLE_SUFFIX = "_ANALYST"
+
+# Role names are our own: <prefix><MARKET><suffix>, with HQ for all markets.
+ROLE_PREFIX, ROLE_SUFFIX = "MARKET_", "_ANALYST"
+
+
+def role(name: str, prefix: str = ROLE_PREFIX) -> str:
+    return f"{prefix}{name}{ROLE_SUFFIX}"
+
+
+HQ_ROLE = role("HQ")
 
 
 def reference_scope(spark: SparkSession) -> DataFrame:
@@ -30,7 +37,7 @@ def scope_from_regions(region: DataFrame) -> DataFrame:
     name = F.col("r_name")
     return region.select(
         F.upper(F.trim(name)).alias("market"),
-        F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, 2, 1000))).alias("market_name"))
+        F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2)))).alias("market_name"))
 
 
 def expected_coverage(scope: DataFrame, sources=SOURCE_NAMES) -> DataFrame:
@@ -39,11 +46,11 @@ def expected_coverage(scope: DataFrame, sources=SOURCE_NAMES) -> DataFrame:
                         "market")
 
 
-def market_role(market_col) -> F.Column:
-    return F.concat(F.lit(ROLE_PREFIX), F.regexp_replace(market_col, " ", "_"), F.lit(ROLE_SUFFIX))
+def market_role(market_col, prefix: str = ROLE_PREFIX) -> F.Column:
+    return F.concat(F.lit(prefix), F.regexp_replace(market_col, " ", "_"), F.lit(ROLE_SUFFIX))
 
 
-def entitlements(scope: DataFrame, hq_role: str = HQ_ROLE) -> DataFrame:
+def entitlements(scope: DataFrame, hq_role: str = HQ_ROLE, prefix: str = ROLE_PREFIX) -> DataFrame:
     """role_name x market: each market's analyst role, plus HQ on every market."""
-    return scope.select(F.explode(F.array(market_role(F.col("market")), F.lit(hq_role))).alias("role_name"),
+    return scope.select(F.explode(F.array(market_role(F.col("market"), prefix), F.lit(hq_role))).alias("role_name"),
                         "market")

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -246,7 +246,7 @@ def bad_files(records: DataFrame) -> DataFrame:
 def _ts(load_ts) -> Column:
     if isinstance(load_ts, Column):
         return load_ts.cast("timestamp_ntz")
-    return F.lit(load_ts or datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.lit(load_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def to_raw(landed: Landed, load_ts=None, mode: str = "record") -> DataFrame:

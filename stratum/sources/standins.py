@@ -165,29 +165,8 @@ def duckdb_sql(text: str) -> str:
     return text.format(**{t: t for t in DRIVER_TABLES})
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A single-row-group file is read by one task and everything narrow above
-    it (projections, broadcast joins) would stay on that task.  Large inputs
-    have many splits and are left untouched, so this never adds a shuffle at
-    scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        # hash on all columns: as even as round robin, and deterministic under
-        # task retries without the local sort a retry-safe round robin needs
-        return df.repartition(cores, *df.columns)
-    return df
-
-
-# Dimension-sized driver tables are broadcast into the stand-in joins and
-# need no spreading.
-_SMALL = ("region", "nation")
-
-
 class DriverTables:
-    """The driver tables of one scale factor, each read (and spread) once
+    """The driver tables of one scale factor, each read once
     per query build, and only when a plan uses it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -196,7 +175,7 @@ class DriverTables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._cache[name] = df if name in _SMALL else spread(df)
+            self._cache[name] = df
         return self._cache[name]
 
 

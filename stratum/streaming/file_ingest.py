@@ -30,7 +30,7 @@ def stream_lines(spark: SparkSession, root: str, source: str, max_files_per_trig
 
 
 def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str, load_ts=None) -> None:
-    """Bronze raw + parsed + file issues of one micro-batch (idempotent).
+    """Bronze raw + parsed + issues of one micro-batch (idempotent).
 
     The batch's records are written once to the shared folder while the
     split layout is pinned (every text scan sees the same splits); the three
@@ -44,15 +44,16 @@ def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str
     landed = ingest.Landed(records, ingest.bad_files(records))
     for name, df in (("raw", ingest.to_raw(landed, ts)),
                      ("parsed", ingest.to_parsed(landed, source, ts)),
+                     ("parse_issues", ingest.parse_issues(ingest.to_parsed(landed, source, ts, keep_corrupt=True))),
                      ("file_issues", landed.file_issues)):
         df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/batch={batch_id}")
 
 
 def stream_bronze(spark: SparkSession, root: str, source: str, out: str, checkpoint: str,
                   load_ts=None, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest stream; call ``awaitTermination()`` on the result."""
-    lines = stream_lines(spark, root, source)
+    lines = stream_lines(spark, root, source, max_files_per_trigger)
     writer = (lines.writeStream
               .foreachBatch(lambda df, bid: load_batch(df, bid, root, source, out, load_ts))
               .option("checkpointLocation", checkpoint))

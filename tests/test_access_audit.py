@@ -10,23 +10,23 @@ def test_row_policy(spark):
     ents = constants.entitlements(constants.reference_scope(spark))
     df = _facts(spark)
     seen = lambda role: sorted({r.market for r in access.restrict(df, ents, role).collect()})
-    assert seen("RB_USA_ANALYST") == ["USA"]
-    assert seen("RB_HQ_ANALYST") == ["DEU", "GBR", "USA"]
+    assert seen("MARKET_USA_ANALYST") == ["USA"]
+    assert seen("MARKET_HQ_ANALYST") == ["DEU", "GBR", "USA"]
     assert seen("ACCOUNTADMIN") == ["DEU", "GBR", "USA"]
     assert seen("NOBODY") == []
     union = set()
     for m in ("USA", "GBR", "DEU"):
-        union |= {tuple(r) for r in access.restrict(df, ents, f"RB_{m}_ANALYST").collect()}
-    assert union == {tuple(r) for r in access.restrict(df, ents, "RB_HQ_ANALYST").collect()}
+        union |= {tuple(r) for r in access.restrict(df, ents, f"MARKET_{m}_ANALYST").collect()}
+    assert union == {tuple(r) for r in access.restrict(df, ents, "MARKET_HQ_ANALYST").collect()}
 
 
 def test_visible_markets_and_counts(spark):
     ents = constants.entitlements(constants.reference_scope(spark))
     vis = {r.role_name: r.visible_markets for r in access.visible_markets(
-        _facts(spark), ents, ["RB_GBR_ANALYST", "RB_HQ_ANALYST", "SYSADMIN", "NOBODY"]).collect()}
-    assert vis == {"RB_GBR_ANALYST": ["GBR"], "RB_HQ_ANALYST": ["DEU", "GBR", "USA"],
+        _facts(spark), ents, ["MARKET_GBR_ANALYST", "MARKET_HQ_ANALYST", "SYSADMIN", "NOBODY"]).collect()}
+    assert vis == {"MARKET_GBR_ANALYST": ["GBR"], "MARKET_HQ_ANALYST": ["DEU", "GBR", "USA"],
                    "SYSADMIN": ["DEU", "GBR", "USA"], "NOBODY": []}
-    counts = [tuple(r) for r in access.role_listing_counts(_facts(spark), ents, "RB_USA_ANALYST").collect()]
+    counts = [tuple(r) for r in access.role_listing_counts(_facts(spark), ents, "MARKET_USA_ANALYST").collect()]
     assert counts == [("USA", 3)]
 
 
@@ -63,7 +63,7 @@ def test_row_policy_prunes_market_partitions(spark, tmp_dir):
     df = spark.createDataFrame([(m, i) for m in ("USA", "GBR", "DEU") for i in range(10)], "market string, v int")
     back = layers.write_layer(df, tmp_dir, "gold", "t")
     ents = constants.entitlements(constants.reference_scope(spark))
-    r = access.restrict(back, ents, "RB_GBR_ANALYST")
+    r = access.restrict(back, ents, "MARKET_GBR_ANALYST")
     plan = r._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "dynamicpruningexpression(market" in plan  # only entitled partitions are read

@@ -70,3 +70,24 @@ def test_sample_review_and_reports(spark):
     counts = [tuple(r) for r in labels.label_counts(review).collect()]
     assert counts[0] == (labels.MEAL, 10)
     assert labels.recent(review, 3).count() == 3
+
+
+def test_whole_words_addons_and_drink_kinds(spark):
+    rows = [("Mexican rice bowl", None, None, None), ("Candy bar", None, None, None), ("Margherita", "choose your drink", None, None),
+            ("Fizz", None, None, "Soft Drinks"), ("Sparkling 0.5 l", None, None, None), ("Canteen special", None, None, None)]
+    df = _frame(spark, [(n, a, c, k, None, None, 1.0, None, None, False) for n, a, c, k in rows])
+    out = {r.file_row_number: r.predicted_label for r in labels.label(labels.scope_sample(df)).collect()}
+    assert [out[i] for i in range(6)] == [labels.MEAL, labels.UNCLEAR, labels.MEAL, labels.STANDALONE, labels.STANDALONE, labels.UNCLEAR]
+
+
+def test_persisted_predictions_are_not_scored_again(spark, tmp_dir):
+    from stratum.operators import monitoring
+
+    rows = [e[:-1] for e in EXAMPLES]
+    first = labels.scope_sample(_frame(spark, rows[:2]))
+    table = labels.append_predictions(labels.to_review_table(labels.label(first), "2024-01-01 00:00:00"), tmp_dir)
+    todo = monitoring.to_score(labels.scope_sample(_frame(spark, rows)), table)
+    assert sorted(r.file_row_number for r in todo.collect()) == [2, 3]
+    table = labels.append_predictions(labels.to_review_table(labels.label(todo), "2024-01-02 00:00:00"), tmp_dir)
+    assert table.count() == 4 and monitoring.to_score(labels.scope_sample(_frame(spark, rows)), table).count() == 0
+    assert [r.item_name for r in labels.recent(table, 2).collect()] == [rows[2][0], rows[3][0]]

@@ -1,4 +1,4 @@
-"""The optional label scorer hook with a real Arrow-batched pandas UDF."""
+"""The optional label scorer hook with curated patterns."""
 from stratum.operators import labels
 
 COLS = ("market string, source_file string, file_row_number long, id_outlet string, id_beverage string, "
@@ -7,7 +7,7 @@ COLS = ("market string, source_file string, file_row_number long, id_outlet stri
         "item_price double, item_brand string, item_subbrand string, has_addon_prompt boolean")
 
 
-def test_pandas_udf_scorer_only_for_undecided(spark):
+def test_pattern_scorer_only_for_undecided(spark):
     scorer = labels.pattern_scorer([("mystery", labels.STANDALONE), ("not a label", "bogus")])
     rows = [("GBR", "f", 0, "o", "b", "d", "Cola 330ml can", None, "Drinks", None, None, None, 1.0, None, None, False),
             ("GBR", "f", 1, "o", "b", "d", "Mystery item", None, None, None, None, None, 1.0, None, None, False),

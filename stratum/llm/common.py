@@ -3,7 +3,10 @@ tables written to the shared folder, size-checked semi joins, components."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +22,14 @@ BROADCAST_IDS = 1_000_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def chunks(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches: Python objects are made of few texts at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def words(text: str | None) -> list[bytes]:
     """UTF-8 words with A-Z lower-cased; bytes.split() cuts at exactly the
     ASCII white space of WORD."""

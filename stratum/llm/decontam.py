@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashes, mix, saved
+from .common import chunks, hashes, mix, saved
 
 #: Fixed values of the alignment: a matching word, a differing one, a gap.
 MATCH, DIFFER, GAP = 2, 1, 1
@@ -157,7 +157,7 @@ def _rare(docs: DataFrame, seeds: Seeds, rare: float) -> Seeds:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, n = Seeds.of(known.value), 0
         hit = {w: np.zeros(len(k), np.int64) for w, k in s.key.items()}
-        for b in batches:
+        for b in chunks(batches):
             n += b.num_rows
             for text in b["text"].to_pylist():
                 for w, _, g in s.found(tokens(text)):
@@ -206,7 +206,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float
 
         def rows(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             s = Seeds.of(known.value)
-            for b in batches:
+            for b in chunks(batches):
                 hit = [(i, c) for i, t in enumerate(b["text"].to_pylist()) for c in s.copies(tokens(t), least)]
                 columns = [b["doc_id"].take(pa.array([i for i, _ in hit], pa.int64())), pa.array([s.ids[c[0]] for _, c in hit]),
                            *(pa.array([c[k] for _, c in hit], t) for k, t in ((1, pa.float64()), (2, pa.int32()), (3, pa.int64()), (4, pa.int64())))]
@@ -225,7 +225,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float =
 
         def rows(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             s = Seeds.of(known.value)
-            for b in batches:
+            for b in chunks(batches):
                 yield b.filter(pa.array([not s.copies(tokens(t), least) for t in b["text"].to_pylist()], pa.bool_()))
 
         docs = saved(docs.mapInArrow(rows, docs.schema), "uncontaminated")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, components, hashes, mix, saved, semi, shingles, words
+from .common import BROADCAST_IDS, chunks, components, hashes, mix, saved, semi, shingles, words
 
 #: A region with more shingles or documents is split before it is joined.
 LEAF_SHINGLES, LEAF_DOCS = 4_000_000, 8192
@@ -85,7 +85,7 @@ def _point(s: np.ndarray) -> int:
 def sketch(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n_shingles and the point x of every row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             sets = (shingles(hashes(words(t)), k) for t in b["text"].to_pylist())
             n, x = zip(*((len(s), _point(s)) for s in sets), strict=True) if b.num_rows else ((), ())
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(x, pa.int64())], ["doc_id", "n_shingles", "x"])
@@ -101,16 +101,15 @@ def _filed(docs: DataFrame, k: int, least: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for b in batches:
-            for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
-                sigs, xs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for t in part["text"].to_pylist():
-                    s = shingles(hashes(words(t)), k)
-                    if len(s) and (x := _point(s)) not in seen:
-                        seen.add(x)
-                        sigs.append(signatures(s, least, plan))
-                        xs.append(np.full(len(sigs[-1]), x))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(xs))], ["sig", "x"])
+        for b in chunks(batches):
+            sigs, xs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for t in b["text"].to_pylist():
+                s = shingles(hashes(words(t)), k)
+                if len(s) and (x := _point(s)) not in seen:
+                    seen.add(x)
+                    sigs.append(signatures(s, least, plan))
+                    xs.append(np.full(len(sigs[-1]), x))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(xs))], ["sig", "x"])
 
     return docs.filter("doc_id is not null").select("text").mapInArrow(rows, "sig bigint, x bigint")
 
@@ -119,7 +118,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     """(x, shingles) of the rows' points, each once per task at most."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for b in batches:
+        for b in chunks(batches):
             sets = {_point(s): s.tobytes() for s in (shingles(hashes(words(t)), k) for t in b["text"].to_pylist())}
             new = [x for x in sets if x not in seen]
             seen.update(new)
@@ -193,7 +192,7 @@ def join_region(ids: list, sets: list[np.ndarray], least: int) -> list[tuple]:
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Members (ids, sets) of each region of a partition sorted by region, x."""
     now, ids, sets = None, [], []
-    for b in batches:
+    for b in chunks(batches):
         for region, x, s in zip(b["region"].to_pylist(), b["x"].to_pylist(), b["shingles"].to_pylist(), strict=True):
             if region != now and ids:
                 yield ids, sets
@@ -228,7 +227,7 @@ def _cells(large: DataFrame, sets: DataFrame, least: int, level: int, pivots: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         radius = 1 - least / 100 + 1e-9
-        for b in batches:
+        for b in chunks(batches):
             out = [[], [], [], []]
             for region, x, n, s, ps in zip(*(b[c].to_pylist() for c in ("region", "x", "n", "shingles", "pivots")), strict=True):
                 own = np.frombuffer(s, np.uint64)

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import chunks
+
 #: Base patterns with the least length of group 2 or of the match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -94,7 +96,7 @@ def scan(docs: DataFrame, vocabulary: str = VOCABULARY, most_ratio: float = MOST
 
         encoder = tiktoken.Encoding("secrets", pat_str=PIECES, mergeable_ranks=known.value, special_tokens={})
         order = {k: i for i, k in enumerate(KINDS)}
-        for b in batches:
+        for b in chunks(batches):
             out: list[list] = [[] for _ in range(6)]
             for text in b["text"].to_pylist():
                 base = base_spans(text or "")

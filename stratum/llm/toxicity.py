@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from .common import chunks, saved
 
 #: Bounds of the fitting sample (documents) and of the model (terms).
 MOST_POSITIVE, MOST_UNLABELLED, MOST_TERMS = 4000, 8000, 128
@@ -44,7 +44,7 @@ def _presence(vocabulary: list[str]):
     at = {t: i for i, t in enumerate(vocabulary)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             x = np.zeros((b.num_rows, len(at)), bool)
             for i, text in enumerate(b["text"].to_pylist()):
                 x[i, [at[t] for t in terms(text) if t in at]] = True
@@ -85,7 +85,7 @@ def fit(docs: DataFrame, labels: DataFrame, steps: int = 600, rate: float = 0.05
     chosen = saved(chosen, "toxic-sample")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             for part, text in zip(b["part"].to_pylist(), b["text"].to_pylist(), strict=True):
                 found = list(terms(text))
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array(found, pa.string())], ["part", "term"])
@@ -137,7 +137,7 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
     scores = _scorer(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(scores(b["text"]))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType
@@ -151,7 +151,7 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> Da
     scores = _scorer(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             yield b.filter(pa.array(scores(b["text"]) < threshold))
 
     return docs.mapInArrow(rows, docs.schema)

@@ -314,9 +314,15 @@ def ingest_raw_body(load_ts: str) -> str:
             f"cast('{load_ts}' as timestamp) as load_timestamp, {_null_if('trim(line)')} as raw_data from numbered")
 
 
-FILE_REJECT_BODY = (f"select {SOURCE_DIR_SQL} as source_dir, 'UNBALANCED_QUOTES' as issue from "
-                    "(select market, bucket, sum(case when stray then 1 else 0 end) as n_stray from landed "
-                    "group by market, bucket) f where n_stray % 2 = 1")
+FILE_REJECT_BODY = f"select {SOURCE_DIR_SQL} as source_dir, 'UNBALANCED_QUOTES' as issue from landed where stray"
+PARSE_ISSUES_BODY = f"select market, {SOURCE_DIR_SQL} as source_dir, file_row_number from numbered where stray"
+
+
+def ingest_lines_body(load_ts: str) -> str:
+    """Raw rows as the line format reads them: each physical line is one."""
+    return (f"select market, source_dir, file_row_number + i as file_row_number, cast('{load_ts}' as timestamp) as load_timestamp, "
+            f"{_null_if('trim(part)')} as raw_data from (select market, {SOURCE_DIR_SQL} as source_dir, file_row_number, "
+            "unnest(range(0, len(string_split(line, chr(10))))) as i, unnest(string_split(line, chr(10))) as part from numbered) x")
 
 
 # --- monitoring extensions -------------------------------------------------------------------

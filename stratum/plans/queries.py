@@ -351,10 +351,24 @@ def ingest_parsed(spark, sf_dir):
 
 @register("ingest_raw", oracle.with_(oracle.landed_ctes(), oracle.ingest_raw_body(_TS)))
 def ingest_raw(spark, sf_dir):
+    load = ingest.ingest(spark, _land_events(spark, sf_dir), "matching", _TS, raw_mode="record")
+    return _source_dir(load.raw).select("market", "source_dir", "file_row_number", "load_timestamp", "raw_data")
+
+
+@register("ingest_raw_lines", oracle.with_(oracle.landed_ctes(), oracle.ingest_lines_body(_TS)))
+def ingest_raw_lines(spark, sf_dir):
+    """The raw table as the raw line format reads it: no enclosure."""
     load = ingest.ingest(spark, _land_events(spark, sf_dir), "matching", _TS)
     return _source_dir(load.raw).select("market", "source_dir", "file_row_number", "load_timestamp", "raw_data")
 
 
+@register("ingest_parse_issues", oracle.with_(oracle.landed_ctes(), oracle.PARSE_ISSUES_BODY))
+def ingest_parse_issues(spark, sf_dir):
+    """Rows with too many or too few fields, kept and reported."""
+    load = ingest.ingest(spark, _land_events(spark, sf_dir, with_stray=True), "matching", _TS)
+    return _source_dir(load.parse_issues).select("market", "source_dir", "file_row_number")
+
+
 @register("file_reject", oracle.with_(oracle.landed_ctes()[:1], oracle.FILE_REJECT_BODY))
 def file_reject(spark, sf_dir):
     load = ingest.ingest(spark, _land_events(spark, sf_dir, with_stray=True), "matching", _TS)
@@ -366,7 +380,7 @@ def ingest_stream(spark, sf_dir):
     """The same landed files loaded by the streaming ingest (availableNow)."""
     root = _land_events(spark, sf_dir)
     out = shared_dir(spark, "bronze_stream", unique=True)
-    q = file_ingest.stream_bronze(spark, root, "matching", out, f"{out}/_checkpoint", load_ts=_TS)
+    q = file_ingest.stream_bronze(spark, root, "matching", out, f"{out}/_checkpoint", load_ts=_TS, max_files_per_trigger=16)
     q.awaitTermination()
     return _source_dir(file_ingest.read_bronze(spark, out, "parsed")).select(*_PARSED_OUT)
 

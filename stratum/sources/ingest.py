@@ -6,20 +6,24 @@ both bronze tables:
 
 1. ``read_lines``: text scan with file path and split (block) start; a
    monotonically increasing id gives each line's position inside its split.
+   The lines are written once with their split keys and two flags; all that
+   follows derives from that table, so no second scan has to cut the files
+   the same way.
 2. ``number_lines``: per-split counts (one row per split, tiny) are
    prefix-summed per file and joined back -> the file line number.  No
    window over a whole file, so one huge file is still read by many tasks.
-3. ``assemble_records``: a quoted field may hold newlines.  A line starts a
-   record when the number of quotes before it in the file is even.  Files
-   whose lines all hold an even number of quotes (the common case) need no
-   assembly: record = line.  Only the other files take the slow path: the
-   quote parity and record ids come from per-split running sums plus the
-   same split-offset trick, then the lines of each record are grouped.
-   Files with an odd total number of quotes cannot be split into records
-   and are reported as bad files.
-4. ``to_raw`` / ``to_parsed``: raw keeps the record text; parsed binds the
-   fields by position with ``from_csv`` (short rows are NULL-filled, long
-   rows truncated, both flagged in ``_corrupt``).
+3. ``assemble_records``: a field that begins with a quote is enclosed and may
+   hold tabs and newlines; a quote anywhere else in a field is data.  A line
+   is a small state machine: where it ends (inside or outside a field) if it
+   starts outside, and if it starts inside.  Files without a line that opens
+   a field (the common case) need no assembly: record = line.  In the others
+   the states of lines are chained within each split and of splits within the
+   file, and the lines of each record are grouped.  An enclosed field that
+   never ends is reported; the lines from its record on are records each, so
+   nothing is lost and no record outgrows a task.
+4. ``to_raw`` / ``to_parsed``: raw keeps the lines (or the record text);
+   parsed binds the fields by position with ``from_csv`` (short rows are
+   NULL-filled, long rows truncated, both flagged in ``_corrupt``).
 
 The record number is the file line on which the record starts (header =
 line 0, first data row = 1), shared by raw and parsed rows.
@@ -27,7 +31,6 @@ line 0, first data row = 1), shared by raw and parsed rows.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -51,26 +54,12 @@ CSV_OPTIONS = {
 }
 
 
-@contextmanager
-def fixed_split_layout(spark: SparkSession):
-    """Pin how files are cut into splits for the duration of one load.
-
-    Line numbering joins a per-split table computed by one job with lines
-    scanned by another; both must see identical splits.  Spark sizes splits
-    from ``spark.sql.files.minPartitionNum``, which defaults to the current
-    core count -- it changes when executors are lost or added.  Pinning it
-    makes the layout a function of the files alone, so a job re-planned
-    after an executor loss still cuts the files the same way.
-    """
-    key = "spark.sql.files.minPartitionNum"
-    prev = spark.conf.get(key, None)
-    if prev is None:
-        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        if prev is None:
-            spark.conf.unset(key)
+# One field and its enclosure (possessive: no backtracking, no recursion).
+_BODY = r'[^"]*+(?:""[^"]*+)*+'
+_FIELD = rf'(?:\x20*+"{_BODY}"[^\t]*+|(?!\x20*+")[^\t]*+)'
+_OPENS = rf'(?:{_FIELD}\t)*+\x20*+"{_BODY}\z'
+OPEN_FROM_OUTSIDE = rf'^{BOM}?{_OPENS}'
+OPEN_FROM_INSIDE = rf'^{_BODY}\z|^{_BODY}"[^\t]*+\t{_OPENS}'
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -82,95 +71,96 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("_id", F.monotonically_increasing_id()))
 
 
-def _quotes(c: Column) -> Column:
-    return F.length(c) - F.length(F.regexp_replace(c, QUOTE, ""))
-
-
 def _prev_sum(col: str, w) -> Column:
     return F.coalesce(F.sum(col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-# A per-split table row is a file path plus a few longs; 256 bytes is a
-# generous bound.  Up to ~1M splits (~128 TB at 128 MB splits) it is broadcast.
-SPLIT_ROW_BYTES = 256
-MAX_SPLIT_BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-def split_count_bound(lines: DataFrame) -> int | None:
-    """Upper bound on the number of file splits behind ``lines``, from
-    planning metadata only (no job): splits <= scan partitions + files,
-    since a split never exceeds a partition and each file adds at most one
-    partial split."""
-    try:
-        return lines.rdd.getNumPartitions() + len(lines.inputFiles())
-    except Exception:  # noqa: BLE001 - e.g. a source without a file listing
-        return None
-
-
-def _small(splits: DataFrame, bound: int | None) -> DataFrame:
-    """Broadcast a per-split table only behind its proven size bound;
-    beyond it the join is left to AQE (shuffle join)."""
-    if bound is not None and bound * SPLIT_ROW_BYTES <= MAX_SPLIT_BROADCAST_BYTES:
-        return F.broadcast(splits)
-    return splits
-
-
 def _keep(df: DataFrame) -> DataFrame:
     return df
 
 
-def number_lines(lines: DataFrame, bound: int | None = None, cut=_keep) -> DataFrame:
-    """Add ``line_no`` (0-based in the file), quote counts and file stats.
+def line_states(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``_out`` and ``_in``: whether the line ends inside an
+    enclosed field if it starts outside of one, and if it starts inside."""
+    return lines.withColumn("_out", F.col("value").rlike(OPEN_FROM_OUTSIDE).cast("int")).withColumn(
+        "_in", F.col("value").rlike(OPEN_FROM_INSIDE).cast("int"))
+
+
+def number_lines(lines: DataFrame, cut=_keep) -> DataFrame:
+    """Add ``line_no`` (0-based in the file) and file flags.
 
     ``cut`` materialises the per-split table (one row per split) so that
     every branch reading it scans a small table instead of re-running the
     aggregation over the whole input."""
-    lines = lines.withColumn("_q", _quotes(F.col("value")))
     splits = (lines.groupBy("file_path", "block_start")
-              .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"),
-                   F.sum("_q").alias("_qs"), F.sum((F.col("_q") % 2).cast("long")).alias("_odd"),
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"), F.max("_out").alias("_opens"),
                    F.max(~F.is_valid_utf8("value")).alias("_enc")))
     by_file = Window.partitionBy("file_path").orderBy("block_start")
     whole = Window.partitionBy("file_path")
     splits = (splits
               .withColumn("_line0", _prev_sum("_n", by_file))
-              .withColumn("_qoff", _prev_sum("_qs", by_file))
-              .withColumn("_file_quotes", F.sum("_qs").over(whole))
-              .withColumn("_file_odd_lines", F.sum("_odd").over(whole))
+              .withColumn("_file_opens", F.max("_opens").over(whole) == 1)
               .withColumn("_file_bad_enc", F.max("_enc").over(whole))
-              .drop("_n", "_qs", "_odd", "_enc"))
-    return (lines.join(_small(cut(splits), bound), ["file_path", "block_start"])
+              .drop("_n", "_opens", "_enc"))
+    return (lines.join(cut(splits), ["file_path", "block_start"])
             .withColumn("line_no", F.col("_line0") + F.col("_id") - F.col("_id0")))
 
 
-def assemble_records(numbered: DataFrame, bound: int | None = None, cut=_keep) -> DataFrame:
+def _chained(start: Column, flips: Column, last_set: Column) -> Column:
+    """The state after a chain of steps, of which each sets it, flips it or
+    keeps it: the last value set (or ``start``), turned by the flips since."""
+    since = flips - F.coalesce(last_set["flips"], F.lit(0))
+    return F.pmod(F.coalesce(last_set["value"], start) + since, F.lit(2)).cast("int")
+
+
+def _chain(df: DataFrame, out: str, into: str, w) -> DataFrame:
+    """``df`` with _flips and _set, the running sums behind ``_chained``."""
+    flip = F.when((F.col(out) == 1) & (F.col(into) == 0), 1).otherwise(0)
+    df = df.withColumn("_flips", F.sum(flip).over(w))
+    fixed = F.when(F.col(out) == F.col(into), F.struct(F.col(out).alias("value"), F.col("_flips").alias("flips")))
+    return df.withColumn("_set", F.last(fixed, ignorenulls=True).over(w))
+
+
+def assemble_records(numbered: DataFrame, cut=_keep) -> DataFrame:
     """file_path, record_line, record, bad-file flags: one row per record.
 
-    ``cut`` materialises the windowed lines of files with multi-line
-    records (only those files), which three later steps read."""
-    flags = ["_file_quotes", "_file_odd_lines", "_file_bad_enc"]
-    simple = (numbered.filter(F.col("_file_odd_lines") == 0)
-              .select("file_path", F.col("line_no").alias("record_line"),
-                      F.col("value").alias("record"), *flags))
-    multi = numbered.filter(F.col("_file_odd_lines") > 0)
-    in_split = Window.partitionBy("file_path", "block_start").orderBy("_id")
-    multi = (multi
-             .withColumn("_start", ((F.col("_qoff") + _prev_sum("_q", in_split)) % 2) == 0)
-             .withColumn("_starts", F.sum(F.col("_start").cast("long"))
-                         .over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
-             .select("file_path", "block_start", "line_no", "value", "_q", "_start", "_starts", *flags))
-    multi = cut(multi)
-    starts = (multi.groupBy("file_path", "block_start").agg(F.sum(F.col("_start").cast("long")).alias("_ns"))
-              .withColumn("_soff", _prev_sum("_ns", Window.partitionBy("file_path").orderBy("block_start")))
-              .drop("_ns"))
-    multi = (multi.join(_small(starts, bound), ["file_path", "block_start"])
-             .withColumn("_record_id", F.col("_soff") + F.col("_starts")))
-    # A line that starts a record and holds an even number of quotes is a
-    # whole record: only lines of multi-line records take the grouping shuffle.
-    whole = F.col("_start") & ((F.col("_q") % 2) == 0)
-    single = (multi.filter(whole)
+    ``cut`` materialises the chained lines of files with enclosed newlines
+    (only those files), which three later steps read."""
+    flags = ["_file_open_end", "_file_bad_enc"]
+    simple = (numbered.filter(~F.col("_file_opens"))
+              .select("file_path", F.col("line_no").alias("record_line"), F.col("value").alias("record"),
+                      F.lit(False).alias("_file_open_end"), "_file_bad_enc"))
+    multi = numbered.filter(F.col("_file_opens"))
+    order = Window.partitionBy("file_path", "block_start").orderBy("_id")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    multi = _chain(multi, "_out", "_in", upto)
+    for s in (0, 1):  # the state after and before each line, and records begun, if the split starts so
+        multi = multi.withColumn(f"_after{s}", _chained(F.lit(s), F.col("_flips"), F.col("_set")))
+        multi = multi.withColumn(f"_before{s}", F.coalesce(F.lag(f"_after{s}").over(order), F.lit(s)))
+        multi = multi.withColumn(f"_begun{s}", F.sum(1 - F.col(f"_before{s}")).over(upto))
+    multi = cut(multi.select("file_path", "block_start", "_id", "line_no", "value", "_file_bad_enc",
+                             *[f"_{c}{s}" for c in ("after", "before", "begun") for s in (0, 1)]))
+    splits = multi.groupBy("file_path", "block_start").agg(
+        *[F.max_by(f"_{c}{s}", "_id").alias(f"_{c}{s}") for c in ("after", "begun") for s in (0, 1)])
+    by_file = Window.partitionBy("file_path").orderBy("block_start")
+    splits = _chain(splits, "_after0", "_after1", by_file.rowsBetween(Window.unboundedPreceding, 0))
+    splits = splits.withColumn("_ends", _chained(F.lit(0), F.col("_flips"), F.col("_set")))
+    splits = splits.withColumn("_from", F.coalesce(F.lag("_ends").over(by_file), F.lit(0)))
+    splits = splits.withColumn("_records", F.when(F.col("_from") == 0, F.col("_begun0")).otherwise(F.col("_begun1")))
+    whole = Window.partitionBy("file_path")
+    splits = cut(splits.withColumn("_first", _prev_sum("_records", by_file))
+                 .withColumn("_file_records", F.sum("_records").over(whole))
+                 .withColumn("_file_open_end", F.max_by("_ends", "block_start").over(whole) == 1)
+                 .select("file_path", "block_start", "_from", "_first", "_file_records", "_file_open_end"))
+    pick = lambda c: F.when(F.col("_from") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1"))
+    multi = (multi.join(splits, ["file_path", "block_start"])
+             .withColumn("_record_id", F.col("_first") + pick("_begun"))
+             .withColumn("_alone", (F.col("_file_open_end") & (F.col("_record_id") == F.col("_file_records")))
+                         | ((pick("_before") == 0) & (pick("_after") == 0))))
+    # whole lines, and what follows a field that never ends, take no grouping
+    single = (multi.filter(F.col("_alone"))
               .select("file_path", F.col("line_no").alias("record_line"), F.col("value").alias("record"), *flags))
-    grouped = (multi.filter(~whole)
+    grouped = (multi.filter(~F.col("_alone"))
                .groupBy("file_path", "_record_id")
                .agg(F.min("line_no").alias("record_line"),
                     F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("_parts"),
@@ -194,8 +184,8 @@ def market_of(rel: Column) -> Column:
 
 @dataclass
 class Landed:
-    """Assembled records of one source plus the files that cannot be loaded."""
-    records: DataFrame      # market, source_file, file_row_number, record, _bad_raw, _bad_parsed
+    """Assembled records of one source plus the files with an issue."""
+    records: DataFrame      # market, source_file, file_row_number, record, _open_end, _bad_enc
     file_issues: DataFrame  # source_file, issue
     lines: DataFrame | None = None  # physical lines: market, source_file, file_row_number, value, _bad_enc
 
@@ -203,10 +193,9 @@ class Landed:
 def land(spark: SparkSession, root: str, source: str, cut_lineage: bool = False) -> Landed:
     """Scan ``<root>/<SOURCE>/`` and assemble records.
 
-    With ``cut_lineage`` the two reused intermediates (per-split table,
-    windowed multi-line files) are written once to the shared folder: the
-    input text is then read three times in all (split statistics, files
-    without and files with multi-line records) instead of once per use."""
+    With ``cut_lineage`` the text is scanned once: its lines are written to
+    the shared folder with their split keys, and the reused intermediates
+    (per-split table, chained lines) are written from there."""
     folder = f"{root.rstrip('/')}/{SOURCE_FOLDERS[source]}"
     return land_lines(read_lines(spark, folder), root, cut_lineage)
 
@@ -215,31 +204,29 @@ def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed
     """Records from a lines frame (value, file_path, block_start, _id); also
     used on each micro-batch of the streaming ingest."""
     from .layers import materialize
-    bound = split_count_bound(lines)
     cut = (lambda df: materialize(df, "ingest-step")) if cut_lineage else _keep
-    numbered = number_lines(lines, bound, cut)
-    recs = assemble_records(numbered, bound, cut)
+    numbered = number_lines(cut(line_states(lines)), cut)
+    recs = assemble_records(numbered, cut)
     rel = _relative(F.col("file_path"), root)
     physical = numbered.select(market_of(rel).alias("market"), rel.alias("source_file"),
                                F.col("line_no").cast("long").alias("file_row_number"),
                                F.regexp_replace("value", "^" + BOM, "").alias("value"),
                                F.col("_file_bad_enc").alias("_bad_enc"))
-    unbalanced = (F.col("_file_quotes") % 2) == 1
     recs = recs.select(
         market_of(rel).alias("market"), rel.alias("source_file"),
         F.col("record_line").cast("long").alias("file_row_number"),
         F.regexp_replace("record", "^" + BOM, "").alias("record"),
-        (unbalanced | F.col("_file_bad_enc")).alias("_bad_raw"),
-        unbalanced.alias("_bad_parsed"))
+        F.col("_file_open_end").alias("_open_end"), F.col("_file_bad_enc").alias("_bad_enc"))
     return Landed(recs, bad_files(recs), physical)
 
 
 def bad_files(records: DataFrame) -> DataFrame:
-    """source_file, issue for every file that cannot be loaded whole."""
-    return (records.filter(F.col("_bad_raw"))
+    """source_file, issue: files that end inside an enclosed field (their rows
+    are kept) and files that cannot be decoded (raw skips them)."""
+    return (records.filter(F.col("_open_end") | F.col("_bad_enc"))
             .groupBy("source_file")
-            .agg(F.max(F.col("_bad_parsed")).alias("_unbalanced"))
-            .select("source_file", F.when(F.col("_unbalanced"), F.lit(UNBALANCED_QUOTES))
+            .agg(F.max("_open_end").alias("_open"))
+            .select("source_file", F.when(F.col("_open"), F.lit(UNBALANCED_QUOTES))
                     .otherwise(F.lit(INVALID_ENCODING)).alias("issue")))
 
 
@@ -249,22 +236,19 @@ def _ts(load_ts) -> Column:
     return F.lit(load_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def to_raw(landed: Landed, load_ts=None, mode: str = "record") -> DataFrame:
-    """Raw bronze: one string per row; bad files are skipped whole.
+def to_raw(landed: Landed, load_ts=None, mode: str = "line") -> DataFrame:
+    """Raw bronze: one string per row; files that cannot be decoded are
+    skipped whole (S10).
 
-    ``mode="record"`` (default): the assembled record, numbered like the
-    parsed row, so raw and parsed always pair up.  ``mode="line"``: every
-    physical line as the raw line format reads it (no quote awareness, so a
-    quoted newline gives two rows and only undecodable files are skipped).
+    ``mode="line"`` (default): every physical line, as the raw line format
+    reads it: it knows no enclosure, so a quote never costs a row.
+    ``mode="record"``: the assembled record, numbered like the parsed row.
     """
     ts = _ts(load_ts).alias("load_timestamp")
-    if mode == "line":
-        r = landed.lines.filter((F.col("file_row_number") > 0) & ~F.col("_bad_enc"))
-        return r.select("market", "source_file", "file_row_number", ts,
-                        null_if_token(F.trim(F.col("value")), NULL_TOKENS).alias("raw_data"))
-    r = landed.records.filter((F.col("file_row_number") > 0) & ~F.col("_bad_raw"))
+    rows, text = (landed.lines, "value") if mode == "line" else (landed.records, "record")
+    r = rows.filter((F.col("file_row_number") > 0) & ~F.col("_bad_enc"))
     return r.select("market", "source_file", "file_row_number", ts,
-                    null_if_token(F.trim(F.col("record")), NULL_TOKENS).alias("raw_data"))
+                    null_if_token(F.trim(F.col(text)), NULL_TOKENS).alias("raw_data"))
 
 
 def parse_records(records: DataFrame, source: str) -> DataFrame:
@@ -282,8 +266,7 @@ def to_parsed(landed: Landed, source: str, load_ts=None, keep_corrupt: bool = Fa
 
     ``keep_raw`` carries the record text as ``raw_data`` from the same scan,
     so staging needs no lineage join back to the raw table."""
-    r = landed.records.filter((F.col("file_row_number") > 0) & ~F.col("_bad_parsed"))
-    p = parse_records(r, source)
+    p = parse_records(landed.records.filter(F.col("file_row_number") > 0), source)
     cols = ["market", "source_file", "file_row_number", _ts(load_ts).alias("load_timestamp")]
     cols += [f.name for f in payload_schema(source).fields]
     if keep_corrupt:
@@ -308,22 +291,18 @@ class BronzeLoad:
 
 
 def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
-           staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "record") -> BronzeLoad:
+           staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "line") -> BronzeLoad:
     """Both bronze tables of one source from a single scan.
 
-    ``staged_records`` writes the assembled records once to the shared
-    folder (lineage cut) so the raw and parsed outputs do not each re-run
-    the scan and the record assembly.
+    ``staged_records`` writes the lines and the assembled records once to the
+    shared folder (lineage cut), so no output re-runs the scan or the record
+    assembly.
     """
     from .layers import materialize
+    landed = land(spark, root, source, cut_lineage=staged_records)
     if staged_records:
-        # every scan of the text happens inside this block, on one split layout
-        with fixed_split_layout(spark):
-            landed = land(spark, root, source, cut_lineage=True)
-            recs = materialize(landed.records, f"records-{source}")
+        recs = materialize(landed.records, f"records-{source}")
         landed = Landed(recs, bad_files(recs), landed.lines)
-    else:
-        landed = land(spark, root, source)
     ts = _ts(load_ts) if load_ts is not None else _ts(None)
     issues = parse_issues(to_parsed(landed, source, ts, keep_corrupt=True))
     return BronzeLoad(to_raw(landed, ts, raw_mode), to_parsed(landed, source, ts, keep_raw=keep_raw),

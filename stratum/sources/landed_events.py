@@ -1,8 +1,9 @@
 """Landing files derived from ``events`` (matching-shaped rows).
 
 Some values carry a quote, a tab and a newline (one record on two lines),
-some are the NULL token.  ``stray`` rows end with an unbalanced quote and
-are used for the bad-file path only.
+some a quote inside or at their start, some are the NULL token.  ``stray``
+rows end with a field that opens and never ends; they are used for the
+file and parse issues only.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from . import landing, standins
 
 VALUES = dict(standins._MATCHING)
 VALUES["merged_chain_name"] = ("case when event_id % 10 = 0 then concat('chain \"', event_type, '\"', chr(9), "
-                               "'x', chr(10), 'y') else concat('chain-', cast(user_id % 10 as string)) end")
+                               "'x', chr(10), 'y') when event_id % 10 = 5 then concat('size 12\" ', event_type) "
+                               "when event_id % 10 = 7 then concat('\"', event_type) else concat('chain-', cast(user_id % 10 as string)) end")
 VALUES["sd"] = "case when event_id % 17 = 0 then 'NULL' else cast(event_id % 12 as string) end"
 
-STRAY = "(event_type = 'error' and event_id % 40 = 0)"
+# The last row of a third of the files opens a field more that never ends.
+STRAY = ("(event_id % 8 % 3 = 0 and event_id % 10 <> 0 and "
+         "row_number() over (partition by r_name, event_id % 8 order by event_id desc) = 1)")
 
 ROWS_SQL = ("select upper(r_name) as market, event_id % 8 as bucket, event_id as seq, event_id, "
             + landing.line_sql("matching", VALUES) + " as line, "
@@ -32,5 +36,5 @@ def landing_rows(spark: SparkSession, sf_dir: str, with_stray: bool = False) ->
                      region=standins.read_table(spark, sf_dir, "region"))
     if with_stray:
         from pyspark.sql import functions as F
-        rows = rows.withColumn("line", F.concat("line", F.when(F.col("stray"), F.lit('"')).otherwise(F.lit(""))))
+        rows = rows.withColumn("line", F.concat("line", F.when(F.col("stray"), F.lit('\t"')).otherwise(F.lit(""))))
     return rows.select("market", "bucket", "seq", "line")

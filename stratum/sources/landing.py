@@ -2,8 +2,8 @@
 
 Used to land data derived from the driver tables so the ingest path can be
 run end to end.  Fields are encoded with CSV quoting rules written as SQL
-(identical in Spark and DuckDB): NULL -> empty, '' -> "", a value holding a
-tab, newline or quote is quoted with inner quotes doubled.  Files go to
+(identical in Spark and DuckDB): NULL -> empty, '' -> "", a value that holds a
+tab or newline or begins with a quote is enclosed with inner quotes doubled.  Files go to
 ``<root>/<SOURCE>/market=<M>/bucket=<B>/``, one file per folder, rows in
 ``seq`` order after the header line.
 """
@@ -19,7 +19,7 @@ from .schemas import SOURCE_FIELDS, SOURCE_FOLDERS
 def encode_sql(x: str) -> str:
     return (f"case when {x} is null then '' when {x} = '' then '\"\"' "
             f"when instr({x}, chr(9)) > 0 or instr({x}, chr(10)) > 0 or instr({x}, chr(13)) > 0 "
-            f"or instr({x}, '\"') > 0 then concat('\"', replace({x}, '\"', '\"\"'), '\"') else {x} end")
+            f"or ltrim({x}) like '\"%' then concat('\"', replace({x}, '\"', '\"\"'), '\"') else {x} end")
 
 
 def line_sql(source: str, values: dict[str, str]) -> str:

@@ -32,16 +32,14 @@ def stream_lines(spark: SparkSession, root: str, source: str, max_files_per_trig
 def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str, load_ts=None) -> None:
     """Bronze raw + parsed + issues of one micro-batch (idempotent).
 
-    The batch's records are written once to the shared folder while the
-    split layout is pinned (every text scan sees the same splits); the three
-    outputs then read that table, so a lost executor never re-scans text.
+    The batch's lines and records are written once to the shared folder; the
+    outputs read those tables, so a lost executor never re-scans text.
     """
     lines = batch.withColumn("_id", F.monotonically_increasing_id())
-    with ingest.fixed_split_layout(batch.sparkSession):
-        landed = ingest.land_lines(lines, root, cut_lineage=True)
-        records = layers.materialize(landed.records, f"stream-records-{batch_id}")
+    landed = ingest.land_lines(lines, root, cut_lineage=True)
+    records = layers.materialize(landed.records, f"stream-records-{batch_id}")
     ts = ingest._ts(load_ts)
-    landed = ingest.Landed(records, ingest.bad_files(records))
+    landed = ingest.Landed(records, ingest.bad_files(records), landed.lines)
     for name, df in (("raw", ingest.to_raw(landed, ts)),
                      ("parsed", ingest.to_parsed(landed, source, ts)),
                      ("parse_issues", ingest.parse_issues(ingest.to_parsed(landed, source, ts, keep_corrupt=True))),

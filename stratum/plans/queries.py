@@ -77,6 +77,13 @@ def fact_listing(spark, sf_dir):
     return _layers(spark, sf_dir).gold["fct_outlet_product_listing"]
 
 
+@register("fact_listing_joined", oracle.with_(oracle.gold_ctes(), "select * from fct"))
+def fact_listing_joined(spark, sf_dir):
+    """The fact with its product key looked up in the dimension."""
+    lay = _layers(spark, sf_dir)
+    return facts.fct_listing(lay.valid["portfolio"], lay.gold["dim_outlet"], lay.gold["dim_product"])
+
+
 @register("dim_market", oracle.with_([oracle.SCOPE_CTE],
                                      "select " + oracle.sk("market") + " as market_key, market, market_name from scope"))
 def dim_market(spark, sf_dir):
@@ -208,6 +215,15 @@ def row_access(spark, sf_dir):
     return access.restrict(d, constants.entitlements(_scope(spark, sf_dir)), ACCESS_ROLE)
 
 
+@register("policy_counts", oracle.with_(oracle.gold_ctes() + [oracle.DIM_MARKET_CTE, oracle.ENT_CTE], oracle.policy_counts_body(ACCESS_ROLE)))
+def policy_counts(spark, sf_dir):
+    """The policy on all five gold relations, rows seen per market."""
+    lay = _layers(spark, sf_dir, materialized=())
+    seen = access.restrict_all(lay.gold, constants.entitlements(_scope(spark, sf_dir)), ACCESS_ROLE)
+    return checks.union_all([df.groupBy("market").agg(F.count(F.lit(1)).alias("rows_seen")).select(F.lit(n).alias("relation"), "market", "rows_seen")
+                             for n, df in seen.items()])
+
+
 PROBE_ROLES = ("ACCOUNTADMIN", constants.role("UNKNOWN"))
 
 
@@ -281,12 +297,18 @@ def label_counts(spark, sf_dir):
     return labels.label_counts(_review(spark, sf_dir))
 
 
-@register("label_recent", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)],
+RESCORED_AT = "2024-06-09 00:00:00"
+
+
+@register("label_recent", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT), oracle.TWO_RUNS_CTE.format(RESCORED_AT, SCORED_AT)],
                                        "select market, item_name, addon_text, menu_category, "
                                        "drink_category_primary, drink_category_secondary, item_price, "
-                                       f"predicted_label from review order by {oracle.RECENT_ORDER} limit 50"))
+                                       f"predicted_label from runs order by {oracle.RECENT_ORDER} limit 50"))
 def label_recent(spark, sf_dir):
-    return labels.recent(_review(spark, sf_dir), 50)
+    """Two scoring runs: the even rows were scored again a week later."""
+    at = F.when(F.col("file_row_number") % 2 == 0, F.lit(RESCORED_AT)).otherwise(F.lit(SCORED_AT)).cast("timestamp_ntz")
+    scoped = labels.scope_sample(_valid_portfolio(spark, sf_dir))
+    return labels.recent(labels.to_review_table(labels.label(scoped), at), 50)
 
 
 # --- semi-structured path, lineage join, layer tables ------------------------------------
@@ -321,7 +343,7 @@ def layer_roundtrip(spark, sf_dir):
     staged = conform.stg_outlets(standins.parsed_standin(spark, sf_dir, "outlet", True))
     v, _ = quality.split(staged, quality.OUTLET_RULES)
     d = dims.dim_platform(v)
-    layers.write_layer(d, base, "gold", "dim_platform")
+    layers.write_layer(d.withColumn("platform_name", F.lit("before")), base, "gold", "dim_platform")  # must all go
     back = layers.write_layer(d, base, "gold", "dim_platform", mode="overwrite")
     keys = ["platform_key", "market_key"]
     return back.select(*keys, *[c for c in back.columns if c not in keys])
@@ -468,18 +490,22 @@ INCREMENTAL_MARKET = "EUROPE"
 @register("incremental_gold", oracle.with_(oracle.layer_ctes(("outlet",)) + [oracle.DIM_PLATFORM_CTE],
                                            "select * from dim_platform"))
 def incremental_gold(spark, sf_dir):
-    """Build a gold table, then rebuild one market from its bronze
-    slice and overwrite only that market's partition; the table must equal
-    a full rebuild."""
+    """A gold table in which one market is out of date and one is left
+    over; both are rebuilt from their bronze slice (the second has none) and
+    only their partitions are replaced; the table must equal a full rebuild."""
     base = shared_dir(spark, "warehouse", unique=True)
     bronze = standins.parsed_standin(spark, sf_dir, "outlet", True)
     def platform(b):
         staged = conform.stg_outlets(b)
         return dims.dim_platform(quality.split(staged, quality.OUTLET_RULES)[0])
-    layers.write_layer(platform(bronze), base, "gold", "dim_platform")
-    one_market = bronze.filter(F.upper(F.trim("market")) == F.lit(INCREMENTAL_MARKET))
-    return layers.write_layer(platform(one_market), base, "gold", "dim_platform",
-                              only_touched_partitions=True)
+    now = platform(bronze)
+    stale = F.when(F.col("market") == INCREMENTAL_MARKET, F.lit("before")).otherwise(F.col("platform_name"))
+    gone = now.filter(F.col("market") == INCREMENTAL_MARKET).withColumn("market", F.lit("CLOSED"))
+    layers.write_layer(now.withColumn("platform_name", stale).unionByName(gone), base, "gold", "dim_platform")
+    touched = [INCREMENTAL_MARKET, "CLOSED"]
+    slice_ = bronze.filter(F.upper(F.trim("market")).isin(touched))
+    return layers.write_layer(platform(slice_), base, "gold", "dim_platform",
+                              only_touched_partitions=True, touched=touched)
 
 
 

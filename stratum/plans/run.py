@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import audit, checks
 from ..sources import constants, ingest, layers
@@ -28,17 +29,48 @@ class RunResult:
     file_issues: DataFrame
 
 
+def _write_load(df: DataFrame, path: str, number: int) -> DataFrame:
+    """Write one load's folder of a table; the table with all loads so far."""
+    df.write.mode("overwrite").parquet(f"{path}/load={number}")
+    parts = [f"{path}/load={n}" for n in range(number + 1)]
+    return df.sparkSession.read.schema(df.schema).parquet(*parts)
+
+
+def _new_files(spark: SparkSession, root: str, warehouse: str, source: str) -> tuple[list[str], int]:
+    """Landed files that no committed load has, and the number of this load.
+    Only names are listed; a file's content is not read."""
+    name = SOURCE_FOLDERS[source]
+    path = layers.table_path(warehouse, "audit", f"{name}_FILES")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    number = 0
+    while fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/load={number}/_SUCCESS")):
+        number += 1
+    landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/{name}").select(F.col("path").alias("file"))
+    if number:
+        loaded = spark.read.schema("file string").parquet(*[f"{path}/load={n}" for n in range(number)])
+        landed = landed.join(loaded, "file", "left_anti")
+    return sorted(r[0] for r in landed.collect()), number
+
+
 def load_bronze(spark: SparkSession, landing_root: str, warehouse: str, load_ts: str,
-                sources=tuple(SOURCE_FOLDERS), mode: str = "append") -> tuple[dict, DataFrame]:
-    """Ingest every source and append its raw and parsed bronze tables
-    (partitioned by market).  Returns the parsed tables (with the raw text
-    carried along) and the bad files of this load."""
+                sources=tuple(SOURCE_FOLDERS)) -> tuple[dict, DataFrame]:
+    """Ingest every source's new files and append its raw and parsed bronze
+    tables (partitioned by load and market).  Returns the parsed tables (with
+    the raw text carried along) and the bad files of this load.
+
+    Each file is loaded once: the list of loaded files is committed last.  A
+    load writes folders of its own number, which a replay after a failure
+    writes again, so a half-done load leaves no second copy."""
     def one(source):
-        load = ingest.ingest(spark, landing_root, source, load_ts, keep_raw=True)
         name = SOURCE_FOLDERS[source]
-        layers.write_layer(load.raw, warehouse, "bronze", f"{name}_RAW", mode=mode)
-        layers.write_layer(load.parse_issues, warehouse, "audit", f"{name}_PARSE_ISSUES", mode=mode)
-        parsed = layers.write_layer(load.parsed, warehouse, "bronze", f"{name}_PARSED", mode=mode)
+        new, number = _new_files(spark, landing_root, warehouse, source)
+        load = ingest.ingest(spark, landing_root, source, load_ts, keep_raw=True, files=new)
+        put = lambda df, layer, table: _write_load(df, layers.table_path(warehouse, layer, table), number)
+        put(load.raw, "bronze", f"{name}_RAW")
+        put(load.parse_issues, "audit", f"{name}_PARSE_ISSUES")
+        parsed = put(load.parsed, "bronze", f"{name}_PARSED")
+        put(spark.createDataFrame([(f,) for f in new], "file string"), "audit", f"{name}_FILES")
         issues = load.file_issues.selectExpr(f"'{source}' as source_name", "*")
         return source, parsed, issues
 

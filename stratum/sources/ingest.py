@@ -62,9 +62,11 @@ OPEN_FROM_OUTSIDE = rf'^{BOM}?{_OPENS}'
 OPEN_FROM_INSIDE = rf'^{_BODY}\z|^{_BODY}"[^\t]*+\t{_OPENS}'
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every physical line of every file under ``path``."""
-    return (spark.read.option("recursiveFileLookup", "true").text(path)
+def read_lines(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """Every physical line of every file under ``path``, or of ``files``."""
+    if files is not None and not files:
+        return spark.createDataFrame([], "value string, file_path string, block_start bigint, _id bigint")
+    return (spark.read.option("recursiveFileLookup", "true").text(path if files is None else files)
             .select(F.col("value"),
                     F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_block_start").alias("block_start"))
@@ -190,14 +192,14 @@ class Landed:
     lines: DataFrame | None = None  # physical lines: market, source_file, file_row_number, value, _bad_enc
 
 
-def land(spark: SparkSession, root: str, source: str, cut_lineage: bool = False) -> Landed:
+def land(spark: SparkSession, root: str, source: str, cut_lineage: bool = False, files: list[str] | None = None) -> Landed:
     """Scan ``<root>/<SOURCE>/`` and assemble records.
 
     With ``cut_lineage`` the text is scanned once: its lines are written to
     the shared folder with their split keys, and the reused intermediates
     (per-split table, chained lines) are written from there."""
     folder = f"{root.rstrip('/')}/{SOURCE_FOLDERS[source]}"
-    return land_lines(read_lines(spark, folder), root, cut_lineage)
+    return land_lines(read_lines(spark, folder, files), root, cut_lineage)
 
 
 def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed:
@@ -291,7 +293,7 @@ class BronzeLoad:
 
 
 def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
-           staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "line") -> BronzeLoad:
+           staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "line", files: list[str] | None = None) -> BronzeLoad:
     """Both bronze tables of one source from a single scan.
 
     ``staged_records`` writes the lines and the assembled records once to the
@@ -299,7 +301,7 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
     assembly.
     """
     from .layers import materialize
-    landed = land(spark, root, source, cut_lineage=staged_records)
+    landed = land(spark, root, source, staged_records, files)
     if staged_records:
         recs = materialize(landed.records, f"records-{source}")
         landed = Landed(recs, bad_files(recs), landed.lines)

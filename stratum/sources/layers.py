@@ -45,19 +45,30 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def write_layer(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
                 partition_by: tuple[str, ...] | None = None,
-                only_touched_partitions: bool = False) -> DataFrame:
+                only_touched_partitions: bool = False, touched: list[str] | None = None) -> DataFrame:
     """Write a model's table into its layer namespace and return a DataFrame
-    that reads it back (the lineage is cut at the layer edge)."""
+    that reads it back (the lineage is cut at the layer edge).  ``touched``:
+    the markets that were rebuilt; one whose rebuild yields no rows loses its
+    partition."""
     if partition_by is None:
         partition_by = ("market",) if "market" in df.columns else ()
     path = table_path(base, layer, name)
     write_table(df, path, mode, partition_by, only_touched_partitions)
+    if touched:
+        left = {r[0] for r in df.select(partition_by[0]).distinct().collect()}  # at most the rebuilt markets
+        for value in set(touched) - left:
+            _drop_folder(df.sparkSession, f"{path}/{partition_by[0]}={value}")
     # the known schema: no footer sampling, and an empty table reads back empty
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)  # keep the model's column order

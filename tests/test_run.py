@@ -32,6 +32,32 @@ def test_layered_run_from_files(spark, tmp_dir):
     assert status["unique__dim_market__market_key"] == "pass"
     assert {r.coverage_status for r in res.coverage.collect()} == {"present"}
     assert res.file_issues.count() == 0
-    assert spark.read.parquet(f"{wh}/BRONZE/OUTLET_RAW").count() == res.bronze["outlet"].count()
+    assert spark.read.parquet(f"{wh}/BRONZE/OUTLET_RAW").count() == res.bronze["outlet"].count()  # no enclosed newlines here
     assert spark.read.parquet(f"{wh}/SECURITY/role_market_entitlements").count() == 10
     assert spark.table("gold__fct_outlet_product_listing").count() == fact.count()
+
+
+def test_each_file_is_loaded_once_and_replays_agree(spark, tmp_dir):
+    import os
+
+    root, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+
+    def put(name, ids):
+        os.makedirs(f"{root}/MATCHING/USA", exist_ok=True)
+        with open(f"{root}/MATCHING/USA/{name}", "w") as fh:
+            fh.write("\t".join(SOURCE_FIELDS["matching"]) + "\n" + "".join(f"{i}\n" for i in ids))
+
+    def load():
+        parsed, _ = run.load_bronze(spark, root, wh, "2024-06-01 00:00:00", sources=("matching",))
+        return sorted(r.id_outlet for r in parsed["matching"].collect())
+
+    put("a.tsv", [1, 2])
+    assert load() == ["1", "2"]
+    assert load() == ["1", "2"]
+    put("b b.tsv", [3])
+    assert load() == ["1", "2", "3"]
+    put("c.tsv", [4])
+    files = f"{wh}/AUDIT/MATCHING_FILES/load=3/_SUCCESS"
+    assert load() == ["1", "2", "3", "4"]
+    os.remove(files)  # as if the load had failed before its commit
+    assert load() == ["1", "2", "3", "4"]

@@ -23,8 +23,9 @@ def summarize(plan: str) -> str:
     counts: dict[str, int] = {}
     for o in ops:
         counts[o] = counts.get(o, 0) + 1
-    scans = re.findall(r"ReadSchema: (struct<[^\n]*>)", plan)
-    pushed = re.findall(r"PushedFilters: (\[[^\n]*\])", plan)
+    nodes = [n for n in re.split(r"\n\n+", plan) if "ReadSchema: " in n]  # a node's own columns and filters
+    scans = [re.search(r"ReadSchema: (struct<[^\n]*>)", n)[1] for n in nodes]
+    pushed = [(re.search(r"PushedFilters: (\[[^\n]*\])", n) or [None, "[]"])[1] for n in nodes]
     lines = [f"  operators: {dict(sorted(counts.items()))}"]
     for s, p in zip(scans, pushed):
         lines.append(f"  scan {s[:140]}  pushed={p[:140]}")

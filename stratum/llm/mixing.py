@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_IDS, saved
 
 #: Rows that one task sorts, on average.
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 10_000
 
 
 def word_count(text: Column) -> Column:

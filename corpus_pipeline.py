@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import decontam, mixing, ngram_join, shards, toxicity
-from stratum.llm.common import saved
+from stratum.llm.common import saved, small_batches
 from stratum.llm.queries import table
 
 #: SQL has no expression for fitted models, alignment and jump hashing;
@@ -20,6 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.keep_one(docs, k=5, least=80)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize as saved
@@ -22,6 +22,14 @@ BROADCAST_IDS = 1_000_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 512 rows, unless the session has a size of its own:
+    the default of 10,000 long texts is too much for a task's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "512")
+
+
 def chunks(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Slices of the batches: Python objects are made of few texts at a time."""
     for b in batches:

@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, decontam, embed, licenses, mixing, ngram_join, oracle, secrets, shards, toxicity, warc
+from .common import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -33,11 +33,16 @@ RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_RANDOM},}}")
 #: about 1.5 to 1.9, invented words more than 2).
 MOST_RATIO = 2.0
 #: Known digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512 in hex) and
-#: identifiers: UUIDs, numbers and dates, words in one case style, names with up
-#: to four digits joined by separators.
+#: identifiers: UUIDs, numbers and dates, words in one case style or in camel
+#: case with up to four digits, and all of these joined by separators.  Other
+#: mixed-case letters are left to the token test.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
-IDENTIFIER = re.compile(
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+|[a-z]+|[A-Z]+|[a-z]*([A-Z][a-z]+)+|([A-Za-z]*[0-9]{0,4}[/_=+-]+)*[A-Za-z]*[0-9]{0,4}")
+UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+WORD = re.compile(r"[0-9]+|([a-z]+|[A-Z]+|([a-z]{2,}|[A-Z][a-z]{2,})([A-Z][a-z]{2,})*)[0-9]{0,4}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+#: A known piece of this length or more ends a stretch; shorter ones are also
+#: met inside base-64 text.
+LEAST_WORD = 4
 
 #: Pieces before byte-pair merging, as the vocabulary was made with.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -60,19 +65,55 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 
-def is_known(run: str) -> bool:
-    """A digest of a known length or an identifier."""
-    if len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
+def _known_piece(piece: str) -> bool:
+    if len(piece) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", piece):
         return True
-    return IDENTIFIER.fullmatch(run) is not None
+    return WORD.fullmatch(piece) is not None
+
+
+def is_known(run: str) -> bool:
+    """Digests of known lengths and identifiers, alone or joined."""
+    return all(map(_known_piece, PIECE.findall(UUID.sub("-", run))))
+
+
+def stretches(run: str) -> Iterator[tuple[int, int]]:
+    """What stands between the words, digests and UUIDs of a run, and then each
+    of its pieces: (start, end) within the run."""
+    bare = UUID.sub(lambda m: "-" * len(m[0]), run)
+    pieces = [(*m.span(), _known_piece(m[0])) for m in PIECE.finditer(bare)]
+    at, found = 0, False  # from the separator after the last word
+    for start, end, known in [*pieces, (len(run) + 1, len(run) + 1 + LEAST_WORD, True)]:
+        if known and end - start >= LEAST_WORD:
+            if found:
+                yield at, start - 1
+            at, found = end + 1, False
+        else:
+            found = True
+    yield from ((start, end) for start, end, known in pieces if not known)
 
 
 def random_spans(text: str, encoder, most_ratio: float = MOST_RATIO) -> list[tuple[int, int, str]]:
-    """Runs that the vocabulary spells with few characters per token."""
+    """Runs that the vocabulary spells with few characters per token; of other
+    runs, the stretches or else the pieces that it spells so."""
     if not text or max(map(len, text.split()), default=0) < LEAST_RANDOM:
         return []
-    return [(*m.span(), KINDS[3]) for m in RUN.finditer(text)
-            if not is_known(m[0]) and len(m[0]) < most_ratio * len(encoder.encode_ordinary(m[0]))]
+
+    def is_random(part: str) -> bool:
+        return len(part) >= LEAST_RANDOM and not is_known(part) and len(part) < most_ratio * len(encoder.encode_ordinary(part))
+
+    found = []
+    for m in RUN.finditer(text):
+        if is_known(m[0]):
+            continue
+        if is_random(m[0]):
+            found.append(m.span())
+            continue
+        inside: list[tuple[int, int]] = []
+        for start, end in dict.fromkeys(stretches(m[0])):
+            if end - start < len(m[0]) and not any(s <= start and end <= e for s, e in inside) and is_random(m[0][start:end]):
+                inside.append((start, end))
+        found += sorted((m.start() + s, m.start() + e) for s, e in inside)
+    return [(s, e, KINDS[3]) for s, e in found]
 
 
 def listed(spans: list[tuple[int, int, str]]) -> str:

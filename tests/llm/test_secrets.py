@@ -44,3 +44,26 @@ def test_token_efficiency_finds_random_text_and_spares_known(spark):
 
 def test_empty_table(spark):
     assert secrets.scan(documents(spark, [])).count() == 0
+
+
+def keys(alphabet, length, n=300):
+    import random
+
+    r = random.Random(length)
+    return ["".join(r.choices(alphabet, k=length)) for _ in range(n)]
+
+
+def test_random_letters_and_keys_joined_to_words_are_found(spark):
+    import string
+
+    letters = string.ascii_letters
+    texts = [f"{before}{k}" for length in (16, 20, 32) for alphabet in (letters, letters + string.digits, letters + string.digits + "+/")
+             for k in keys(alphabet, length) for before in ("key ", "https://hooks.example.com/services/incoming-messages/")]
+    got = [r["n_random"] for r in secrets.scan(documents(spark, list(enumerate(texts)))).collect()]
+    assert sum(n > 0 for n in got) >= 0.98 * len(texts)
+
+
+def test_joined_identifiers_and_digests_are_spared(spark):
+    texts = ["/objects/d41d8cd98f00b204e9800998ecf8427e", "v1/123e4567-e89b-12d3-a456-426614174000/view", "getXCoordinateFromHTTPServer",
+             "src/main/java/com/example/ServerErrorHandlerImpl_v2", "2024-01-02/2024-05-06/17", "snake_case_name_2024=CamelCaseNameThatIsLong12"]
+    assert [r["n_random"] for r in secrets.scan(documents(spark, list(enumerate(texts)))).collect()] == [0] * len(texts)

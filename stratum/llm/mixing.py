@@ -56,6 +56,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
     source without words has target 0 and its documents are taken once.
     Other columns aren't read.  An empty table gives an empty result.
     """
+    return _mix(docs, weights, most, seed).drop("source")
+
+
+def _mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+    """The rows of ``mix`` with their source.  Rows that agree in doc_id, source
+    and size agree in all."""
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     base = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")), "mix-sizes")
     buckets = max(1, base.count() // ROWS_PER_BUCKET)
@@ -73,7 +79,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
     timed = (base.withColumn("_words", F.sum("size").over(inside))
              .join(known, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
              .withColumn("cum", F.col("before") + F.col("_words")))
-    timed = saved(timed.select("doc_id", "size", "key", "rank", "source_size", "target", "cum"), "mix-times")
+    timed = saved(timed.select("doc_id", "source", "size", "key", "rank", "source_size", "target", "cum"), "mix-times")
 
     def order(e: Column) -> Column:
         """What copy e is sorted by; the key's tail makes ties rare and fair."""
@@ -91,8 +97,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
                         F.lit(cut["doc_id"]).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.lit(cut["size"]).alias("size"))
         taken = sum(F.when(order(F.lit(e)) <= edge, 1).otherwise(0) for e in range(most))
     taken = F.when(F.col("source_size") == 0, 1).otherwise(taken)
-    return timed.select("doc_id", "size", "source_size", "target", taken.cast("int").alias("copies")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
+    return timed.select("doc_id", "source", "size", "source_size", "target", taken.cast("int").alias("copies")).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
 
 
 def _cut(copies: DataFrame, budget: int, buckets: int):
@@ -117,11 +123,12 @@ def _cut(copies: DataFrame, budget: int, buckets: int):
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` (all columns) with every document as often as the mix takes it.
-    Rows that share a doc_id share their copies evenly, the rest going to none.
+    """``docs`` (all columns) with every row as often as the mix takes it, also
+    rows that share a doc_id or have none: a row's id, source and size decide.
     The counts are broadcast while they are few; else documents are shuffled."""
-    n = mix(docs.select("doc_id", "source", "text"), **how)
-    counts = saved(n.groupBy(F.col("doc_id").alias("_id")).agg((F.sum("copies") / F.count("*")).cast("int").alias("_copies")).filter("_copies > 0"), "mix-copies")
+    n = _mix(docs.select("doc_id", "source", "text"), **how)
+    counts = n.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
+    counts = saved(counts.filter("_copies > 0"), "mix-copies")
     side = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
-    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")))
+    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")) & (word_count(docs["text"]) == F.col("_size")))
     return out.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")

@@ -83,15 +83,15 @@ def _point(s: np.ndarray) -> int:
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles and the point x of every row."""
+    """doc_id, n_shingles, the point x and the text's digest t of every row."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
             sets = (shingles(hashes(words(t)), k) for t in b["text"].to_pylist())
             n, x = zip(*((len(s), _point(s)) for s in sets), strict=True) if b.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(x, pa.int64())], ["doc_id", "n_shingles", "x"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(x, pa.int64()), b["t"]], ["doc_id", "n_shingles", "x", "t"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles bigint, x bigint")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(rows, f"doc_id {kind}, n_shingles bigint, x bigint, t bigint")
 
 
 def _filed(docs: DataFrame, k: int, least: int) -> DataFrame:
@@ -307,6 +307,24 @@ def links(points: DataFrame, docs: DataFrame, k: int, least: int, leaf: int = LE
     return saved(out, "jaccard-links")
 
 
+def _grouped(docs: DataFrame, k: int, least: int, **how) -> DataFrame:
+    """doc_id, n_shingles, t, component_id, first: one row per row of ``docs``.
+    first: this id and text are the smallest of their component; null without
+    words or id."""
+    s = saved(sketch(docs, k), "jaccard-sketch")
+    real = s.filter("n_shingles > 0 and doc_id is not null")
+    points = real.groupBy("x").agg(F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "t")).alias("m"))
+    points = saved(points.select("x", "n", F.col("m.doc_id").alias("rep"), F.col("m.t").alias("t")), "jaccard-points")
+    comp = components(links(points, docs, k, least, **how), "jaccard-components")
+    known = points.join(comp, points["x"] == comp["v"], "left").select("x", "rep", "t", F.coalesce("c", "x").alias("c"))
+    least_row = known.groupBy("c").agg(F.min(F.struct("rep", "x", "t")).alias("m"))
+    known = known.join(least_row, "c").select("x", "m")
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    first = (F.col("doc_id") == F.col("m.rep")) & (s["x"] == F.col("m.x")) & (F.col("t") == F.col("m.t"))
+    return s.join(known, "x", "left").select(
+        "doc_id", "n_shingles", "t", F.when(linked, F.col("m.rep")).otherwise(F.col("doc_id")).alias("component_id"), F.when(linked, first).alias("first"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, **how) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``.
 
@@ -319,25 +337,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, **how) -> Data
     their texts.  Rows with a null doc_id link with nothing and have a null
     component.  Other columns aren't read.
     """
-    s = saved(sketch(docs, k), "jaccard-sketch")
-    real = s.filter("n_shingles > 0 and doc_id is not null")
-    points = saved(real.groupBy("x").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("rep")), "jaccard-points")
-    comp = components(links(points, docs, k, least, **how), "jaccard-components")
-    known = points.join(comp, points["x"] == comp["v"], "left").select("x", "rep", F.coalesce("c", "x").alias("c"))
-    least_id = known.groupBy("c").agg(F.min("rep").alias("component_id"))
-    known = known.join(least_id, "c").select("x", "component_id")
-    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    return s.join(known, "x", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _grouped(docs, k, least, **how).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, least: int = 80, **how) -> DataFrame:
-    """``docs`` (all columns) with one document of each group of near
-    duplicates: the one with the smallest doc_id, once.  Documents without
-    words or without an id stay."""
-    found = saved(near_duplicates(docs, k, least, **how), "jaccard-groups")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not again.limit(1).count():
+    """``docs`` (all columns) with one row of each group of near duplicates: the
+    one with the smallest doc_id (of several texts under it that are near
+    duplicates, one; of equal ids and texts, the smallest row).  Other rows that
+    share its doc_id stay unless they are near duplicates themselves.
+    Documents without words or without an id stay."""
+    found = saved(_grouped(docs, k, least, **how).filter("first is not null").groupBy("doc_id", "t", "first").count(), "jaccard-groups")
+
+    def of(rows: DataFrame, some: str, kind: str) -> DataFrame:
+        keys = found.filter(some).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+        return rows.join(keys, (rows["doc_id"] == F.col("_id")) & (F.xxhash64(rows["text"]) == F.col("_t")), kind)
+
+    out = of(docs, "not first", "left_anti")
+    again = "first and count > 1"
+    if not found.filter(again).limit(1).count():
         return out
-    return out.join(again, "doc_id", "left_anti").unionByName(out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    one = of(out, again, "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*out.columns)).alias("_row"))
+    return of(out, again, "left_anti").unionByName(one.select("_row.*"))

@@ -71,3 +71,17 @@ def test_repeated_rows_and_empty_table(spark):
     assert len(out) == 3
     assert mixing.mix(documents(spark, [])).count() == 0
     assert mixing.mixed(documents(spark, [])).count() == 0
+
+
+def test_mixed_takes_single_rows(spark):
+    data = rows()
+    data += [(None, x, s) for _, x, s in data[:60]] + [(i, f"{x} and more", s) for i, x, s in data[:40]]
+    df = documents(spark, data)
+    want = {}
+    for r in mixing.mix(df).collect():
+        want[r["doc_id"], r["size"]] = want.get((r["doc_id"], r["size"]), 0) + r["copies"]
+    got = {}
+    for r in mixing.mixed(df).collect():
+        at = r["doc_id"], len((r["text"] or "").encode().split())
+        got[at] = got.get(at, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}

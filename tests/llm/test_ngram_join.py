@@ -82,3 +82,16 @@ def test_keep_one(spark):
     kept = ngram_join.keep_one(documents(spark, ROWS + ROWS[:4] + [(None, "x y")]))
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(comp.values()))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_keep_one_decides_by_row(spark):
+    t = [x for x in texts() if len(x.split()) >= 40]
+    near = t[1] + " more"
+    other = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, t[1]), (5, near), (5, other), (7, "x y z"), (7, other + " again and again and again"), (8, ""), (8, "q"), (9, None), (9, "q r"), (9, "q r"), (None, near), (None, near)]
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in ngram_join.keep_one(documents(spark, rows)).collect()))
+    want = [r for r in rows if r not in ((5, near), (7, other + " again and again and again"))]  # copies of 1 and of (5, other)
+    want.remove((9, "q r"))
+    assert got == sorted((i or 0, x or "") for i, x in want)
+    kept = ngram_join.keep_one(documents(spark, [(3, t[1]), (3, near), (4, near)])).collect()
+    assert [r["doc_id"] for r in kept] == [3]

@@ -4,7 +4,8 @@ Seeds are the n-grams of the test items that are rare in the corpus (their
 document frequencies are counted over all of it), and in any case the rarer
 half of every item's.  A document and an item that share a seed are aligned
 around it, word by word, with local alignment; a score of ``least`` of the
-item's best possible one marks an exact, edited or paraphrased copy.
+item's best possible one marks an exact, edited or paraphrased copy.  Of short
+items more is asked, see ``needed``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from .common import chunks, hashes, mix, saved
 
 #: Fixed values of the alignment: a matching word, a differing one, a gap.
 MATCH, DIFFER, GAP = 2, 1, 1
+#: Aligned words that a copy has at least, or nearly all of a shorter item.
+LEAST_WORDS = 6
+#: An item shorter than a seed is a copy only where it is this share of a document.
+SHORT_SHARE = 1 / 8
 #: Words of test items that one pass over the documents holds; more take more passes.
 BLOCK_WORDS = 2_000_000
 #: A seed in this share of the documents or less is rare.
@@ -58,11 +63,19 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def needed(words: int, least: float) -> float:
+    """The score that marks a copy of an item: ``least`` of the best, but that
+    of LEAST_WORDS words; of fewer words, all, from LEAST_WORDS on with one edit."""
+    best = MATCH * words
+    near = best - (MATCH + DIFFER if words >= LEAST_WORDS else 0)
+    return max(least * best, min(near, MATCH * LEAST_WORDS))
+
+
 class Seeds:
     """Test items of one pass: word hashes, and (width, gram) to (item, place)."""
 
     def __init__(self, ids: list, texts: list[np.ndarray], n: int):
-        self.ids, self.items = ids, texts
+        self.ids, self.items, self.n = ids, texts, n
         width, gram, item, place = [], [], [], []
         for i, t in enumerate(texts):
             g = grams(t, w := min(n, len(t))) if len(t) else t
@@ -89,7 +102,7 @@ class Seeds:
         for w, g in rare.items():
             use |= (self.width == w) & np.isin(self.gram, g)
         cut = {c: getattr(self, c)[use] for c in ("width", "gram", "item", "place")}
-        return Seeds.of({"ids": self.ids, "items": self.items, "key": {w: np.sort(g) for w, g in rare.items()}} | cut)
+        return Seeds.of({"ids": self.ids, "items": self.items, "n": self.n, "key": {w: np.sort(g) for w, g in rare.items()}} | cut)
 
     def found(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(width, places in h, grams) of the seeds in a document."""
@@ -114,19 +127,25 @@ class Seeds:
         out = []
         for i, begin in starts.items():
             item = self.items[i]
+            if len(item) < self.n and len(item) < SHORT_SHARE * len(h):
+                continue
             begin = sorted(begin)
-            slack, best = len(item) // 2 + 4, (0, 0, 0, 0)
+            least_score = needed(len(item), least)
+            # what a copy can lose to gaps: its seeds' diagonals are no further apart
+            slack, best = int(MATCH * len(item) - least_score) // GAP, (0, 0, 0, 0)
             lo = 0
             for k in range(1, len(begin) + 1):
                 if k == len(begin) or begin[k] - begin[k - 1] > slack:
                     left = max(0, begin[lo] - slack)
                     window = h[left: begin[k - 1] + len(item) + slack]
-                    score, end = align(item, window)
-                    if score > best[0]:
-                        best = (score, k - lo, left, end)
+                    # more words than are the item's can't match
+                    if MATCH * np.count_nonzero(np.isin(window, item)) >= least_score:
+                        score, end = align(item, window)
+                        if score > best[0]:
+                            best = (score, k - lo, left, end)
                     lo = k
             score, n, left, end = best
-            if score >= least * MATCH * len(item):
+            if score >= least_score:
                 back = align(item[::-1], h[left: left + end][::-1])[1]
                 out.append((i, score / (MATCH * len(item)), n, left + end - back, left + end))
         return out
@@ -190,9 +209,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float
     """doc_id, item_id, score, seeds, start, end: a row for each document and
     each test item that it copies.
 
-    score: share of the item's best alignment score; seeds: rare n-grams met;
+    score: share of the item's best alignment score, ``least`` or more; items
+    of fewer than 12 words need what 6 aligned words score, those of 6 and 7 one
+    edit at most, those of 5 and fewer all words.  seeds: rare n-grams met;
     start, end: words of the copy within the document's words.  Items with
-    fewer than ``n`` words are sought as one n-gram; null and empty items and
+    fewer than ``n`` words are sought as one n-gram, in documents of up to eight times their
+    words; null and empty items and
     texts match nothing, nor do items with a null id.  Repeated documents give
     repeated rows.  An empty benchmark or corpus gives no rows.  Other columns
     aren't read.

@@ -89,3 +89,27 @@ def test_empty_tables(spark):
     assert decontam.contaminated(documents(spark, []), bench).count() == 0
     assert decontam.contaminated(documents(spark, [(1, "a b c d")]), bench.limit(0)).count() == 0
     assert decontam.keep_clean(documents(spark, [(1, "a b c d")]), bench.limit(0)).count() == 1
+
+
+def test_short_items_need_more_than_a_shared_phrase(spark):
+    bench = spark.createDataFrame([(1, "the capital of France is Paris", 0, 0), (2, "yes", 0, 0), (3, "who wrote it first", 0, 0)], ITEM)
+    tail = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, f"oslo became the capital of norway {tail}"), (2, f"she said yes and left {tail}"), (3, f"wrote it first {tail}"),
+            (4, f"{tail} the capital of France was Paris"), (5, "Yes!"), (6, f"Who wrote it first? {tail}")]
+    docs += [(d, tail) for d in range(10, 400)]  # so that grams of two documents are rare
+    got = {(x["doc_id"], x["item_id"]) for x in decontam.contaminated(documents(spark, docs), bench).collect()}
+    assert got == {(4, 1), (5, 2), (6, 3)}
+    assert sorted(x["doc_id"] for x in decontam.keep_clean(documents(spark, docs), bench).collect()) == [1, 2, 3, *range(10, 400)]
+
+
+def test_copies_with_long_insertions_are_found(spark):
+    item = [f"i{k}" for k in range(40)]
+    other = [f"o{k}" for k in range(200)]
+    for gap in (25, 30, 33):
+        copy = [*item[:9], "edit", *item[10:20], *other[:gap], *item[20:30], "edit", *item[31:]]
+        text = " ".join([*other[50:90], *copy, *other[100:150]])
+        score = smith_waterman(decontam.tokens(" ".join(item)), decontam.tokens(text))
+        assert score >= 40
+        bench = spark.createDataFrame([(1, " ".join(item), 0, 0)], ITEM)
+        rows = decontam.contaminated(documents(spark, [(1, text)]), bench).collect()
+        assert [x["score"] * 80 for x in rows] == [score]

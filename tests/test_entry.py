@@ -1,7 +1,9 @@
 import importlib.util
 import os
+import subprocess
+import sys
 
-from conftest import SF_SMOKE
+from helpers import SF_SMOKE
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -30,3 +32,13 @@ def test_queries_run_on_smoke_data(spark):
     mod = _entry()
     for name in ("dim_market", "valid_outlet", "json_path", "lineage_join", "missing_coverage"):
         assert mod.queries()[name](spark, SF_SMOKE).count() >= 0
+
+
+def test_entry_survives_a_missing_dependency_of_the_optional_part():
+    code = ("import sys; sys.modules['xxhash'] = None; sys.modules['pyarrow'] = None\n"
+            "import __spark_entry__ as e; q = e.queries()\n"
+            "print(len([k for k in q if not k.startswith('op')]), len([k for k in q if k.startswith('op') or k == 'pipeline']))")
+    out = subprocess.run([sys.executable, "-B", "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    own, optional = map(int, out.stdout.split()[-2:])
+    assert own >= 48 and optional == 0

@@ -1,7 +1,7 @@
 """End-to-end layered run over files landed from the smoke tables."""
 from pyspark.sql import functions as F
 
-from conftest import SF_SMOKE
+from helpers import SF_SMOKE
 
 from stratum.plans import run
 from stratum.sources import landing, standins

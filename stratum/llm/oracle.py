@@ -90,3 +90,47 @@ m AS (SELECT doc_id, l, 2.0 * len(list_intersect(b.g, t.g)) / (len(b.g) + len(t.
 best AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS l, max(dice) AS d FROM m WHERE dice >= {least} - 1e-12 GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(l, '') AS licenses, coalesce(best.d, 0)::DOUBLE AS best_dice
 FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    chars = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {chars}), lambda c, b: {bits}), 4294967295)"
+
+
+def periodic_runs(least: int = 12) -> str:
+    return rf"""
+WITH h AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+b AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+d AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+  THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM b),
+x AS (SELECT r, unnest(range(0, n)) AS i, unnest(w) AS w FROM d),
+-- equal words q apart, in stretches of neighbours: m of them make a run of m + q words
+e AS (SELECT s.r, t.i - s.i AS q, s.i, s.i - row_number() OVER (PARTITION BY s.r, t.i - s.i ORDER BY s.i) AS island
+  FROM x s JOIN x t ON s.r = t.r AND s.w = t.w AND s.i < t.i),
+m AS (SELECT r, q, min(i) AS s, count(*) + q AS n FROM e GROUP BY r, q, island HAVING count(*) >= q),
+u AS (SELECT r, s, n, min(q) AS q FROM m GROUP BY r, s, n HAVING n >= greatest({least}, 2 * min(q))),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + n)) AS i FROM u),
+kept AS (SELECT x.r, string_agg(w, ' ' ORDER BY x.i) AS w FROM x ANTI JOIN gone ON gone.r = x.r AND gone.i = x.i GROUP BY x.r),
+best AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, s, q) = 1),
+said AS (SELECT r, count(*) AS c, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM u GROUP BY r)
+SELECT d.doc_id, coalesce(c, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.n::BIGINT AS length, best.q::BIGINT AS period,
+  ((1000 * best.n) // best.q)::BIGINT AS exponent_milli, sha256(coalesce(t, '')) AS runs_sha256, sha256(coalesce(kept.w, '')) AS collapsed_sha256
+FROM d LEFT JOIN best ON best.r = d.r LEFT JOIN said ON said.r = d.r LEFT JOIN kept ON kept.r = d.r"""
+
+
+def ranked(top: int = 10) -> str:
+    terms = lambda c: rf"regexp_extract_all(translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms("text")} AS w FROM documents),
+c AS (SELECT count(*) AS docs_n, sum(len(w))::BIGINT AS terms_n FROM d WHERE len(w) > 0),
+tf AS (SELECT r, doc_id, n, w, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS w FROM d) GROUP BY ALL),
+wt AS (SELECT w, floor(1000 * ln((2 * any_value(docs_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, c GROUP BY w),
+q AS (SELECT row_number() OVER () AS item, item_id, {terms("text")} AS w FROM benchmark),
+qt AS (SELECT item, item_id, w, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS w FROM q) GROUP BY ALL),
+s AS (SELECT item, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs_n) // terms_n))))::BIGINT AS score
+  FROM qt JOIN wt USING (w) JOIN tf USING (w), c GROUP BY item, item_id, r, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= {top}"""

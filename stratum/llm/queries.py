@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, embed, licenses, mixing, ngram_join, oracle, secrets, shards, toxicity, warc
+from . import (
+    chat, decontam, embed, licenses, line_quality, mixing, ngram_join, oracle, ranked, runs, secrets, shards, toxicity,
+    warc,
+)
 from .common import small_batches
 
 
@@ -55,13 +58,29 @@ def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op13_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_quality.score(docs, line_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_chain, op2_secret_tokens, op3_jaccard_join, op4_mix_weights, op5_decontaminate, op6_tool_calls,
-    op7_multi_index, op8_toxicity_pu, op9_jump_shards, op10_license_dice)}
+    op7_multi_index, op8_toxicity_pu, op9_jump_shards, op10_license_dice, op11_periodic_runs,
+    op12_max_sketch_search, op13_line_crf)}
 ORACLE: dict[str, str] = {
     "op1_warc_chain": oracle.warc(),
     "op3_jaccard_join": oracle.jaccard(k=3, least=90),
     "op4_mix_weights": oracle.mix(),
     "op7_multi_index": oracle.near_vectors(least=0.98),
     "op10_license_dice": oracle.licences(licenses.TEMPLATES),
+    "op11_periodic_runs": oracle.periodic_runs(),
+    "op12_max_sketch_search": oracle.ranked(),
 }

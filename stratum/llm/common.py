@@ -38,6 +38,18 @@ def chunks(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
         pa.default_memory_pool().release_unused()
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while f"_{name}" in taken:
+            name = f"_{name}"
+        taken.add(f"_{name}")
+        out.append(f"_{name}")
+    return out
+
+
 def words(text: str | None) -> list[bytes]:
     """UTF-8 words with A-Z lower-cased; bytes.split() cuts at exactly the
     ASCII white space of WORD."""

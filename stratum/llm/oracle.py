@@ -33,13 +33,16 @@ d AS (SELECT id, md5(string_agg(g, chr(10) ORDER BY g)) AS m FROM s GROUP BY id)
 rep AS (SELECT id, min(id) OVER (PARTITION BY m) AS r FROM d),
 t AS (SELECT s.* FROM s JOIN rep ON rep.id = s.id AND rep.r = s.id),
 c AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM t a JOIN t b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
-linked AS (SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c >= {least} * (x.n + y.n - c)
-  UNION SELECT r, id FROM rep WHERE r <> id),
+pair AS (SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c >= {least} * (x.n + y.n - c)),
+linked AS (SELECT a, b FROM pair UNION SELECT r, id FROM rep WHERE r <> id),
+copies AS (SELECT r, count(*) AS k FROM rep GROUP BY r),
+far AS (SELECT v, sum(k) AS k FROM (SELECT a AS v, b AS o FROM pair UNION ALL SELECT b, a FROM pair) JOIN copies ON r = o GROUP BY v),
+degree AS (SELECT rep.id, coalesce(far.k, 0) + copies.k - 1 AS k FROM rep JOIN copies ON copies.r = rep.r LEFT JOIN far ON far.v = rep.r),
 both_ways AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
 touched AS (SELECT DISTINCT a AS id FROM both_ways),
 {_component("touched", "both_ways")}
-SELECT n.id AS doc_id, n.n AS n_shingles, coalesce(m.c, n.id) AS component_id
-FROM n LEFT JOIN (SELECT v, min(r) AS c FROM reach GROUP BY v) m ON m.v = n.id"""
+SELECT n.id AS doc_id, n.n AS n_shingles, coalesce(m.c, n.id) AS component_id, coalesce(degree.k, 0)::BIGINT AS n_links
+FROM n LEFT JOIN (SELECT v, min(r) AS c FROM reach GROUP BY v) m ON m.v = n.id LEFT JOIN degree ON degree.id = n.id"""
 
 
 def mix(weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> str:

@@ -3,7 +3,7 @@ columns whose names clash with those that the operators use inside."""
 
 import random
 
-CLASH = ["key", "rank", "size", "bucket", "cum", "x", "n", "sig", "region", "shard", "_row", "part", "weight", "label"]
+CLASH = ["key", "rank", "size", "bucket", "cum", "x", "n", "sig", "region", "shard", "_row", "part", "weight", "label", "_id", "_t", "_digest", "_copies", "_copy", "_size", "_source", "t", "c", "m"]
 
 
 def vocabulary(n=400, seed=3):

@@ -18,6 +18,14 @@ def brute(rows, k, least):
     return {i: len(s) for i, s in sets.items()}, closure(ids, links), links
 
 
+def degrees(ids, links):
+    out = dict.fromkeys(ids, 0)
+    for a, b in links:
+        out[a] += 1
+        out[b] += 1
+    return out
+
+
 ROWS = [(i * 3, t) for i, t in enumerate(texts())] + [(1, None), (2, ""), (4, " \t\r\n"), (5, "one"), (7, "ONE"), (8, "one two"), (10, "a b c d " * 4000), (11, "a b c d " * 4000 + "e")]
 
 
@@ -28,13 +36,15 @@ def test_components_match_brute_force(spark, k, least):
     rows = ngram_join.near_duplicates(clashing(documents(spark, ROWS + ROWS[:3])).repartition(3), k, least).collect()
     assert len(rows) == len(ROWS) + 3
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == {i: (n[i], comp[i]) for i in n}
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.near_duplicates(documents(spark, ROWS), k, least).collect()} == degrees(n, links)
 
 
 @pytest.mark.parametrize("how", [{"leaf": 1500, "leaf_docs": 6, "pivots": 3}, {"leaf": 400, "leaf_docs": 3, "pivots": 4}])
 def test_large_regions_split_without_losing_links(spark, how):
-    _, comp, _ = brute(ROWS, 3, 80)
+    n, comp, links = brute(ROWS, 3, 80)
     rows = ngram_join.near_duplicates(documents(spark, ROWS), 3, 80, **how).collect()
     assert {r["doc_id"]: r["component_id"] for r in rows} == comp
+    assert {r["doc_id"]: r["n_links"] for r in rows} == degrees(n, links)
 
 
 def test_region_join_paths_agree():
@@ -53,6 +63,23 @@ def test_region_join_paths_agree():
                                             if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))])
 
 
+@pytest.mark.parametrize("bits", [1 << 27, 0])
+def test_counted_links_match_brute_force(monkeypatch, bits):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(ngram_join, "MOST_BITS", bits)
+    r = random.Random(3)
+    base = [r.getrandbits(64) for _ in range(40)]
+    sets = [np.unique(np.array([x for x in base if r.random() > 0.06] + [r.getrandbits(64) for _ in range(r.choice([0, 1, 3]))], np.uint64)) for _ in range(60)]
+    copies = np.array([r.choice([1, 1, 4]) for _ in sets])
+    for side in (np.full(60, -1), np.array([r.randrange(2) for _ in sets])):
+        want = [sum(int(copies[j]) for j in range(60) if j != i and (side[i] < 0 or side[i] != side[j])
+                    and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))) for i in range(60)]
+        assert sum(want) > 100 and ngram_join.count_links(sets, copies, side, 80).tolist() == want
+
+
 def test_linked_sets_share_a_signature():
     import random
 
@@ -95,3 +122,12 @@ def test_keep_one_decides_by_row(spark):
     assert got == sorted((i or 0, x or "") for i, x in want)
     kept = ngram_join.keep_one(documents(spark, [(3, t[1]), (3, near), (4, near)])).collect()
     assert [r["doc_id"] for r in kept] == [3]
+
+
+def test_keep_one_with_maps_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    t = next(x for x in texts() if len(x.split()) >= 40)
+    df = clashing(documents(spark, [(1, t), (1, t), (2, t + " more"), (3, "other words")])).withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id")))
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]

@@ -29,13 +29,10 @@ def safe_double(c) -> Column:
 
 
 def safe_number(c) -> Column:
-    """TRY_TO_NUMBER: text -> integer, rounding half away from zero.
-
-    Rounded through decimal(38,0) (``2.5`` -> 3, ``-2.5`` -> -3), kept as
-    bigint because every use is a count; out-of-range values become NULL.
-    """
+    """TRY_TO_NUMBER: text -> decimal(38,0), rounding half away from zero
+    (``2.5`` -> 3, ``-2.5`` -> -3); more than 38 digits become NULL."""
     c = _c(c)
-    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("decimal(38,0)").try_cast("bigint"))
+    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("decimal(38,0)"))
 
 
 def safe_timestamp(c, pattern: str = TIMESTAMP_PATTERN) -> Column:
@@ -65,9 +62,10 @@ def safe_double_sql(e: str) -> str:
     return f"case when regexp_matches({e}, '{NUMBER_PATTERN}') then try_cast({e} as double) end"
 
 
-def safe_number_sql(e: str) -> str:
+def safe_number_sql(e: str, kind: str = "bigint") -> str:
+    """As ``kind``: registered queries report whole numbers as bigint."""
     return (f"case when regexp_matches({e}, '{NUMBER_PATTERN}') "
-            f"then try_cast(try_cast({e} as decimal(38,0)) as bigint) end")
+            f"then try_cast(try_cast({e} as decimal(38,0)) as {kind}) end")
 
 
 def safe_timestamp_sql(e: str) -> str:

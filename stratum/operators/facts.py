@@ -20,8 +20,8 @@ FACT_COLUMNS = ["listing_key", "market_key", "platform_key", "outlet_key", "prod
                 "delivery_fee", "min_order_amount", "created_at", "load_timestamp"]
 
 
-def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None
-                ) -> DataFrame:
+def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None,
+                weights: tuple[str, str] | None = None) -> DataFrame:
     """One row per valid listing (a portfolio file row) that maps to an outlet.
 
     The reference writes LEFT JOIN dim_outlet + ``outlet_key IS NOT NULL``;
@@ -37,14 +37,18 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
     id_beverage then has its product row, so the LEFT JOIN only ever yields
     ``surrogate_key(market, id_beverage)`` -- computed directly, which saves
     a shuffle of every fact row.  Pass the dimension to join an external one.
+
+    ``weights`` names a signed multiplicity of either side; their product is
+    the fact row's, under the first name (see plans.deltas).
     """
+    left, right = ([w] for w in weights) if weights else ([], [])
     listings = (valid_portfolio
                 .filter(F.col("id_outlet").isNotNull() & F.col("id_beverage").isNotNull())
-                .select(*_LISTING_COLS))
+                .select(*_LISTING_COLS, *left))
     outlets = dim_outlet.select(
         "market", "id_ext_link", "platform_key", "outlet_key", "serves_red_bull", "serves_drinks",
         "is_chain", F.col("average_rating").alias("outlet_average_rating"),
-        F.col("num_ratings").alias("outlet_num_ratings"), "delivery_fee", "min_order_amount")
+        F.col("num_ratings").alias("outlet_num_ratings"), "delivery_fee", "min_order_amount", *[F.col(w).alias("_weight") for w in right])
     enriched = listings.join(outlets, ["market", "id_ext_link"], "inner")
     if dim_product is None:
         enriched = enriched.withColumn("product_key", surrogate_key("market", "id_beverage"))
@@ -54,4 +58,4 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
     return (enriched
             .withColumn("listing_key", surrogate_key("market", "source_file", "file_row_number"))
             .withColumn("market_key", surrogate_key("market"))
-            .select(*FACT_COLUMNS))
+            .select(*FACT_COLUMNS, *[(F.col(w) * F.col("_weight")).alias(w) for w in left]))

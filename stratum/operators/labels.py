@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import layers
@@ -183,6 +183,18 @@ def pattern_scorer(patterns: list[tuple[str, str]]):
     return score
 
 
+REVIEW_TABLE = "MENU_ITEM_LABELS"
+
+
 def append_predictions(review: DataFrame, base: str) -> DataFrame:
-    """C4: append a scoring run to the AUDIT review table; the whole table."""
-    return layers.write_layer(review, base, "audit", "MENU_ITEM_LABELS", mode="append")
+    """C4: append a scoring run to the AUDIT review table; the whole table.
+    The run is evaluated before the table is written, so it may read it."""
+    return layers.write_layer(layers.materialize(review, "scored"), base, "audit", REVIEW_TABLE, mode="append")
+
+
+def read_predictions(spark: SparkSession, base: str, schema) -> DataFrame | None:
+    """The review table, or None before the first run."""
+    path = layers.table_path(base, "audit", REVIEW_TABLE)
+    if not layers.exists(spark, path):
+        return None
+    return layers.from_folders(spark.read.schema(schema).parquet(path), schema.fieldNames(), ("market",))

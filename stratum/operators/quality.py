@@ -62,13 +62,6 @@ def rejected(staged: DataFrame, rules) -> DataFrame:
             .select(*KEYS, "error_code", "error_reason", "raw_record", "load_timestamp", *data))
 
 
-def _any_null(cols) -> Column:
-    out = F.col(cols[0]).isNull()
-    for c in cols[1:]:
-        out = out | F.col(c).isNull()
-    return out
-
-
 def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     """int_*_valid: staged rows whose row key has no rejected row.
 
@@ -79,14 +72,10 @@ def valid(staged: DataFrame, rejected_rows: DataFrame) -> DataFrame:
     and AQE turns the join into a broadcast at runtime; when it is not, it
     is a sort-merge anti join on three high-cardinality keys.
 
-    Rows with a NULL key part can never match and go past the join, so they
-    neither gather in one partition nor make the join read more than the key
-    and the columns a consumer asks for (both filters reach the scan).
-    """
-    keyless = _any_null(KEYS)
-    bad_keys = rejected_rows.filter(~keyless).select(*KEYS)
-    return staged.filter(~keyless).join(bad_keys, KEYS, "left_anti").select(*staged.columns).unionByName(
-        staged.filter(keyless))
+    Two scans, both pruned to what is read: the join itself keeps rows with a
+    NULL key part, and AQE splits the partition where they gather (the left
+    side of an anti join may be split)."""
+    return staged.join(rejected_rows.select(*KEYS), KEYS, "left_anti").select(*staged.columns)
 
 
 def split(staged: DataFrame, rules) -> tuple[DataFrame, DataFrame]:

@@ -442,3 +442,39 @@ BRIDGE_BODY = (
     "select " + sk("market", "id_beverage") + " as product_key, " + sk("market", "id_drink") + " as drink_key, "
     "market, id_beverage, id_drink, count(*) as listings from val_portfolio "
     "where id_beverage is not null and id_drink is not null group by market, id_beverage, id_drink")
+
+
+# --- persisted labels, views, replaced partitions ------------------------------------------
+
+def label_persisted_body(first: str, second: str) -> str:
+    cols = "market, source_file, file_row_number, classification_text, predicted_label, manual_review_label"
+    return (f"select {cols}, timestamp '{first}' as scored_at from review union all "
+            f"select {cols}, timestamp '{second}' as scored_at from review where file_row_number % 2 = 0")
+
+
+MODEL_VIEWS_BODY = " union all ".join(
+    f"select '{n}' as model, market, count(*) as row_count from {c} group by market" for n, c in (
+        ("int_outlet_valid", "val_outlet"), ("int_portfolio_valid", "val_portfolio"), ("int_matching_valid", "val_matching"),
+        ("dim_market", "dim_market"), ("dim_platform", "dim_platform"), ("dim_outlet", "dim_outlet"), ("dim_product", "dim_product"),
+        ("fct_outlet_product_listing", "fct")))
+
+PARTITION_REPLACE_BODY = (
+    "select case market when 'ASIA' then '' when 'EUROPE' then null else market end as market, platform_key, "
+    "case when market = 'ASIA' then platform_name else 'before' end as platform_name from dim_platform where market <> 'AFRICA'")
+
+# --- three loads -----------------------------------------------------------------------------
+
+# Rows of the first load that come again in the third with an empty field.
+BAD_AGAIN = {"outlet": ("file_row_number % 53 = 0", "created_at"), "portfolio": ("file_row_number % 89 = 0", "item_price"),
+             "matching": ("file_row_number % 71 = 0", "created_at")}
+
+
+def reloaded(ctes: list[str], sources=("outlet", "portfolio", "matching")) -> list[str]:
+    """The CTEs over bronze with the bad copies of the third load."""
+    out = list(ctes)
+    for s in sources:
+        rows, column = BAD_AGAIN[s]
+        once = standins.duckdb_sql(standins.parsed_sql(s, "duckdb", True))
+        again = f"{s}_parsed as (with once as ({once}) select * from once union all select * replace ('' as {column}) from once where {rows} and file_row_number % 5 < 3)"
+        out[out.index(bronze_cte(s))] = again
+    return out

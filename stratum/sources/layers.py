@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
@@ -45,11 +46,47 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+# An empty string has no partition folder of its own (it would be read back as
+# NULL), so it and strings of marks only are written with one mark more.
+_MARK = "\u0001"
+
+
+def _folder_value(c: str) -> Column:
+    return F.when(F.col(c).rlike(f"^{_MARK}*$"), F.concat(F.lit(_MARK), F.col(c))).otherwise(F.col(c)).alias(c)
+
+
+def _value(c: str) -> Column:
+    return F.when(F.col(c).rlike(f"^{_MARK}+$"), F.substring(c, 2, 1 << 30)).otherwise(F.col(c)).alias(c)
+
+
+def to_folders(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """``df`` with its partition columns as they are written."""
+    return df.select(*[_folder_value(c) if c in partition_by else c for c in df.columns])
+
+
+def from_folders(df: DataFrame, columns: list[str], partition_by: tuple[str, ...]) -> DataFrame:
+    """A table read back, with its partition columns as they were; a filter
+    on one still prunes folders."""
+    return df.select(*[_value(c) if c in partition_by else c for c in columns])
+
+
+def partition_folder(spark: SparkSession, path: str, column: str, value: str | None) -> str:
+    """The folder of one value, escaped as Spark writes it."""
+    if value is not None and not value.strip(_MARK):
+        value = _MARK + value
+    return f"{path}/{spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)}"
+
+
 def _drop_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -64,14 +101,19 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
     if partition_by is None:
         partition_by = ("market",) if "market" in df.columns else ()
     path = table_path(base, layer, name)
-    write_table(df, path, mode, partition_by, only_touched_partitions)
+    spark, out = df.sparkSession, to_folders(df, partition_by)
+    if touched:
+        # the rebuild is evaluated once; which markets it has comes from its own table
+        out = materialize(out, f"rebuilt-{name}")
+    write_table(out, path, mode, partition_by, only_touched_partitions)
     if touched:
-        left = {r[0] for r in df.select(partition_by[0]).distinct().collect()}  # at most the rebuilt markets
+        column = partition_by[0]
+        back = from_folders(out.select(column).distinct(), [column], partition_by)
+        left = {r[0] for r in back.collect()}  # at most the rebuilt markets
         for value in set(touched) - left:
-            _drop_folder(df.sparkSession, f"{path}/{partition_by[0]}={value}")
+            _drop_folder(spark, partition_folder(spark, path, column, value))
     # the known schema: no footer sampling, and an empty table reads back empty
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return back.select(*df.columns)  # keep the model's column order
+    return from_folders(spark.read.schema(df.schema).parquet(path), df.columns, partition_by)  # keep the model's column order
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

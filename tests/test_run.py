@@ -34,6 +34,9 @@ def test_layered_run_from_files(spark, tmp_dir):
     assert res.file_issues.count() == 0
     assert spark.read.parquet(f"{wh}/BRONZE/OUTLET_RAW").count() == res.bronze["outlet"].count()  # no enclosed newlines here
     assert spark.read.parquet(f"{wh}/SECURITY/role_market_entitlements").count() == 10
+    assert res.labels.count() == res.layers.valid["portfolio"].filter("coalesce(item_name, addon_text) is not null").count()
+    again = run.score_new_listings(res.layers.valid["portfolio"], wh, "2024-06-09 00:00:00")
+    assert again.count() == res.labels.count()  # nothing new, nothing scored twice
     assert spark.table("gold__fct_outlet_product_listing").count() == fact.count()
 
 
@@ -57,7 +60,36 @@ def test_each_file_is_loaded_once_and_replays_agree(spark, tmp_dir):
     put("b b.tsv", [3])
     assert load() == ["1", "2", "3"]
     put("c.tsv", [4])
-    files = f"{wh}/AUDIT/MATCHING_FILES/load=3/_SUCCESS"
     assert load() == ["1", "2", "3", "4"]
-    os.remove(files)  # as if the load had failed before its commit
+    for mark in ("3.lock", "3-load=3"):  # as if the load had failed before its commit
+        os.remove(f"{wh}/AUDIT/MATCHING_FILES/commits/{mark}")
     assert load() == ["1", "2", "3", "4"]
+    # another load has claimed a number and not committed: the next takes its own
+    assert run._claim(spark, f"{wh}/AUDIT/MATCHING_FILES/load=5.claim")
+    put("d.tsv", [5])
+    assert load() == ["1", "2", "3", "4", "5"]
+    assert os.path.isdir(f"{wh}/BRONZE/MATCHING_PARSED/load=6/market=USA")
+
+
+def test_a_load_whose_files_another_has_committed_is_given_up(spark, tmp_dir, monkeypatch):
+    import os
+
+    import pytest
+
+    root, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    os.makedirs(f"{root}/MATCHING/USA")
+    with open(f"{root}/MATCHING/USA/a.tsv", "w") as fh:
+        fh.write("\t".join(SOURCE_FIELDS["matching"]) + "\n1\n")
+    inner = run._next_number
+
+    def meanwhile(spark, folder):
+        number = inner(spark, folder)
+        monkeypatch.setattr(run, "_next_number", inner)
+        run.load_bronze(spark, root, wh, "2024-06-01 00:00:00", sources=("matching",))
+        return number
+
+    monkeypatch.setattr(run, "_next_number", meanwhile)
+    with pytest.raises(RuntimeError, match="given up"):
+        run.load_bronze(spark, root, wh, "2024-06-01 00:00:00", sources=("matching",))
+    parsed, _ = run.load_bronze(spark, root, wh, "2024-06-01 00:00:00", sources=("matching",))
+    assert [r.id_outlet for r in parsed["matching"].collect()] == ["1"]

@@ -31,6 +31,12 @@ def null_if_token(c, tokens=NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens) | c.isNull(), c)
 
 
+def null_if_token_sql(e: str, tokens=NULL_TOKENS) -> str:
+    """The same as SQL text, for many columns at once."""
+    listed = ", ".join("'" + t + "'" for t in tokens)
+    return f"case when {e} not in ({listed}) then {e} end"
+
+
 def market_from_path(rel_path) -> Column:
     """SPLIT_PART(path, '/', 2): second path part; missing -> ''."""
     return F.split_part(_c(rel_path), F.lit("/"), F.lit(2))

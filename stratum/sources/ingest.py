@@ -10,8 +10,9 @@ both bronze tables:
    follows derives from that table, so no second scan has to cut the files
    the same way.
 2. ``number_lines``: per-split counts (one row per split, tiny) are
-   prefix-summed per file and joined back -> the file line number.  No
-   window over a whole file, so one huge file is still read by many tasks.
+   prefix-summed per file, measured and broadcast -> the file line number.
+   No window over a whole file, so one huge file is still read by many tasks,
+   and no shuffle of the text.
 3. ``assemble_records``: a field that begins with a quote is enclosed and may
    hold tabs and newlines; a quote anywhere else in a field is data.  A line
    is a small state machine: where it ends (inside or outside a field) if it
@@ -37,7 +38,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import NULL_TOKENS, null_if_token
+from ..functions.text import NULL_TOKENS, null_if_token, null_if_token_sql
 from .schemas import RAW_SCHEMA, SOURCE_FOLDERS, payload_schema
 
 QUOTE = '"'
@@ -84,19 +85,50 @@ def _keep(df: DataFrame) -> DataFrame:
 def line_states(lines: DataFrame) -> DataFrame:
     """``lines`` with ``_out`` and ``_in``: whether the line ends inside an
     enclosed field if it starts outside of one, and if it starts inside."""
-    return lines.withColumn("_out", F.col("value").rlike(OPEN_FROM_OUTSIDE).cast("int")).withColumn(
-        "_in", F.col("value").rlike(OPEN_FROM_INSIDE).cast("int"))
+    return lines.select("*", F.col("value").rlike(OPEN_FROM_OUTSIDE).cast("int").alias("_out"),
+                        F.col("value").rlike(OPEN_FROM_INSIDE).cast("int").alias("_in"), (~F.is_valid_utf8("value")).alias("_enc"))
 
 
-def number_lines(lines: DataFrame, cut=_keep) -> DataFrame:
-    """Add ``line_no`` (0-based in the file) and file flags.
+#: Bytes of the split table that one broadcast may hold.
+BROADCAST_BYTES = 64 << 20
+
+
+#: Bytes of a split besides its path, at most.
+SPLIT_BYTES = 100
+
+
+def _at_splits(lines: DataFrame, splits: DataFrame, size: int) -> DataFrame:
+    """``lines`` with the columns of their split.  The split table (written,
+    of at most ``size`` bytes) is broadcast, in pieces by ranges of file paths
+    where it is larger than BROADCAST_BYTES: the lines' row groups hold few
+    paths each, so a piece reads its own ones, and the text isn't shuffled at
+    any size."""
+    keys = ["file_path", "block_start"]
+    pieces = -(-size // BROADCAST_BYTES)
+    if pieces <= 1:
+        return lines.join(F.broadcast(splits), keys)
+    ranged = splits.select("file_path").repartitionByRange(pieces, "file_path")
+    starts = sorted(r[1] for r in ranged.groupBy(F.spark_partition_id()).agg(F.min("file_path")).collect())  # one per piece
+    out = None
+    for i, low in enumerate(starts):
+        inside = F.col("file_path") >= low
+        if i + 1 < len(starts):
+            inside = inside & (F.col("file_path") < starts[i + 1])
+        part = lines.filter(inside).join(F.broadcast(splits.filter(inside)), keys)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def number_lines(lines: DataFrame, cut=_keep) -> tuple[DataFrame, int, bool]:
+    """Lines with ``line_no`` (0-based in the file) and file flags; the bytes
+    of the split table and whether any file opens an enclosed field.
 
     ``cut`` materialises the per-split table (one row per split) so that
     every branch reading it scans a small table instead of re-running the
     aggregation over the whole input."""
     splits = (lines.groupBy("file_path", "block_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"), F.max("_out").alias("_opens"),
-                   F.max(~F.is_valid_utf8("value")).alias("_enc")))
+                   F.max("_enc").alias("_enc")))
     by_file = Window.partitionBy("file_path").orderBy("block_start")
     whole = Window.partitionBy("file_path")
     splits = (splits
@@ -104,8 +136,14 @@ def number_lines(lines: DataFrame, cut=_keep) -> DataFrame:
               .withColumn("_file_opens", F.max("_opens").over(whole) == 1)
               .withColumn("_file_bad_enc", F.max("_enc").over(whole))
               .drop("_n", "_opens", "_enc"))
-    return (lines.join(cut(splits), ["file_path", "block_start"])
-            .withColumn("line_no", F.col("_line0") + F.col("_id") - F.col("_id0")))
+    splits = cut(splits)
+    lines = lines.drop("_enc")
+    if cut is _keep:
+        joined, size, opens = lines.join(splits, ["file_path", "block_start"]), 0, True
+    else:
+        size, opens = splits.agg(F.sum(F.octet_length("file_path") + F.lit(SPLIT_BYTES)), F.max("_file_opens")).first()
+        joined = _at_splits(lines, splits, size or 0)
+    return joined.withColumn("line_no", F.col("_line0") + F.col("_id") - F.col("_id0")), size or 0, bool(opens)
 
 
 def _chained(start: Column, flips: Column, last_set: Column) -> Column:
@@ -123,23 +161,26 @@ def _chain(df: DataFrame, out: str, into: str, w) -> DataFrame:
     return df.withColumn("_set", F.last(fixed, ignorenulls=True).over(w))
 
 
-def assemble_records(numbered: DataFrame, cut=_keep) -> DataFrame:
+def assemble_records(numbered: DataFrame, cut=_keep, size: int = 0, any_opens: bool = True) -> DataFrame:
     """file_path, record_line, record, bad-file flags: one row per record.
 
     ``cut`` materialises the chained lines of files with enclosed newlines
-    (only those files), which three later steps read."""
+    (only those files), which three later steps read, and their records.
+    Without ``any_opens`` every line is a record and nothing is assembled."""
     flags = ["_file_open_end", "_file_bad_enc"]
     simple = (numbered.filter(~F.col("_file_opens"))
               .select("file_path", F.col("line_no").alias("record_line"), F.col("value").alias("record"),
                       F.lit(False).alias("_file_open_end"), "_file_bad_enc"))
+    if not any_opens:
+        return simple
     multi = numbered.filter(F.col("_file_opens"))
     order = Window.partitionBy("file_path", "block_start").orderBy("_id")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     multi = _chain(multi, "_out", "_in", upto)
-    for s in (0, 1):  # the state after and before each line, and records begun, if the split starts so
-        multi = multi.withColumn(f"_after{s}", _chained(F.lit(s), F.col("_flips"), F.col("_set")))
-        multi = multi.withColumn(f"_before{s}", F.coalesce(F.lag(f"_after{s}").over(order), F.lit(s)))
-        multi = multi.withColumn(f"_begun{s}", F.sum(1 - F.col(f"_before{s}")).over(upto))
+    # the state after and before each line, and records begun, if the split starts so
+    multi = multi.select("*", *[_chained(F.lit(s), F.col("_flips"), F.col("_set")).alias(f"_after{s}") for s in (0, 1)])
+    multi = multi.select("*", *[F.coalesce(F.lag(f"_after{s}").over(order), F.lit(s)).alias(f"_before{s}") for s in (0, 1)])
+    multi = multi.select("*", *[F.sum(1 - F.col(f"_before{s}")).over(upto).alias(f"_begun{s}") for s in (0, 1)])
     multi = cut(multi.select("file_path", "block_start", "_id", "line_no", "value", "_file_bad_enc",
                              *[f"_{c}{s}" for c in ("after", "before", "begun") for s in (0, 1)]))
     splits = multi.groupBy("file_path", "block_start").agg(
@@ -155,8 +196,8 @@ def assemble_records(numbered: DataFrame, cut=_keep) -> DataFrame:
                  .withColumn("_file_open_end", F.max_by("_ends", "block_start").over(whole) == 1)
                  .select("file_path", "block_start", "_from", "_first", "_file_records", "_file_open_end"))
     pick = lambda c: F.when(F.col("_from") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1"))
-    multi = (multi.join(splits, ["file_path", "block_start"])
-             .withColumn("_record_id", F.col("_first") + pick("_begun"))
+    multi = multi.join(splits, ["file_path", "block_start"]) if cut is _keep else _at_splits(multi, splits, size)
+    multi = (multi.withColumn("_record_id", F.col("_first") + pick("_begun"))
              .withColumn("_alone", (F.col("_file_open_end") & (F.col("_record_id") == F.col("_file_records")))
                          | ((pick("_before") == 0) & (pick("_after") == 0))))
     # whole lines, and what follows a field that never ends, take no grouping
@@ -170,7 +211,7 @@ def assemble_records(numbered: DataFrame, cut=_keep) -> DataFrame:
                .select("file_path", "record_line",
                        F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("record"),
                        *flags))
-    return simple.unionByName(single).unionByName(grouped)
+    return simple.unionByName(cut(single.unionByName(grouped)))
 
 
 def _relative(file_path: Column, root: str) -> Column:
@@ -207,8 +248,8 @@ def land_lines(lines: DataFrame, root: str, cut_lineage: bool = False) -> Landed
     used on each micro-batch of the streaming ingest."""
     from .layers import materialize
     cut = (lambda df: materialize(df, "ingest-step")) if cut_lineage else _keep
-    numbered = number_lines(cut(line_states(lines)), cut)
-    recs = assemble_records(numbered, cut)
+    numbered, size, any_opens = number_lines(cut(line_states(lines)), cut)
+    recs = assemble_records(numbered, cut, size, any_opens)
     rel = _relative(F.col("file_path"), root)
     physical = numbered.select(market_of(rel).alias("market"), rel.alias("source_file"),
                                F.col("line_no").cast("long").alias("file_row_number"),
@@ -253,13 +294,14 @@ def to_raw(landed: Landed, load_ts=None, mode: str = "line") -> DataFrame:
                     null_if_token(F.trim(F.col(text)), NULL_TOKENS).alias("raw_data"))
 
 
-def parse_records(records: DataFrame, source: str) -> DataFrame:
-    """Bind fields by position (S2, S7-S9); keeps ``_corrupt`` for issues."""
+def parse_records(records: DataFrame, source: str, fields: bool = True) -> DataFrame:
+    """Bind fields by position (S2, S7-S9); keeps ``_corrupt`` for issues.
+    Without ``fields`` only the verdict is bound."""
     schema = payload_schema(source).add("_corrupt", "string")
     parsed = records.withColumn("_p", F.from_csv(F.col("record"), schema.simpleString(), CSV_OPTIONS))
-    fields = [null_if_token(F.col(f"_p.{f.name}")).alias(f.name) for f in payload_schema(source).fields]
-    return parsed.select(*[c for c in records.columns if c != "_p"], *fields,
-                         F.col("_p._corrupt").alias("_corrupt"))
+    names = [f.name for f in payload_schema(source).fields] if fields else []
+    # one text per column: a listing has dozens, each a call into the JVM otherwise
+    return parsed.selectExpr(*[c for c in records.columns if c != "_p"], *[f"{null_if_token_sql(f'_p.{n}')} as {n}" for n in names], "_p._corrupt as _corrupt")
 
 
 def to_parsed(landed: Landed, source: str, load_ts=None, keep_corrupt: bool = False,
@@ -296,17 +338,13 @@ def ingest(spark: SparkSession, root: str, source: str, load_ts=None,
            staged_records: bool = True, keep_raw: bool = False, raw_mode: str = "line", files: list[str] | None = None) -> BronzeLoad:
     """Both bronze tables of one source from a single scan.
 
-    ``staged_records`` writes the lines and the assembled records once to the
-    shared folder (lineage cut), so no output re-runs the scan or the record
-    assembly.
+    ``staged_records`` writes the lines, and the records that span lines, once
+    to the shared folder (lineage cut), so no output re-runs the scan or the
+    record assembly.
     """
-    from .layers import materialize
     landed = land(spark, root, source, staged_records, files)
-    if staged_records:
-        recs = materialize(landed.records, f"records-{source}")
-        landed = Landed(recs, bad_files(recs), landed.lines)
     ts = _ts(load_ts) if load_ts is not None else _ts(None)
-    issues = parse_issues(to_parsed(landed, source, ts, keep_corrupt=True))
+    issues = parse_issues(parse_records(landed.records.filter(F.col("file_row_number") > 0), source, fields=False))
     return BronzeLoad(to_raw(landed, ts, raw_mode), to_parsed(landed, source, ts, keep_raw=keep_raw),
                       landed.file_issues, issues)
 

@@ -18,11 +18,14 @@ VALUES["merged_chain_name"] = ("case when event_id % 10 = 0 then concat('chain \
                                "when event_id % 10 = 7 then concat('\"', event_type) else concat('chain-', cast(user_id % 10 as string)) end")
 VALUES["sd"] = "case when event_id % 17 = 0 then 'NULL' else cast(event_id % 12 as string) end"
 
+# Eight files a market for every 400,000 events.
+BUCKET = "cast(floor(event_id / 400000) as bigint) * 8 + event_id % 8"
+
 # The last row of a third of the files opens a field more that never ends.
 STRAY = ("(event_id % 8 % 3 = 0 and event_id % 10 <> 0 and "
-         "row_number() over (partition by r_name, event_id % 8 order by event_id desc) = 1)")
+         f"row_number() over (partition by r_name, {BUCKET} order by event_id desc) = 1)")
 
-ROWS_SQL = ("select upper(r_name) as market, event_id % 8 as bucket, event_id as seq, event_id, "
+ROWS_SQL = (f"select upper(r_name) as market, {BUCKET} as bucket, event_id as seq, event_id, "
             + landing.line_sql("matching", VALUES) + " as line, "
             + ", ".join(f"{VALUES[f]} as {f}" for f in VALUES)
             + f", {STRAY} as stray from {{events}} join {{region}} on r_regionkey = user_id % 5")

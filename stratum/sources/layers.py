@@ -87,6 +87,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
+def marks(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none where it doesn't exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

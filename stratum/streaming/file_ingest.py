@@ -12,6 +12,8 @@ instead of appending duplicates.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,19 +34,27 @@ def stream_lines(spark: SparkSession, root: str, source: str, max_files_per_trig
 def load_batch(batch: DataFrame, batch_id: int, root: str, source: str, out: str, load_ts=None) -> None:
     """Bronze raw + parsed + issues of one micro-batch (idempotent).
 
-    The batch's lines and records are written once to the shared folder; the
-    outputs read those tables, so a lost executor never re-scans text.
+    The batch's lines are written once to the shared folder; raw and parsed
+    rows come from there in two jobs that run together.  Parsed rows keep the
+    parser's verdict, so the issues are a filter of them and no row is parsed
+    twice.  The batch is read from its commit mark on.
     """
-    lines = batch.withColumn("_id", F.monotonically_increasing_id())
-    landed = ingest.land_lines(lines, root, cut_lineage=True)
-    records = layers.materialize(landed.records, f"stream-records-{batch_id}")
+    spark, base = batch.sparkSession, out.rstrip("/")
+    landed = ingest.land_lines(batch.withColumn("_id", F.monotonically_increasing_id()), root, cut_lineage=True)
     ts = ingest._ts(load_ts)
-    landed = ingest.Landed(records, ingest.bad_files(records), landed.lines)
-    for name, df in (("raw", ingest.to_raw(landed, ts)),
-                     ("parsed", ingest.to_parsed(landed, source, ts)),
-                     ("parse_issues", ingest.parse_issues(ingest.to_parsed(landed, source, ts, keep_corrupt=True))),
-                     ("file_issues", landed.file_issues)):
-        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/batch={batch_id}")
+    parsed = ingest.to_parsed(landed, source, ts, keep_corrupt=True)
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        path = f"{base}/{name}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        others = [pool.submit(put, "raw", ingest.to_raw(landed, ts)), pool.submit(put, "file_issues", landed.file_issues)]
+        put("parse_issues", ingest.parse_issues(put("parsed", parsed)))
+        for o in others:
+            o.result()
+    layers.mark(spark, f"{base}/_commits/batch={batch_id}")
 
 
 def stream_bronze(spark: SparkSession, root: str, source: str, out: str, checkpoint: str,
@@ -63,6 +73,12 @@ def stream_bronze(spark: SparkSession, root: str, source: str, out: str, checkpo
 
 
 def read_bronze(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """All batches of one streamed bronze table (the batch folder is dropped)."""
-    path = f"{out.rstrip('/')}/{name}"
-    return spark.read.option("basePath", path).parquet(path).drop("batch")
+    """All committed batches of one streamed bronze table (the batch folder
+    and the parser's verdict are dropped); a batch that is being written, or
+    failed, isn't read."""
+    base = out.rstrip("/")
+    batches = [m for m in layers.marks(spark, f"{base}/_commits") if m.startswith("batch=")]
+    if not batches:
+        raise FileNotFoundError(f"no committed batch in {base}")
+    path = f"{base}/{name}"
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{b}" for b in batches]).drop("batch", "_corrupt")

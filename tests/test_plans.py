@@ -37,6 +37,27 @@ def test_ingest_reads_text_once_after_lineage_cuts(spark, tmp_dir):
         (1, '1\t"a\nb"'), (1, "3\ty"), (3, "2\tx")]
 
 
+def _landed(root, files=6):
+    header = "\t".join(MATCHING_FIELDS)
+    os.makedirs(f"{root}/MATCHING/USA")
+    for i in range(files):
+        with open(f"{root}/MATCHING/USA/f{i}.tsv", "w") as fh:
+            fh.write(header + "\n" + "".join(f"{i}-{j}\tx\n" for j in range(5)))
+
+
+def test_raw_lines_are_numbered_without_moving_the_text(spark, tmp_dir, monkeypatch):
+    _landed(tmp_dir)
+    whole = ingest.ingest(spark, tmp_dir, "matching", "2024-01-01 00:00:00")
+    monkeypatch.setattr(ingest, "BROADCAST_BYTES", 400)  # the split table goes out in pieces
+    pieces = ingest.ingest(spark, tmp_dir, "matching", "2024-01-01 00:00:00")
+    for load, broadcasts in ((whole, 1), (pieces, 2)):
+        plan = _plan(spark, load.raw)
+        assert _count(plan, "BroadcastExchange") >= broadcasts and _count(plan, "Exchange") == 0 and _count(plan, "SortMergeJoin") == 0
+        assert sorted((r.source_file, r.file_row_number, r.raw_data) for r in load.raw.collect()) == [
+            (f"MATCHING/USA/f{i}.tsv", j + 1, f"{i}-{j}\tx") for i in range(6) for j in range(5)]
+    assert _count(_plan(spark, pieces.raw), "BroadcastExchange") > 1
+
+
 def test_valid_split_reads_two_pruned_scans(spark, tmp_dir):
     bronze(spark, "portfolio", [{"item_price": "1"}, {"item_price": None}]).write.parquet(f"{tmp_dir}/bronze")
     staged = conform.stg_portfolio(spark.read.parquet(f"{tmp_dir}/bronze"))

@@ -30,3 +30,13 @@ def test_each_file_loaded_once(spark, tmp_dir):
     assert sorted(r.id_outlet for r in rows) == ["1", "2", "3"]
     assert {r.market for r in rows} == {"USA", "GBR"}
     assert file_ingest.read_bronze(spark, out, "raw").count() == 6  # raw rows are physical lines
+
+
+def test_half_written_batches_are_not_read(spark, tmp_dir):
+    root, out = f"{tmp_dir}/land", f"{tmp_dir}/bronze"
+    _file(root, "MATCHING/USA/a.tsv", [1])
+    file_ingest.stream_bronze(spark, root, "matching", out, f"{tmp_dir}/ckpt", load_ts="2024-01-01 00:00:00").awaitTermination()
+    done = spark.read.parquet(f"{out}/parsed/batch=0")
+    done.write.parquet(f"{out}/parsed/batch=1")  # as if a batch were being written
+    assert file_ingest.read_bronze(spark, out, "parsed").count() == 1
+    assert "_corrupt" not in file_ingest.read_bronze(spark, out, "parsed").columns

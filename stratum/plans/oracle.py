@@ -478,3 +478,15 @@ def reloaded(ctes: list[str], sources=("outlet", "portfolio", "matching")) -> li
         again = f"{s}_parsed as (with once as ({once}) select * from once union all select * replace ('' as {column}) from once where {rows} and file_row_number % 5 < 3)"
         out[out.index(bronze_cte(s))] = again
     return out
+
+DEADLINES_SQL = """
+with f as (select event_type as source_name, upper(r_name) as market, date_trunc('milliseconds', ts) as ts,
+    date_trunc('day', ts) + to_hours(cast(floor(hour(ts) / 6) as int) * 6) as start from events join region on r_regionkey = user_id % 5),
+seen as (select max(ts) - interval 1 day as upto from f),
+due as (select * from (select distinct start from f), (select distinct source_name, market from f)),
+k as (select due.source_name, due.market, due.start, due.start + interval 1 hour as due, due.start + interval 6 hours as over, min(ts) as first
+  from due left join f on f.source_name = due.source_name and f.market = due.market and f.start = due.start group by all),
+bad as (select * from k where first is null or first > due)
+select source_name, market, strftime(start, '%Y-%m-%d %H') as period, status, due, if(status = 'late', first, null) as delivered_at
+from (select *, 'missed' as status from bad, seen where due <= upto
+  union all select *, if(first is null, 'absent', 'late') from bad, seen where over <= upto)"""

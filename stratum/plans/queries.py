@@ -18,7 +18,7 @@ from ..functions import casts
 from ..operators import access, audit, checks, conform, dims, facts, labels, monitoring, quality
 from ..session import shared_dir
 from ..sources import constants, ingest, landed_events, landing, layers, lineage, schemas, standins
-from ..streaming import file_ingest
+from ..streaming import deadlines, file_ingest
 from . import build, deltas, oracle
 from . import run as run_layers
 
@@ -485,6 +485,42 @@ def ingest_reload(spark, sf_dir):
     return _source_dir(bronze["matching"]).select(*_PARSED_OUT)
 
 
+# --- deliveries against deadlines -------------------------------------------------------------
+
+def _delivery_rows(spark, sf_dir) -> DataFrame:
+    """Every event is a delivery of its type for its region; each pair is due
+    an hour into every quarter of a day.  ``part``: the file a row comes in;
+    some rows of the last half day before a cut come a file late."""
+    ev = standins.read_table(spark, sf_dir, "events").join(F.broadcast(standins.read_table(spark, sf_dir, "region")), F.expr("r_regionkey = user_id % 5"))
+    start = F.expr("date_trunc('DAY', ts) + make_dt_interval(0, cast(floor(hour(ts) / 6) as int) * 6)").cast("timestamp_ntz")
+    files = ev.select(F.lit("file").alias("kind"), F.col("event_type").alias("source_name"), F.upper("r_name").alias("market"), start.alias("start"),
+                      F.col("ts").alias("at"), F.expr("(event_id % 13 = 0)").alias("slow"))
+    quarters = files.select("start").distinct()
+    pairs = files.select("source_name", "market").distinct()
+    due = quarters.crossJoin(F.broadcast(pairs)).select(F.lit("due").alias("kind"), "source_name", "market", "start", F.col("start").alias("at"), F.lit(False).alias("slow"))
+    came = F.expr("at + case when slow then interval 12 hours else interval 0 hours end")
+    part = F.concat(F.date_format(came, "yyyy-MM"), F.least(F.floor((F.dayofmonth(came) - 1) / 10), F.lit(2)).cast("string"))
+    is_due = F.col("kind") == "due"
+    return files.unionByName(due).select(
+        "kind", "source_name", "market", F.date_format("start", "yyyy-MM-dd HH").alias("period"), F.col("at").cast("timestamp").alias("at"),
+        F.when(is_due, F.expr("start + interval 1 hour")).cast("timestamp").alias("due"),
+        F.when(is_due, F.expr("start + interval 6 hours")).cast("timestamp").alias("period_end"), part.alias("part"))
+
+
+@register("delivery_deadlines", oracle.DEADLINES_SQL)
+def delivery_deadlines(spark, sf_dir):
+    """Missed, late and absent deliveries, from timers of a stateful
+    stream over the parts in their order, some rows a part late.  The stream
+    is started anew for each part and goes on from its checkpoint."""
+    folder = shared_dir(spark, "deliveries", unique=True)
+    rows = layers.materialize(_delivery_rows(spark, sf_dir), "deliveries")
+    for part in sorted(r[0] for r in rows.select("part").distinct().collect()):  # three a month
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+        deadlines.watch_folder(spark, f"{folder}/in", f"{folder}/out", f"{folder}/_checkpoint", "1 day", None).awaitTermination()
+    return spark.read.schema(deadlines.OUTPUT_SCHEMA).parquet(f"{folder}/out").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("due", "delivered_at")})
+
+
 # --- layers kept up to date load by load -----------------------------------------------------
 
 def _three_loads(spark, sf_dir, sources):

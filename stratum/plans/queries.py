@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casts
-from ..operators import access, audit, checks, conform, dims, facts, labels, monitoring, quality
+from ..operators import access, audit, checks, conform, dims, facts, labels, learned, monitoring, quality
 from ..session import shared_dir
 from ..sources import constants, ingest, landed_events, landing, layers, lineage, schemas, standins
 from ..streaming import deadlines, file_ingest
@@ -321,6 +321,30 @@ def label_recent(spark, sf_dir):
     return labels.recent(labels.to_review_table(labels.label(scoped), at), 50)
 
 
+# Reviewer labels of rows that no rule decides, in the registered run.
+UNDECIDED_SQL = ("case when rule_id = 'no_rule' then case when element_at(split(item_name, ' '), -1) in ('ring', 'widget') then 'standalone_drink' "
+                 "when right(item_brand, 1) in ('1', '2', '3') then 'unclear_needs_review' else 'meal_or_combo_with_drink' end end")
+
+
+def _learned(spark, sf_dir):
+    review = layers.materialize(_review(spark, sf_dir).withColumn("manual_review_label", F.expr(UNDECIDED_SQL)), "review")
+    model = learned.fit(review.filter(~learned.is_held_out()))
+    return learned.label(review, model).withColumn("held_out", learned.is_held_out())
+
+
+@register("label_learned")
+def label_learned(spark, sf_dir):
+    """The rows no rule decides, labelled by a model of the reviews
+    outside the held-out fold."""
+    return _learned(spark, sf_dir).select("market", "source_file", "file_row_number", "predicted_label", "rule_id", "held_out")
+
+
+@register("label_learned_metrics")
+def label_learned_metrics(spark, sf_dir):
+    """Precision and recall of the learned labels on held-out reviews."""
+    return learned.metrics(_learned(spark, sf_dir).filter("held_out"))
+
+
 # --- persisted labels, one market, views, wide numbers --------------------------------------
 
 @register("label_persisted", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)], oracle.label_persisted_body(SCORED_AT, RESCORED_AT)))

@@ -78,3 +78,29 @@ def role_listing_counts(fact: DataFrame, entitlements: DataFrame, role: str,
     return (restrict(fact.select("market"), entitlements, role, admins)
             .groupBy("market").agg(F.count(F.lit(1)).alias("listing_count"))
             .orderBy("market"))
+
+
+#: The session variable that names the active role.
+ROLE_VARIABLE = "active_role"
+
+
+def policy_views(tables: dict[str, DataFrame], entitlements: DataFrame, admins=ADMIN_ROLES, prefix: str = "secured__") -> list[str]:
+    """The policy in SQL (F17, R2, R3): one view per relation that shows what
+    the session's ``active_role`` may see.  ``SET VAR active_role = '...'``
+    changes what the next read of the same view returns; without a role no
+    row is visible.  ``role_markets(role)`` is the entitlement as a table
+    function.  Temporary objects of this session; the entitlements are a
+    table of roles x markets, so the semi join broadcasts them."""
+    spark = entitlements.sparkSession
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT NULL")
+    entitlements.select("role_name", "market").distinct().createOrReplaceTempView(f"{prefix}entitlements")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION role_markets(active STRING) RETURNS TABLE(market STRING) "
+              f"RETURN SELECT e.market FROM {prefix}entitlements e WHERE e.role_name = active")
+    listed = ", ".join(f"'{a}'" for a in admins)
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}all_{name}")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {prefix}{name} AS SELECT t.* FROM {prefix}all_{name} t WHERE {ROLE_VARIABLE} IN ({listed}) "
+                  f"OR t.market IN (SELECT e.market FROM {prefix}entitlements e WHERE e.role_name = {ROLE_VARIABLE})")
+        names.append(f"{prefix}{name}")
+    return names

@@ -32,9 +32,28 @@ def actual_coverage(bronze: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def coverage_state(bronze: dict[str, DataFrame]) -> DataFrame:
+    """What one load adds to the coverage: rows per source, market and file.
+    States of several loads merge by ``coverage_of_states``; a file that two
+    loads have counts once."""
+    parts = [df.groupBy(canon_market("market").alias("market"), "source_file").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(name).alias("source_name"), "market", "source_file", "row_count") for name, df in bronze.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def coverage_of_states(states: DataFrame) -> DataFrame:
+    """source_name, market, row_count, source_file_count from the states of
+    any loads, without a look at bronze; one row per file and load is read."""
+    return states.groupBy("source_name", "market").agg(F.sum("row_count").alias("row_count"), F.count_distinct("source_file").alias("source_file_count"))
+
+
 def coverage_audit(bronze: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
     """Expected source x market with observed counts and a status, ordered."""
-    actual = actual_coverage(bronze)
+    return audit_of(actual_coverage(bronze), expected)
+
+
+def audit_of(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """The audit of coverage figures, from bronze or from states."""
     e = F.broadcast(expected.select("source_name", "market"))
     joined = e.join(actual.withColumn("_seen", F.lit(True)), ["source_name", "market"], "left")
     return (joined.select("source_name", "market",

@@ -490,3 +490,12 @@ bad as (select * from k where first is null or first > due)
 select source_name, market, strftime(start, '%Y-%m-%d %H') as period, status, due, if(status = 'late', first, null) as delivered_at
 from (select *, 'missed' as status from bad, seen where due <= upto
   union all select *, if(first is null, 'absent', 'late') from bad, seen where over <= upto)"""
+
+
+def policy_views_body(roles) -> str:
+    parts = []
+    for r in roles:
+        parts += [f"select '{r}' as active_role, 'secured__{t}' as relation, market, count(*) as rows_seen from {t} x where {_policy(r, 'x')} group by market"
+                  for t in ("dim_platform", "dim_outlet")]
+        parts.append(f"select '{r}' as active_role, 'role_markets' as relation, market, count(*) as rows_seen from ent where role_name = '{r}' group by market")
+    return " union all ".join(parts)

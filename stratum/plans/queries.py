@@ -213,6 +213,18 @@ def checks_summary(spark, sf_dir):
     return checks.run_checks(checks.declared_suite(ACCEPTED_MARKETS), tables)
 
 
+@register("coverage_from_states", oracle.with_(oracle.bronze_ctes_raw() + [oracle.SCOPE_CTE, oracle.EXPECTED_CTE, oracle.ACTUAL_COVERAGE_CTE], oracle.COVERAGE_AUDIT_BODY))
+def coverage_from_states(spark, sf_dir):
+    """The audit of three loads from the state that each left; files
+    are in several loads."""
+    path, bronze = shared_dir(spark, "coverage", unique=True), _bronze(spark, sf_dir, with_raw=False)
+    for load in range(3):
+        part = {s: df.filter(F.pmod("file_row_number", F.lit(3)) == load) for s, df in bronze.items()}
+        audit.coverage_state(part).write.mode("overwrite").parquet(f"{path}/load={load}")
+    states = spark.read.parquet(path)
+    return audit.audit_of(audit.coverage_of_states(states), constants.expected_coverage(_expected_scope(spark, sf_dir)))
+
+
 ACCESS_ROLE = constants.role("EUROPE")
 
 
@@ -234,6 +246,25 @@ def policy_counts(spark, sf_dir):
                              for n, df in seen.items()])
 
 
+VIEW_ROLES = (ACCESS_ROLE, constants.HQ_ROLE, "SYSADMIN", constants.role("UNKNOWN"))
+
+
+@register("policy_views", oracle.with_(oracle.layer_ctes(("outlet", "matching")) + [oracle.SCOPE_CTE, oracle.DIM_PLATFORM_CTE, oracle.DIM_OUTLET_CTE, oracle.ENT_CTE],
+                                       oracle.policy_views_body(VIEW_ROLES)))
+def policy_views(spark, sf_dir):
+    """F17, R2, R3 in SQL: the same views read after ``SET VAR active_role``,
+    and the entitlement as a table function."""
+    v, _ = build.intermediate(build.silver(_bronze(spark, sf_dir, ("outlet", "matching"), with_raw=False)))
+    views = access.policy_views({"dim_platform": dims.dim_platform(v["outlet"]), "dim_outlet": dims.dim_outlet(v["outlet"], v["matching"])},
+                                constants.entitlements(_scope(spark, sf_dir)))
+    out = []
+    for r in VIEW_ROLES:
+        spark.sql(f"SET VAR {access.ROLE_VARIABLE} = '{r}'")
+        out += [spark.sql(f"select {access.ROLE_VARIABLE} as active_role, '{n}' as relation, market, count(*) as rows_seen from {n} group by market") for n in views]
+        out.append(spark.sql(f"select '{r}' as active_role, 'role_markets' as relation, market, count(*) as rows_seen from role_markets('{r}') group by market"))
+    return checks.union_all(out)
+
+
 PROBE_ROLES = ("ACCOUNTADMIN", constants.role("UNKNOWN"))
 
 
@@ -345,6 +376,24 @@ def label_learned_metrics(spark, sf_dir):
     return learned.metrics(_learned(spark, sf_dir).filter("held_out"))
 
 
+# --- bucketed layer tables ----------------------------------------------------------------------
+
+BUCKETS = 16
+
+
+@register("fact_bucketed", oracle.with_(oracle.gold_ctes(), "select * from fct"))
+def fact_bucketed(spark, sf_dir):
+    """J2 and J4 on tables dealt to buckets by their join keys: the valid
+    split and the fact join exchange neither side."""
+    bronze = _bronze(spark, sf_dir, with_raw=False)
+    staged = {s: layers.write_bucketed(conform.STAGERS[s](df), f"stg_{s}", quality.KEYS, BUCKETS) for s, df in bronze.items()}
+    valid, _ = build.intermediate(staged)
+    link = ["market", "id_ext_link"]
+    outlets = layers.write_bucketed(dims.dim_outlet(valid["outlet"], valid["matching"]), "dim_outlet", link, BUCKETS)
+    listings = layers.write_bucketed(valid["portfolio"], "int_portfolio_valid", link, BUCKETS)
+    return facts.fct_listing(listings, outlets)
+
+
 # --- persisted labels, one market, views, wide numbers --------------------------------------
 
 @register("label_persisted", oracle.with_(_LBL_CTES + [oracle.labelled_cte(SCORED_AT)], oracle.label_persisted_body(SCORED_AT, RESCORED_AT)))

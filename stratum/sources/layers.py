@@ -139,6 +139,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """A layer table dealt to buckets by ``keys`` and sorted by them: joins and
+    aggregates on these keys with a table of as many buckets need no
+    exchange.  Its files are in the shared folder; the table's name is unique."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = shared_dir(spark, "tables", table)
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
+
+
 def layer_persister(base: str):
     """``persist`` callback for plans.build.build: one table per model."""
     def persist(df: DataFrame, layer: str, name: str) -> DataFrame:

@@ -104,3 +104,26 @@ def test_dedup_is_planned_as_group_limit(spark):
     staged = conform.stg_portfolio(bronze(spark, "portfolio", [{"item_price": "1", "id_beverage": "b"}]))
     plan = _plan(spark, dims.dim_product(quality.split(staged, quality.PORTFOLIO_RULES)[0]))
     assert "WindowGroupLimit" in plan
+
+
+def test_joins_of_bucketed_tables_exchange_nothing(spark):
+    from stratum.operators import dims, facts
+    from stratum.sources import layers
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = [{"item_price": p, "id_outlet": "o", "id_beverage": "b", "id_ext_link": "a", "created_at": "2024-01-01"} for p in ("1", None, "2")]
+        staged = layers.write_bucketed(conform.stg_portfolio(bronze(spark, "portfolio", items)), "stg", quality.KEYS, 4)
+        valid = quality.split(staged, quality.PORTFOLIO_RULES)[0]
+        plan = _plan(spark, valid)
+        assert "SortMergeJoin LeftAnti" in plan and _count(plan, "Exchange") == 0
+        outlets = conform.stg_outlets(bronze(spark, "outlet", [{"id_outlet": "o", "id_ext_link": "a", "segment_type": "restaurant", "created_at": "2024-01-01"}]))
+        dim = dims.dim_outlet(outlets, conform.stg_matching(bronze(spark, "matching", [{"id_outlet": "o"}])))
+        link = ["market", "id_ext_link"]
+        fact = facts.fct_listing(layers.write_bucketed(valid, "valid", link, 4), layers.write_bucketed(dim, "dim", link, 4))
+        plan = _plan(spark, fact)
+        assert "SortMergeJoin" in plan and _count(plan, "Exchange") == 0
+        assert fact.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -63,9 +63,32 @@ def _gaps(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return near, np.maximum(gap, 0)
 
 
-def _unit(column: pa.Array) -> np.ndarray:
-    """Rows of equal length as unit vectors; scaled first, so no norm over- or underflows."""
-    m = np.array(column.to_pylist(), np.float64)
+def _traverse(gp: np.ndarray, gq: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, i, j) of the cells within ``reach`` of each row, by multi-sequence
+    traversal: both gap lists are sorted; every centre of the first list that
+    is near enough opens with the nearest centre of the second, and goes on
+    through the second list until their sum is out of reach.  The work is that
+    of the cells found, not that of the grid."""
+    n, k = gq.shape
+    order_p, order_q = np.argsort(gp, axis=1, kind="stable"), np.argsort(gq, axis=1, kind="stable")
+    sq_p = np.take_along_axis(gp, order_p, 1) ** 2
+    sq_q = np.minimum(np.take_along_axis(gq, order_q, 1) ** 2, 8.0)  # unit vectors are less than 8 apart, squared
+    row, at = np.nonzero(sq_p <= reach * reach)
+    left = reach * reach - sq_p[row, at]
+    # one sorted list of all rows, 16 apart, so that one search ends every sequence
+    flat = (sq_q + 16.0 * np.arange(n)[:, None]).ravel()
+    count = np.searchsorted(flat, left + 16.0 * row + 1e-9 * (1 + row), side="right") - row * k
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    rows = np.repeat(row, count)
+    return rows, np.repeat(order_p[row, at], count), order_q[rows, step]
+
+
+def _unit(rows: list, width: int) -> np.ndarray:
+    """Rows as unit vectors, filled up with zeros to ``width``; scaled first, so
+    no norm over- or underflows."""
+    m = np.zeros((len(rows), width))
+    for i, row in enumerate(rows):
+        m[i, : len(row)] = row
     m = m / np.abs(m).max(axis=1, keepdims=True)
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
@@ -81,24 +104,16 @@ def near_duplicates(rows: DataFrame, least: float = 0.98, recall: float = 1.0) -
     their own and are one vertex of the link graph.  Other columns aren't
     read.
     """
-    spark = rows.sparkSession
     distinct = saved(_usable(rows).withColumn("dims", F.size("embedding")), "vectors")
-    edges, counts = [], []
-    lengths = [r["dims"] for r in distinct.select("dims").distinct().limit(1000).collect()]  # one, but for mixed tables
-    for dims in sorted(lengths):
-        met = saved(_met(distinct.filter(F.col("dims") == dims), dims, least, recall), "vector-links")
-        edges.append(met.filter("a is not null").select("a", "b").distinct())
-        counts.append(met.filter("a is null").groupBy("rep", "label").agg(F.sum("n").alias("n")))
-    schema = T.StructType([T.StructField(c, rows.schema["vec_id"].dataType) for c in "ab"])
-    links, totals = spark.createDataFrame([], schema), None
-    for e, n in zip(edges, counts, strict=True):
-        links, totals = links.union(e), n if totals is None else totals.union(n)
+    width = distinct.agg(F.max("dims")).first()[0]
     member = rows.select("vec_id", "label", "embedding")
-    if totals is None:
+    if width is None:
         found = member.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     else:
-        known = distinct.join(totals, ["rep", "label"], "left")
-        comp = components(links, "vector-components")
+        met = saved(_met(distinct, width, least, recall), "vector-links")
+        totals = met.filter("a is null").groupBy("rep", "label", "dims").agg(F.sum("n").alias("n"))
+        known = distinct.join(totals, ["rep", "label", "dims"], "left")
+        comp = components(met.filter("a is not null").select("a", "b").distinct(), "vector-components")
         known = known.join(comp, known["rep"] == comp["v"], "left").select(
             F.col("label").alias("_l"), F.col("embedding").alias("_e"), F.coalesce("c", "rep").alias("_c"),
             (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("_n"))
@@ -108,30 +123,32 @@ def near_duplicates(rows: DataFrame, least: float = 0.98, recall: float = 1.0) -
 
 
 def _met(distinct: DataFrame, dims: int, least: float, recall: float) -> DataFrame:
-    """Rows (rep, label, n) with linked weights found in one cell, and rows
-    (a, b) with a spanning forest of the links found in one cell."""
+    """Rows (rep, label, dims, n) with linked weights found in one cell, and
+    rows (a, b) with a spanning forest of the links found in one cell.  Shorter
+    vectors are filed as if filled up to ``dims``; the length is part of the
+    cell's key, so vectors of different lengths don't meet."""
     spark = distinct.sparkSession
     n, n_labels = distinct.agg(F.count("*"), F.countDistinct("label")).first()
     k = int(min(MOST_CENTRES, max(LEAST_CENTRES, np.ceil(np.sqrt(n / (PER_CELL * n_labels))))))
     sample = distinct.orderBy(F.xxhash64("rep"), "rep", "label").limit(FIT_SAMPLE).select("embedding").collect()
-    fit = _unit(pa.array([r[0] for r in sample]))
+    fit = _unit([r[0] for r in sample], dims)
     half = max(1, dims // 2)
     books = [_centres(fit[:, :half], k), _centres(fit[:, half:], k) if dims > half else np.zeros((1, 0))]
     books = spark.sparkContext.broadcast(books)  # 2 * MOST_CENTRES centres at most
     reach = _reach(least, recall, half, k)
     fields = {f.name: f for f in distinct.schema}
-    plain = [fields[c] for c in ("rep", "label", "weight", "embedding")]
+    plain = [fields[c] for c in ("rep", "label", "dims", "weight", "embedding")]
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector once for its home cell and once per earlier cell that it
         visits: of two cells, one side's visits do.  Chunks bound the grid of gaps."""
         first, second = books.value
-        chunk = max(1, 4_000_000 // (len(first) * len(second) + len(first) ** 2 + len(second) ** 2))
+        chunk = max(1, 4_000_000 // (len(first) ** 2 + len(second) ** 2 + dims))
         for b in (whole.slice(s, chunk) for whole in batches for s in range(0, whole.num_rows, chunk)):
-            x = _unit(b["embedding"])
+            x = _unit(b["embedding"].to_pylist(), dims)
             (p, gp), (q, gq) = _gaps(x[:, :half], first), _gaps(x[:, half:], second)
             own = p * len(second) + q
-            row, i, j = np.nonzero(gp[:, :, None] ** 2 + gq[:, None, :] ** 2 <= reach * reach)
+            row, i, j = _traverse(gp, gq, reach)
             cell = i * len(second) + j
             use = cell < own[row]
             row, cell = np.concatenate([np.arange(len(x)), row[use]]), np.concatenate([own, cell[use]])
@@ -143,16 +160,17 @@ def _met(distinct: DataFrame, dims: int, least: float, recall: float) -> DataFra
     filed = saved(distinct.select(*[f.name for f in plain]).mapInArrow(visits, schema), "vector-visits")
 
     # residents of a cell are split into blocks, and so are those who meet them: a task has 2 * BLOCK vectors or so
-    sizes = filed.groupBy("label", "cell").agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("blocks"),
+    sizes = filed.groupBy("label", "dims", "cell").agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("blocks"),
                                                F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).filter("blocks > 0")
-    cells = filed.join(sizes, ["label", "cell"])
+    cells = filed.join(sizes, ["label", "dims", "cell"])
     block, part = (F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(c)).cast("int") for salt, c in enumerate(("blocks", "parts")))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     residents = cells.filter("home").withColumn("block", block).withColumn("part", every("parts")).withColumn("resident", F.lit(True))
     visitors = cells.withColumn("block", every("blocks")).withColumn("part", part).withColumn("resident", F.lit(False))
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        vec = _unit(pa.array(pdf["embedding"].tolist()))
+        size = int(pdf["dims"].iloc[0])
+        vec = _unit(pdf["embedding"].tolist(), size)
         rep, weight, home = pdf["rep"].to_numpy(), pdf["weight"].to_numpy(), pdf["home"].to_numpy()
         resident = pdf["resident"].to_numpy()
         r, v = np.flatnonzero(resident), np.flatnonzero(~resident)
@@ -165,14 +183,14 @@ def _met(distinct: DataFrame, dims: int, least: float, recall: float) -> DataFra
             i, j = np.nonzero(link)
             edge += _forest(rep[w[i]], rep[r[j]])
         some = n > 0
-        counted = pd.DataFrame({"rep": rep[some], "label": pdf["label"].to_numpy()[some], "n": n[some]})
+        counted = pd.DataFrame({"rep": rep[some], "label": pdf["label"].to_numpy()[some], "dims": size, "n": n[some]})
         edge = np.array(_forest(*np.array(edge).T), dtype=rep.dtype) if edge else np.zeros((0, 2), rep.dtype)
         tied = pd.DataFrame({"a": edge[:, 0], "b": edge[:, 1]})
-        return pd.concat([counted, tied]).reindex(columns=["rep", "label", "n", "a", "b"]).astype(object).where(lambda d: d.notna(), None)
+        return pd.concat([counted, tied]).reindex(columns=["rep", "label", "dims", "n", "a", "b"]).astype(object).where(lambda d: d.notna(), None)
 
-    out = T.StructType([T.StructField("rep", plain[0].dataType), T.StructField("label", plain[1].dataType), T.StructField("n", T.LongType()),
+    out = T.StructType([T.StructField("rep", plain[0].dataType), T.StructField("label", plain[1].dataType), T.StructField("dims", T.IntegerType()), T.StructField("n", T.LongType()),
                         T.StructField("a", plain[0].dataType), T.StructField("b", plain[0].dataType)])
-    return residents.unionByName(visitors).groupBy("label", "cell", "block", "part").applyInPandas(verify, out)
+    return residents.unionByName(visitors).groupBy("label", "dims", "cell", "block", "part").applyInPandas(verify, out)
 
 
 def _reach(least: float, recall: float, half: int, centres: int) -> float:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, saved
+from .common import BROADCAST_IDS, fresh, saved
 
 #: Rows that one task sorts, on average.
 ROWS_PER_BUCKET = 10_000
@@ -105,14 +105,20 @@ def _cut(copies: DataFrame, budget: int, buckets: int):
     """The last place of the global order whose running words stay within
     ``budget`` (one row), or None.  Ranges of the finish time are summed first;
     only the range in which the budget ends is sorted."""
-    fine = max(64, 16 * buckets)
+    fine, group = max(64, 16 * buckets), 1024
     ranged = copies.withColumn("range", F.floor(F.col("at.finish") * fine))
-    sums = ranged.groupBy("range").agg(F.sum("words").alias("words"))
-    run = sums.select("range", "words", F.sum("words").over(Window.orderBy("range")).alias("through"))
-    at = run.filter(F.col("through") > budget).orderBy("range").limit(1).first()
-    if at is None:
+    sums = saved(ranged.groupBy("range").agg(F.sum("words").alias("words")).withColumn("group", F.floor(F.col("range") / group)), "mix-ranges")
+
+    def reached(parts: DataFrame, by: str, before: int):
+        """The first part in which the budget ends; parts are one in ``group``."""
+        run = parts.select(by, "words", (F.lit(before) + F.sum("words").over(Window.orderBy(by))).alias("through"))
+        return run.filter(F.col("through") > budget).orderBy(by).limit(1).first()
+
+    coarse = reached(sums.groupBy("group").agg(F.sum("words").alias("words")), "group", 0)
+    if coarse is None:
         last = copies.agg(F.max("at").alias("at")).first()
         return last and last["at"]
+    at = reached(sums.filter(F.col("group") == coarse["group"]), "range", coarse["through"] - coarse["words"])
     before = at["through"] - at["words"]
     near = ranged.filter(F.col("range") == at["range"])
     cum = F.sum("words").over(Window.partitionBy("range").orderBy("at"))
@@ -127,8 +133,9 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     rows that share a doc_id or have none: a row's id, source and size decide.
     The counts are broadcast while they are few; else documents are shuffled."""
     n = _mix(docs.select("doc_id", "source", "text"), **how)
-    counts = n.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
-    counts = saved(counts.filter("_copies > 0"), "mix-copies")
+    of_id, of_source, of_size, times, copy = fresh(docs, "id", "source", "size", "copies", "copy")
+    counts = n.groupBy(F.col("doc_id").alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size)).agg(F.max("copies").alias(times))
+    counts = saved(counts.filter(F.col(times) > 0), "mix-copies")
     side = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
-    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")) & (word_count(docs["text"]) == F.col("_size")))
-    return out.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col(of_id)) & docs["source"].eqNullSafe(F.col(of_source)) & (word_count(docs["text"]) == F.col(of_size)))
+    return out.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).drop(copy)

@@ -1,8 +1,9 @@
 """Toxicity scores from positive and unlabelled text (non-negative PU risk).
 
-Terms are words and their 4- and 5-letter starts.  Confirmed toxic documents
-(P) and unlabelled text (U) of the training fold choose the terms; a logistic
-model on their presence is fitted with numpy under the risk
+Terms are words and their 4- and 5-letter starts.  The terms are chosen by
+their document frequencies among the confirmed toxic documents (P) and all
+documents (U) of the training fold; a logistic model on their presence is
+fitted with numpy, on bounded samples of P and U, under the risk
 prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]).
 Labels of 0 serve the prior only.
 """
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, saved
+from .common import chunks, saved, semi
 
-#: Bounds of the fitting sample (documents) and of the model (terms).
-MOST_POSITIVE, MOST_UNLABELLED, MOST_TERMS = 4000, 8000, 128
+#: Bounds of the fitting sample (rows) and of the model (terms).
+MOST_POSITIVE, MOST_UNLABELLED, MOST_TERMS = 4000, 8000, 1024
+#: Terms that a task counts before it hands them on.
+TERMS_IN_HAND = 200_000
 #: Standard deviations by which P must exceed the clean share of a term.
 LEAST_SIGMA = 5.0
 #: A document with this score or more is toxic.
@@ -63,48 +66,68 @@ def _scorer(model: dict):
     return scores
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, text) to (term, p, u, rows): documents of either part that hold
+    a term; the row without a term counts the documents."""
+    held: dict[str, list[int]] = {}
+    n = [0, 0]
+
+    def out(rows: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.string()), *(pa.array([v[i] for v in rows.values()], pa.int64()) for i in (0, 1))], ["term", "p", "u"])
+
+    for b in chunks(batches):
+        for part, text in zip(b["part"].to_pylist(), b["text"].to_pylist(), strict=True):
+            n[1 - part] += 1
+            for t in terms(text):
+                held.setdefault(t, [0, 0])[1 - part] += 1
+        if len(held) > TERMS_IN_HAND:
+            yield out(held)
+            held.clear()
+    yield out(held)
+    yield out({None: n})
+
+
 def fit(docs: DataFrame, labels: DataFrame, steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> dict:
     """The model: {"weights": {term: weight}, "bias", "prior"}.
 
-    Only documents and labels of the training fold are read.  The sample is
-    bounded by MOST_POSITIVE and MOST_UNLABELLED, taken in hash order.  A
-    document with several labels counts as toxic if one of them says so;
-    null labels say nothing.  Without positive documents the model scores 0
-    everywhere."""
+    Only documents and labels of the training fold are read.  Terms are
+    counted over all of its documents; the fit takes MOST_POSITIVE confirmed
+    and MOST_UNLABELLED other rows, in the order of a hash of id and text (a
+    row that repeats both counts once).  A document with several labels counts
+    as toxic if one of them says so; null labels say nothing.  Without
+    positive documents, or without terms that tell them apart, the model
+    scores 0 everywhere."""
     own = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     own = saved(own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
     n, positive = own.agg(F.count("*"), F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0))).first()
     if not positive:
         return {"weights": {}, "bias": -20.0, "prior": 0.0}
     prior = min(0.9, positive / n)
-    order = F.xxhash64("doc_id")
-    p = own.filter("toxic = 1").orderBy(order, "doc_id").limit(MOST_POSITIVE).select("doc_id", F.lit(1).alias("part"))
-    u = (docs.select("doc_id").filter(~held_out(F.col("doc_id"))).orderBy(order, "doc_id").limit(MOST_UNLABELLED)
-         .select("doc_id", F.lit(0).alias("part")))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(p.union(u)), "doc_id").select("part", "text")
-    chosen = saved(chosen, "toxic-sample")
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
-            for part, text in zip(b["part"].to_pylist(), b["text"].to_pylist(), strict=True):
-                found = list(terms(text))
-                yield pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array(found, pa.string())], ["part", "term"])
-
-    counts = (chosen.mapInArrow(split, "part int, term string").groupBy("term")
-              .agg(F.sum("part").alias("p"), F.sum(1 - F.col("part")).alias("u")))
-    sizes = {r["part"]: r["n"] for r in chosen.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    np_, nu = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
+    toxic = own.filter("toxic = 1").select("doc_id")
+    train = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text")
+    confirmed = semi(train, toxic, "doc_id")
+
+    counts = train.select(F.lit(0).alias("part"), "text").unionByName(confirmed.select(F.lit(1).alias("part"), "text"))
+    counts = saved(counts.mapInArrow(_counted, "term string, p bigint, u bigint").groupBy("term").agg(F.sum("p").alias("p"), F.sum("u").alias("u")), "toxic-terms")
+    size = counts.filter("term is null").first()
+    np_, nu = max(1, size["p"]), max(1, size["u"])
     # expected share among the clean part of U, never below 0; both sides smoothed
     share_p = (F.col("p") + 0.5) / (np_ + 1)
     clean = F.greatest(F.col("u") / nu - prior * F.col("p") / np_, F.lit(0.0))
     share_c = (clean + 0.5 / nu) / (1 - prior)
     gain = share_p * F.log2(share_p / share_c)
     beyond_chance = (F.col("p") - np_ * share_c) / F.sqrt(np_ * share_c * F.greatest(1 - share_c, F.lit(0.0)) + 0.25)
-    best = counts.filter((F.col("p") >= 3) & (beyond_chance >= LEAST_SIGMA)).select("term", gain.alias("g")).orderBy(F.desc("g"), "term").limit(MOST_TERMS)
+    best = counts.filter(F.col("term").isNotNull() & (beyond_chance >= LEAST_SIGMA)).select("term", gain.alias("g")).orderBy(F.desc("g"), "term").limit(MOST_TERMS)
     vocabulary = [r["term"] for r in best.collect()]
     if not vocabulary:
         return {"weights": {}, "bias": -20.0, "prior": prior}
-    rows = chosen.mapInArrow(_presence(vocabulary), "part int, bits binary").collect()
+
+    at = F.xxhash64("doc_id", "text").alias("at")
+    chosen = [of.select(F.lit(part).alias("part"), at).distinct().orderBy("at").limit(most)
+              for part, of, most in ((1, confirmed, MOST_POSITIVE), (0, train, MOST_UNLABELLED))]
+    keys = saved(chosen[0].union(chosen[1]), "toxic-sample")  # MOST_POSITIVE + MOST_UNLABELLED rows at most
+    sample = train.withColumn("at", at).join(F.broadcast(keys), "at").dropDuplicates(["part", "at"]).select("part", "text")
+    rows = sample.mapInArrow(_presence(vocabulary), "part int, bits binary").collect()
     x = np.unpackbits(np.vstack([np.frombuffer(r["bits"], np.uint8) for r in rows]), axis=1)[:, : len(vocabulary)].astype(np.float32)
     part = np.array([r["part"] for r in rows])
     w, bias = nnpu(x[part == 1], x[part == 0], prior, steps, rate, decay)
@@ -132,8 +155,12 @@ def nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float, de
 
 
 def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs`` (null and
-    empty texts have the score of no terms).  Scores read the text alone."""
+    """doc_id, held_out, score, predicted for every row of ``docs``.
+
+    Scores read the whole text, of any length, and nothing else: repeated rows
+    have equal scores, ids may repeat or be null (then not held out), null and
+    empty texts have the score of no terms.  Extra columns aren't read; an
+    empty table gives no rows."""
     scores = _scorer(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +174,9 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
 
 
 def keep_clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` (all columns) without the documents that the model rejects."""
+    """``docs`` (all columns, of any name) without the rows that the model
+    rejects, each judged by its own text; null and empty texts have the score
+    of no terms.  Rows keep their repeats; an empty table stays empty."""
     scores = _scorer(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

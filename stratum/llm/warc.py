@@ -28,11 +28,20 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+#: Control characters and all that ends a line somewhere (also NEL, LS, PS).
+UNSAFE = r"[\p{Cc}\p{Zl}\p{Zp}]"
+
+
+def _uri(url: Column) -> Column:
+    """``url`` with its unsafe characters percent-encoded."""
+    coded = F.transform(F.split(url, ""), lambda c: F.when(c.rlike(UNSAFE), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c))
+    return F.when(url.rlike(UNSAFE), F.array_join(coded, "")).otherwise(url)
+
+
 def _record(kind: str, payload: Column, refers_to: Column | None) -> Column:
     """A record without magic's successor: header, blank line, payload."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    uri = F.regexp_replace("url", r"[\r\n]+", "%0D%0A")
-    target = F.coalesce(line("WARC-Target-URI", uri), F.lit(""))
+    target = F.coalesce(line("WARC-Target-URI", _uri(F.col("url"))), F.lit(""))
     ident = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     return F.concat(
         F.lit(MAGIC), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), ident, F.lit(">"))),
@@ -84,7 +93,8 @@ def _numbered(lines: DataFrame) -> DataFrame:
 
 
 def _header(head: Column, name: str) -> Column:
-    return F.regexp_extract(head, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+    """The value of a header line; lines end with CR LF and nothing else."""
+    return F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
 
 
 def _reached(nodes: DataFrame) -> DataFrame:
@@ -107,18 +117,21 @@ def _reached(nodes: DataFrame) -> DataFrame:
             "file", "split", "run", F.col("s").alias("to_split"), F.col("r").alias("to_run"), F.col("e").alias("entry")), "warc-jumps")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """file, offset, type, record_id, refers_to, uri, declared_digest,
     declared_bytes, content_length, digest: a row per record on the chain.
 
     digest: of the payload as read.  Payloads may hold the magic and whole
     records; a record whose length header is missing, no number or wrong ends
-    the chain of its file there.  An empty file has no records."""
+    the chain of its file there, which is an error unless ``whole_files`` is
+    False.  An empty file has no records.  Header lines end with CR LF; no
+    other character starts one.  Records of any size are read; one whose
+    payload holds the magic is put together in one task."""
     value = F.col("value").cast("binary")
     head = F.substring_index("value", END, 1)
     lines = _lines(spark, path).withColumn("length", F.octet_length("value").cast("long")).withColumn("head", head)
     lines = lines.withColumn("skip", F.octet_length("head").cast("long") + len(END)).withColumn(
-        "content_length", F.expr(r"try_cast(regexp_extract(head, '(?im)^Content-Length:[ \t]*([0-9]+)', 1) AS bigint)"))
+        "content_length", F.regexp_extract(_header(F.col("head"), "Content-Length"), r"^([0-9]+)[ \t]*$", 1).try_cast("bigint"))
     whole = F.col("length") >= F.col("skip") + F.col("content_length") + len(END)
     payload = F.substring(value, (F.col("skip") + 1).cast("int"), F.col("content_length").cast("int"))
     known = [_header(F.col("head"), n).alias(c) for n, c in (
@@ -135,6 +148,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     nodes = saved(nodes, "warc-nodes")
     on = saved(nodes.join(_reached(nodes.select("file", "split", "run", "at", "next")), ["file", "split", "run"]).filter(F.col("at") >= F.col("entry")), "warc-chain")
 
+    if whole_files:
+        ends = placed.groupBy("file").agg(F.max(F.col("at") + F.col("length")).alias("end"))
+        reached = on.groupBy("file").agg(F.max("next").alias("upto"))
+        short = [r["file"] for r in ends.join(reached, "file", "left").filter(F.coalesce(F.col("upto") - len(MAGIC), F.lit(0)) != F.col("end")).limit(5).collect()]
+        if short:
+            raise ValueError(f"the chain of records stops before the end of {', '.join(short)}")
     out = on.filter("digest is not null")
     cut = on.filter("digest is null")
     if cut.limit(1).count():

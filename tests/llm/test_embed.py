@@ -60,3 +60,22 @@ def test_empty_table_and_nothing_usable(spark):
     odd = [(1, None, 1, 1, 1, True), (2, [0.0, 0.0], 1, 1, 1, True), (None, [1.0, 2.0], 1, 1, 1, True)]
     got = embed.near_duplicates(spark.createDataFrame(odd, SCHEMA)).collect()
     assert sorted((str(r["vec_id"]), r["n_links"]) for r in got) == [("1", 0), ("2", 0), ("None", 0)]
+
+
+def test_every_vector_length_is_compared(spark):
+    """More lengths than any list of them may hold."""
+    rows = [(2 * d + i, [1.0] * d, 0, 1, 1, True) for d in range(1, 1011) for i in (0, 1)]
+    rows += [(5000 + d, [1.0] * (d - 1) + [1.0 + 1e-4], 0, 1, 1, True) for d in (40, 700, 1010)]
+    got = {r["vec_id"]: r for r in embed.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len(rows) and all(got[5000 + d]["component_id"] == 2 * d and got[5000 + d]["n_links"] == 2 for d in (40, 700, 1010))
+    assert all(got[2 * d + 1]["component_id"] == 2 * d for d in range(1, 1011))
+
+
+def test_traversal_visits_the_cells_within_reach():
+    r = np.random.default_rng(3)
+    for reach in (0.0, 0.1, 0.4, 2.0):
+        gp, gq = r.uniform(0, 1, (40, 9)), r.uniform(0, 1, (40, 7))
+        gp[:, 0] = gq[:, 0] = 0
+        want = set(zip(*(a.tolist() for a in np.nonzero(gp[:, :, None] ** 2 + gq[:, None, :] ** 2 <= reach * reach)), strict=True))
+        found = list(zip(*(a.tolist() for a in embed._traverse(gp, gq, reach)), strict=True))
+        assert len(found) == len(set(found)) and set(found) == want

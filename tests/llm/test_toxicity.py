@@ -77,3 +77,52 @@ def test_no_positive_labels_and_empty_tables(spark):
     assert [x["predicted"] for x in toxicity.score(docs, model).collect()] == [0, 0]
     model = toxicity.fit(documents(spark, []), spark.createDataFrame([], LABEL))
     assert toxicity.score(documents(spark, []), model).count() == 0 and toxicity.keep_clean(docs, model).count() == 2
+
+
+def test_many_rows_of_one_id_stay_within_the_sample(spark, monkeypatch):
+    docs, labels = data(300)
+    monkeypatch.setattr(toxicity, "MOST_UNLABELLED", 50)
+    monkeypatch.setattr(toxicity, "MOST_POSITIVE", 20)
+    seen = []
+    monkeypatch.setattr(toxicity, "nnpu", lambda p, u, *_: (seen.append((len(p), len(u))), (np.zeros(p.shape[1]), 0.0))[1])
+    rows = docs + [(docs[0][0], f"{docs[0][1]} {i}") for i in range(400)] + [docs[1]] * 300
+    toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, LABEL))
+    assert seen[0][0] <= 20 and seen[0][1] <= 50
+
+
+def test_scores_and_term_counts_in_plain_python(spark):
+    docs, labels = data(400)
+    model = toxicity.fit(documents(spark, docs), spark.createDataFrame(labels, LABEL))
+    for x in toxicity.score(documents(spark, docs), model).collect():
+        z = model["bias"] + sum(model["weights"].get(t, 0.0) for t in toxicity.terms(docs[x["doc_id"]][1]))
+        assert abs(x["score"] - 1 / (1 + np.exp(-z))) < 1e-9
+    # the vocabulary by the same test, counted here over all documents of the fold
+    out = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    train = [set(toxicity.terms(t)) for i, t in docs if not out(i)]
+    toxic = {i for i, _, t in labels if t == 1 and not out(i)}
+    pos = [set(toxicity.terms(t)) for i, t in docs if i in toxic]
+    prior = len(toxic) / sum(not out(i) for i, _, _ in labels)
+    chosen = set()
+    for t in set().union(*pos):
+        p, u = sum(t in d for d in pos), sum(t in d for d in train)
+        share = (max(u / len(train) - prior * p / len(pos), 0) + 0.5 / len(train)) / (1 - prior)
+        if (p - len(pos) * share) / (len(pos) * share * max(1 - share, 0) + 0.25) ** 0.5 >= toxicity.LEAST_SIGMA:
+            chosen.add(t)
+    assert chosen and set(model["weights"]) == chosen
+
+
+def test_risk_gradient_by_finite_differences():
+    r = np.random.default_rng(2)
+    p, u = (r.random((n, 3)) < 0.4 for n in (30, 50))
+    p, u = p.astype(np.float64), u.astype(np.float64)
+    prior, w0 = 0.2, np.array([0.3, -0.2, 0.1, -0.5])
+    s = lambda x, w: 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    risk = lambda w: prior * -np.log(s(p, w)).mean() + max(0.0, -np.log(1 - s(u, w)).mean() - prior * -np.log(1 - s(p, w)).mean())
+    numeric = np.array([(risk(w0 + 1e-6 * e) - risk(w0 - 1e-6 * e)) / 2e-6 for e in np.eye(4)])
+    p1, u1 = np.hstack([p, np.ones((30, 1))]), np.hstack([u, np.ones((50, 1))])
+    exact = prior * p1.T @ (s(p, w0) - 1) / 30 + u1.T @ s(u, w0) / 50 - prior * p1.T @ s(p, w0) / 30
+    assert np.allclose(numeric, exact, atol=1e-5)
+    # one step of the fit goes against the gradient
+    w, b = toxicity.nnpu(p.astype(np.float32), u.astype(np.float32), prior, 1, 0.01, 0.0)
+    zero = prior * p1.T @ (0.5 - np.ones(30)) / 30 + u1.T @ np.full(50, 0.5) / 50 - prior * p1.T @ np.full(30, 0.5) / 30
+    assert np.array_equal(np.sign(np.append(w, b)), -np.sign(zero))

@@ -1,11 +1,12 @@
 """Licence scans: Dice coefficient over word bigrams [DataFrame functions only].
 
-Passages of a document (its lines, its paragraphs and the whole text) are
-normalised to words and compared to licence templates.  Size bounds prune the
-templates of a passage.  A passage that reaches the least coefficient has all
-but a few of a template's bigrams, so it must have one of a few chosen ones:
-texts without a word of any of these are not looked at further.  All of it is
-one projection; nothing is shuffled.
+The whole text is normalised to words (line breaks, comment marks and
+punctuation fall away) and cut to its bigrams once.  A licence template is
+compared with every window of as many words as it has.  A window that reaches
+the least coefficient has all but a few of the template's bigrams (the size
+bound), so it holds one of a few chosen ones, its anchors: only windows around
+anchors are built, and texts without a word of any anchor are not looked at
+further.  All of it is one projection; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -53,20 +54,16 @@ def bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))
 
 
-def anchors(templates: dict[str, str], least: float) -> list[str]:
-    """Words of which every passage that matches a template has one.
+def anchors(text: str, least: float) -> list[str]:
+    """Bigrams of a template of which every window that matches it has one.
 
     With n bigrams in the template, a match shares least * n / (2 - least) of
     them or more; of any more bigrams than the rest, it shares one.  Those with
     the longest words are taken, since these are rare."""
-    found = set()
-    for text in templates.values():
-        grams = bigrams(text)
-        spare = len(grams) - math.ceil(least * len(grams) / (2 - least) - 1e-9)
-        longest = lambda g: max(g.split(), key=lambda w: (len(w), w))
-        chosen = sorted(grams, key=lambda g: (-len(longest(g)), g))[: spare + 1]
-        found |= {longest(g) for g in chosen}
-    return sorted(w for w in found if not any(o != w and o in w for o in found))
+    grams = bigrams(text)
+    spare = len(grams) - math.ceil(least * len(grams) / (2 - least) - 1e-9)
+    longest = lambda g: max(g.split(), key=lambda w: (len(w), w))
+    return sorted(grams, key=lambda g: (-len(longest(g)), g))[: spare + 1]
 
 
 def _any(text: Column, some: list[str]) -> Column:
@@ -77,45 +74,64 @@ def _any(text: Column, some: list[str]) -> Column:
 
 
 def matches(text: Column, templates: dict[str, str] | None = None, least: float = 0.8) -> Column:
-    """Array of (license, dice, passage) of a text's matching passages."""
+    """Array of (license, dice, start, passage) of a text, one for each template
+    that a window matches: its best window, the first of equal ones; start:
+    the window's first word, from 0; passage: its normalised words."""
     templates = TEMPLATES if templates is None else templates
-    known = {k: g for k, v in templates.items() if (g := bigrams(v))}
-    kind = "struct<license:string,dice:double,passage:string>"
+    known = {k: v for k, v in templates.items() if bigrams(v)}
+    kind = "array<struct<license:string,dice:double,start:int,passage:string>>"
     if not known:
-        return F.array().cast(f"array<{kind}>")
-    some = anchors(templates, least)
-    table = F.array(*(F.struct(F.lit(k).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(len(g)).alias("n")) for k, g in known.items()))
-    lines, paragraphs = F.split(text, r"\r?\n"), F.split(text, r"\r?\n[ \t]*\r?\n")
-    passages = F.array_distinct(F.concat(lines, paragraphs, F.array(text)))
-    passages = F.filter(passages, lambda p: _any(F.lower(p), some))
-    # each step binds its value, so it is computed once for what follows
-    worded = F.transform(passages, lambda p: F.struct(
-        F.split(F.btrim(F.regexp_replace(F.lower(p), r"[^\p{L}\p{N}]+", " ")), " ").alias("w"), p.alias("p")))
-    grammed = F.transform(worded, lambda s: F.struct(F.array_distinct(F.zip_with(
-        F.slice(s["w"], 1, F.greatest(F.size(s["w"]) - 1, F.lit(0))), F.slice(s["w"], 2, F.greatest(F.size(s["w"]) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b))).alias("g"), s["p"].alias("p")))
-    low, high = least / (2 - least), (2 - least) / least
-
-    def compare(s: Column) -> Column:
-        fits = F.filter(table, lambda t: (F.size(s["g"]) >= t["n"] * F.lit(low) - 1e-9) & (F.size(s["g"]) <= t["n"] * F.lit(high) + 1e-9))
-        return F.transform(fits, lambda t: F.struct(
-            t["license"].alias("license"), (F.size(F.array_intersect(s["g"], t["grams"])) * F.lit(2.0) / (F.size(s["g"]) + t["n"])).alias("dice"),
-            s["p"].alias("passage")))
-
-    hits = F.filter(F.flatten(F.transform(grammed, compare)), lambda m: m["dice"] >= least - 1e-12)
-    return F.when(text.isNotNull() & _any(F.lower(text), some), hits).otherwise(F.array().cast(f"array<{kind}>"))
+        return F.array().cast(kind)
+    rare = {k: anchors(v, least) for k, v in known.items()}
+    every = sorted({g for some in rare.values() for g in some})
+    gate = {max(g.split(), key=lambda w: (len(w), w)) for g in every}
+    gate = sorted(w for w in gate if not any(o != w and o in w for o in gate))
+    table = F.array(*(F.struct(F.lit(k).alias("license"), F.array(*map(F.lit, bigrams(v))).alias("grams"), F.lit(len(bigrams(v))).alias("n"),
+                               F.array(*map(F.lit, rare[k])).alias("anchors"), F.lit(len(normal_words(v)) - 1).alias("pairs")) for k, v in known.items()))
+    one = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)  # noqa: E731  binds x, so it is computed once
+
+    def windows(w: Column, g: Column, at: Column) -> Column:
+        """Best window of each template; at: places of anchors in the bigrams g."""
+        def best(t: Column) -> Column:
+            mine = F.filter(at, lambda i: F.array_contains(t["anchors"], F.get(g, i)))
+            starts = F.array_distinct(F.flatten(F.transform(mine, lambda i: F.sequence(
+                F.greatest(i - t["pairs"] + 1, F.lit(0)), F.least(i, F.greatest(F.size(g) - t["pairs"], F.lit(0)))))))
+            cut = F.transform(starts, lambda s: F.struct(s.alias("s"), F.array_distinct(F.slice(g, s + 1, t["pairs"])).alias("x")))
+            scored = F.transform(cut, lambda c: F.struct(
+                (F.size(F.array_intersect(c["x"], t["grams"])) * F.lit(2.0) / (F.size(c["x"]) + t["n"])).alias("dice"), (-c["s"]).alias("back")))
+            return F.struct(t["license"].alias("license"), F.array_max(scored).alias("top"), t["pairs"].alias("pairs"))
+
+        good = F.filter(F.transform(table, best), lambda b: b["top"]["dice"] >= least - 1e-12)
+        return F.transform(good, lambda b: F.struct(
+            b["license"].alias("license"), b["top"]["dice"].alias("dice"), (-b["top"]["back"]).alias("start"),
+            F.array_join(F.slice(w, 1 - b["top"]["back"], b["pairs"] + 1), " ").alias("passage")))
+
+    def pairs(w: Column) -> Column:
+        fewer = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, 1, fewer), F.slice(w, 2, fewer), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    def places(g: Column) -> Column:
+        return F.filter(F.transform(g, lambda x, i: F.when(x.isin(every), i)), lambda i: i.isNotNull())
+
+    low = F.lower(text)
+    words = F.split(F.btrim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")), " ")
+    none = F.array().cast(kind)
+    found = one(words, lambda w: one(pairs(w), lambda g: one(places(g), lambda at: F.when(F.size(at) > 0, windows(w, g, at)).otherwise(none))))
+    return F.when(text.isNotNull() & _any(low, gate), found).otherwise(none)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """doc_id, n_matches, licenses, best_dice: one row per row of ``docs``.
 
-    licenses: the distinct names in order, comma-joined ('' without matches);
-    best_dice: the largest coefficient (0.0 without).  Null and empty texts,
-    and passages of one word, match nothing.  A passage that matches several
-    templates counts for each; a repeated line counts once per document.
-    Other columns aren't read."""
+    n_matches: the templates that some window of the whole text matches, each
+    once; licenses: their names in order, comma-joined ('' without matches);
+    best_dice: the largest coefficient (0.0 without).  A text with fewer words
+    than a template is compared whole.  Null and empty texts, and texts of one
+    word, match nothing.  Texts of any length are read whole; repeated rows
+    have equal results; an empty table gives no rows.  Other columns aren't
+    read."""
     found = docs.select("doc_id", matches(F.col("text"), templates, least).alias("_m"))
     return found.select(
         "doc_id", F.size("_m").cast("long").alias("n_matches"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("_m", lambda m: m["license"]))), ",").alias("licenses"),
+        F.array_join(F.array_sort(F.transform("_m", lambda m: m["license"])), ",").alias("licenses"),
         F.coalesce(F.array_max(F.transform("_m", lambda m: m["dice"])), F.lit(0.0)).alias("best_dice"))

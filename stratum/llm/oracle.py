@@ -82,17 +82,19 @@ FROM e JOIN c ON c.v = e.id LEFT JOIN linked l ON l.a = e.id GROUP BY e.id"""
 
 def licences(templates: dict[str, str], least: float = 0.8) -> str:
     rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in templates.items())
-    grams = lambda c: rf"""list_distinct(list_transform(range(1, len({c})), lambda i: {c}[i] || ' ' || {c}[i + 1]))"""
     words = lambda c: rf"""string_split(trim(regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"""
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return rf"""
-WITH t AS (SELECT l, {grams("w")} AS g FROM (SELECT l, {words("x")} AS w FROM (VALUES {rows}) v(l, x))),
-p AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split_regex(text, '\r?\n'), string_split_regex(text, '\r?\n[ \t]*\r?\n')), [text])) AS p
-  FROM documents WHERE text IS NOT NULL),
-b AS (SELECT doc_id, p, {grams("w")} AS g FROM (SELECT doc_id, p, {words("p")} AS w FROM p)),
-m AS (SELECT doc_id, l, 2.0 * len(list_intersect(b.g, t.g)) / (len(b.g) + len(t.g)) AS dice FROM b, t WHERE len(b.g) + len(t.g) > 0),
-best AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS l, max(dice) AS d FROM m WHERE dice >= {least} - 1e-12 GROUP BY doc_id)
+WITH t AS (SELECT l, len(g) AS m, list_distinct(g) AS g FROM (SELECT l, {pairs} AS g FROM (SELECT l, {words("x")} AS w FROM (VALUES {rows}) v(l, x))) WHERE len(g) > 0),
+d AS (SELECT row_number() OVER () AS r, doc_id, {pairs} AS g FROM (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents)),
+-- every window of a template's size that holds one of its bigrams at all
+p AS (SELECT r, len(g) AS n, unnest(range(0, len(g))) AS i, unnest(g) AS x FROM d),
+s AS (SELECT DISTINCT r, l, unnest(range(greatest(i - m + 1, 0), least(i, greatest(n - m, 0)) + 1)) AS s FROM p JOIN (SELECT l, m, unnest(g) AS x FROM t) USING (x)),
+w AS (SELECT s.r, s.l, t.g AS tg, list_distinct(d.g[s + 1:s + m]) AS wg FROM s JOIN t ON t.l = s.l JOIN d ON d.r = s.r),
+top AS (SELECT r, l, max(2.0 * len(list_intersect(wg, tg)) / (len(wg) + len(tg))) AS dice FROM w GROUP BY r, l),
+best AS (SELECT r, count(*) AS n, string_agg(l, ',' ORDER BY l) AS l, max(dice) AS d FROM top WHERE dice >= {least} - 1e-12 GROUP BY r)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(l, '') AS licenses, coalesce(best.d, 0)::DOUBLE AS best_dice
-FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id"""
+FROM d LEFT JOIN best ON best.r = d.r"""
 
 
 def _crc32(text: str) -> str:

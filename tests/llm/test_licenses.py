@@ -1,6 +1,7 @@
 import random
 
 from cases import clashing, documents, vocabulary
+from pyspark.sql import functions as F
 
 from stratum.llm import licenses
 
@@ -12,15 +13,18 @@ def brute(text, templates, least=0.8):
         w = re.sub(r"[^\w]+|_", " ", t.lower()).split()
         return set(zip(w, w[1:], strict=False))
 
+    w = re.sub(r"[^\w]+|_", " ", (text or "").lower()).split()
     found = []
-    if text is not None:
-        for p in dict.fromkeys([*re.split(r"\r?\n", text), *re.split(r"\r?\n[ \t]*\r?\n", text), text]):
-            g = grams(p)
-            for name, t in templates.items():
-                both = grams(t)
-                if g and both and (d := 2 * len(g & both) / (len(g) + len(both))) >= least - 1e-12:
-                    found.append((name, d))
-    return len(found), ",".join(sorted({n for n, _ in found})), max((d for _, d in found), default=0.0)
+    for name, t in templates.items():
+        both, m = grams(t), len(re.sub(r"[^\w]+|_", " ", t.lower()).split())
+        best = 0.0
+        for s in range(max(1, len(w) - m + 1)):
+            g = set(zip(w[s: s + m], w[s + 1: s + m], strict=False))
+            if g & both:
+                best = max(best, 2 * len(g & both) / (len(g) + len(both)))
+        if both and best >= least - 1e-12:
+            found.append((name, best))
+    return len(found), ",".join(sorted(n for n, _ in found)), max((d for _, d in found), default=0.0)
 
 
 def edited(r, v):
@@ -56,3 +60,19 @@ def test_native_plan(spark):
 def test_empty_table_and_no_templates(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
     assert licenses.scan(documents(spark, [(1, "All rights reserved.")]), templates={"none": "one"}).first()["n_matches"] == 0
+
+
+def test_notices_inside_sentences_and_comments(spark):
+    body = "Licensed under the Apache License, Version 2.0 (the 'License'); you may not use this file except in compliance with the License. " \
+           "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+    words = body.split()
+    block = "/*\n" + "\n".join(" * " + " ".join(words[i: i + 6]) + "\n *" for i in range(0, len(words), 6)) + "\n */"
+    texts = ["The code was Released under the MIT License. See the project page for more.",
+             "This module is Licensed under the Apache License, Version 2.0. See the file LICENSE.", block, "# x\n" + "\n#\n# ".join(licenses.TEMPLATES["MIT-text"].split(", "))]
+    got = {x["doc_id"]: x for x in licenses.scan(documents(spark, list(enumerate(texts)))).collect()}
+    assert got[0]["licenses"] == "MIT" and got[0]["best_dice"] == 1.0
+    assert "Apache-2.0" in got[1]["licenses"].split(",")
+    assert "Apache-2.0-header" in got[2]["licenses"].split(",") and got[2]["best_dice"] == 1.0
+    assert got[3]["licenses"] == "MIT-text"
+    first = documents(spark, [(0, "a b c " + texts[0])]).select(licenses.matches(F.col("text")).alias("m")).first()["m"]
+    assert [(m["license"], m["start"], m["passage"]) for m in first] == [("MIT", 6, "released under the mit license")]

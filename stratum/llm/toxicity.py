@@ -10,7 +10,9 @@ Labels of 0 serve the prior only.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +31,32 @@ LEAST_SIGMA = 5.0
 #: A document with this score or more is toxic.
 THRESHOLD = 0.7
 
-_STRIP = str.maketrans({c: " " for c in '.,;:!?"\'()[]{}<>|/\\`*_#~=+-'})
+_STRIP = bytes(32 if chr(c) in '.,;:!?"\'()[]{}<>|/\\`*_#~=+-' else c for c in range(256))
 
 
-def terms(text: str | None) -> set[str]:
+class _Terms(dict):
+    """The terms of each word met, a word and its starts; ``only`` keeps those
+    of a vocabulary.  Forgets all beyond TERMS_IN_HAND words."""
+
+    def __init__(self, only: dict | None = None):
+        super().__init__()
+        self.only = only
+
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
+        parts = word.decode("utf-8", "replace").split()  # other white space than ASCII
+        found = tuple(t for w in parts for t in (w, *(f"{w[:n]}~" for n in (4, 5) if len(w) > n)))
+        if self.only is not None:
+            found = tuple(t for t in found if t in self.only)
+        if len(self) > TERMS_IN_HAND:
+            self.clear()
+        self[word] = found
+        return found
+
+
+def terms(text: str | None, of: _Terms | None = None) -> set[str]:
     """Distinct lower-case words of the whole text and their starts."""
-    found = set((text or "").lower().translate(_STRIP).split())
-    return found | {f"{w[:n]}~" for w in found for n in (4, 5) if len(w) > n}
+    of = _Terms() if of is None else of
+    return set(chain.from_iterable(map(of.__getitem__, set((text or "").lower().encode("utf-8", "replace").translate(_STRIP).split()))))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -47,10 +68,11 @@ def _presence(vocabulary: list[str]):
     at = {t: i for i, t in enumerate(vocabulary)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = _Terms(at)
         for b in chunks(batches):
             x = np.zeros((b.num_rows, len(at)), bool)
             for i, text in enumerate(b["text"].to_pylist()):
-                x[i, [at[t] for t in terms(text) if t in at]] = True
+                x[i, [at[t] for t in terms(text, of)]] = True
             yield pa.RecordBatch.from_arrays([b["part"], pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())], ["part", "bits"])
     return rows
 
@@ -59,9 +81,10 @@ def _scorer(model: dict):
     """Scores of a column of texts.  Weights are added in sorted order, so a
     text has one score wherever it is computed."""
     weights, bias = model["weights"], model["bias"]
+    of = _Terms(weights)
 
     def scores(texts: pa.Array) -> np.ndarray:
-        z = np.array([bias + sum(sorted(weights[t] for t in terms(x) if t in weights)) for x in texts.to_pylist()], np.float64)
+        z = np.array([bias + sum(sorted(weights[t] for t in terms(x, of))) for x in texts.to_pylist()], np.float64)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
     return scores
 
@@ -69,22 +92,21 @@ def _scorer(model: dict):
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, text) to (term, p, u, rows): documents of either part that hold
     a term; the row without a term counts the documents."""
-    held: dict[str, list[int]] = {}
-    n = [0, 0]
+    of, held, n = _Terms(), (Counter(), Counter()), [0, 0]
 
-    def out(rows: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.string()), *(pa.array([v[i] for v in rows.values()], pa.int64()) for i in (0, 1))], ["term", "p", "u"])
+    def out(p: dict, u: dict) -> pa.RecordBatch:
+        both = list(p.keys() | u.keys())
+        return pa.RecordBatch.from_arrays([pa.array(both, pa.string()), *(pa.array([c.get(t, 0) for t in both], pa.int64()) for c in (p, u))], ["term", "p", "u"])
 
     for b in chunks(batches):
         for part, text in zip(b["part"].to_pylist(), b["text"].to_pylist(), strict=True):
             n[1 - part] += 1
-            for t in terms(text):
-                held.setdefault(t, [0, 0])[1 - part] += 1
-        if len(held) > TERMS_IN_HAND:
-            yield out(held)
-            held.clear()
-    yield out(held)
-    yield out({None: n})
+            held[1 - part].update(terms(text, of))
+        if len(held[0]) + len(held[1]) > TERMS_IN_HAND:
+            yield out(*held)
+            held = (Counter(), Counter())
+    yield out(*held)
+    yield out({None: n[0]}, {None: n[1]})
 
 
 def fit(docs: DataFrame, labels: DataFrame, steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> dict:

@@ -33,7 +33,7 @@ def test_run_and_registration(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() > 0 and "shard" in out.columns
     names = list(queries.QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.ORACLE) <= set(names)
 
 

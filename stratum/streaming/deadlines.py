@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEYS = ["source_name", "market", "period"]
 #: Rows of the stream: kind is "due" or "file"; at is the event time; due and
@@ -84,8 +85,8 @@ class DeadlineWatch(StatefulProcessor):
 def watch(rows: DataFrame, delay: str) -> DataFrame:
     """Reports of a stream of INPUT_SCHEMA rows that come at most ``delay``
     late.  State lives in RocksDB, one entry per open period, so it grows with
-    the sources and markets that are due, not with the files delivered."""
-    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    the sources and markets that are due, not with the files delivered; the
+    query has to be started with PROVIDER set to ROCKSDB."""
     millis = [F.unix_millis(c).alias(n) for c, n in (("at", "at_ms"), ("due", "due_ms"), ("period_end", "end_ms"))]
     reports = rows.withWatermark("at", delay).select("kind", *KEYS, "at", *millis).groupBy(*KEYS).transformWithStateInPandas(
         DeadlineWatch(), outputStructType=_REPORT, outputMode="Append", timeMode="EventTime")
@@ -97,5 +98,10 @@ def watch_folder(spark: SparkSession, folder: str, out: str, checkpoint: str, de
     (availableNow); a later call goes on from the checkpoint."""
     reader = spark.readStream.schema(INPUT_SCHEMA)
     rows = (reader.option("maxFilesPerTrigger", str(files_per_trigger)) if files_per_trigger else reader).parquet(folder)
-    return (watch(rows, delay).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start(out))
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)  # a query keeps the settings it was started with
+    try:
+        return (watch(rows, delay).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start(out))
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)

@@ -499,3 +499,40 @@ def policy_views_body(roles) -> str:
                   for t in ("dim_platform", "dim_outlet")]
         parts.append(f"select '{r}' as active_role, 'role_markets' as relation, market, count(*) as rows_seen from ent where role_name = '{r}' group by market")
     return " union all ".join(parts)
+
+
+# --- lines loaded apart, realigned ------------------------------------------------------------
+
+def lineage_realigned_sql(parsed: str, raw: str) -> str:
+    """Row by row: lookups of single texts, running values over whole files."""
+    f = "market, source_file"
+    near = (f"coalesce(last_value(shift ignore nulls) over (partition by {f} order by n rows between unbounded preceding and 1 preceding), 0) as before, "
+            f"coalesce(first_value(shift ignore nulls) over (partition by {f} order by n rows between 1 following and unbounded following), fin, 0) as after")
+    free = "not exists (select 1 from {m} m where m.market = r.market and m.source_file = r.source_file and m.rn = r.n)"
+    left = "not exists (select 1 from {m} m where m.market = p.market and m.source_file = p.source_file and m.n = p.n)"
+    return f"""
+with p as (select upper(trim(market)) as market, source_file, file_row_number as n, line as t, * exclude (market, source_file, line) from ({parsed})),
+r as (select upper(trim(market)) as market, source_file, file_row_number as n, raw_data as t from ({raw})),
+differ as (select distinct {f} from ((select {f}, n, t from p except select {f}, n, t from r) union all (select {f}, n, t from r except select {f}, n, t from p))),
+ends as (select {f}, theirs - ours as fin from (select {f}, max(n) as theirs from r group by all) join (select {f}, max(n) as ours from p group by all) using ({f})),
+ps as (select p.*, fin from p semi join differ using ({f}) left join ends using ({f})),
+rs as (select r.* from r semi join differ using ({f})),
+m1 as (select {f}, a.n, b.n as rn from (select {f}, t, min(n) as n from ps group by all having count(*) = 1) a
+  join (select {f}, t, min(n) as n from rs group by all having count(*) = 1) b using ({f}, t)),
+steady1 as (select {f}, n, shift from (select *, {near} from (select m1.*, rn - n as shift, fin from m1 left join ends using ({f}))) where before <> after or shift = before),
+around1 as (select *, {near} from (select ps.*, shift from ps left join steady1 using ({f}, n))),
+led as (select {f}, p.n, p.t, unnest(list_distinct([n + before, n + after])) as rn from around1 p where {left.format(m="m1")}),
+led2 as (select {f}, rn, min(l.n) as n from led l join (select {f}, n as rn, t from rs r where {free.format(m="m1")}) using ({f}, rn, t) group by {f}, rn),
+m2 as (select * from m1 union all by name select {f}, n, min(rn) as rn from led2 group by {f}, n),
+m3 as (select * from m2 union all by name select {f}, a.n, b.n as rn
+  from (select *, row_number() over (partition by {f}, t order by n) as k from ps p where {left.format(m="m2")}) a
+  join (select *, row_number() over (partition by {f}, t order by n) as k from rs r where {free.format(m="m2")}) b using ({f}, t, k)),
+steady2 as (select {f}, n, shift from (select *, {near} from (select m2.*, rn - n as shift, fin from m2 left join ends using ({f}))) where before <> after or shift = before),
+around2 as (select *, {near} from (select ps.*, shift from ps left join steady2 using ({f}, n))),
+m4 as (select {f}, p.n, r.n as rn from around2 p join rs r using ({f}) where before = after and r.n = p.n + before and {left.format(m="m3")} and {free.format(m="m3")}),
+kinds as (select *, 'unique' as kind from m1 union all by name select *, 'extended' as kind from m2 anti join m1 using ({f}, n)
+  union all by name select *, 'repeated' as kind from m3 anti join m2 using ({f}, n) union all by name select *, 'position' as kind from m4
+  union all by name select {f}, n, n as rn, 'same' as kind from p anti join differ using ({f}))
+select p.market, p.source_file, p.n as file_row_number, p.id_outlet, p.id_platform, p.place_id, p.created_at, k.rn as raw_row_number, r.t as raw_record,
+  coalesce(kind, 'none') as match_kind
+from p left join kinds k using ({f}, n) left join r on r.market = p.market and r.source_file = p.source_file and r.n = k.rn"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casts
-from ..operators import access, audit, checks, conform, dims, facts, labels, learned, monitoring, quality
+from ..operators import access, alignment, audit, checks, conform, dims, facts, labels, learned, monitoring, quality
 from ..session import shared_dir
 from ..sources import constants, ingest, landed_events, landing, layers, lineage, schemas, standins
 from ..streaming import deadlines, file_ingest
@@ -470,6 +470,18 @@ def lineage_join(spark, sf_dir):
     return conform.attach_raw(parsed, raw)
 
 
+_BOTH = {"events": "events", "region": "region"}
+
+
+@register("lineage_realigned", oracle.lineage_realigned_sql(lineage.APART_PARSED_SQL.format(**_BOTH), lineage.APART_RAW_SQL["duckdb"].format(**_BOTH)))
+def lineage_realigned(spark, sf_dir):
+    """J1 where the two loads numbered the lines apart: shifted, missing,
+    doubled, changed and moved lines find their raw text."""
+    parsed, raw = lineage.loaded_apart(spark, sf_dir)
+    return alignment.attach_aligned(parsed, raw, "matching").select(
+        "market", "source_file", "file_row_number", "id_outlet", "id_platform", "place_id", "created_at", "raw_row_number", "raw_record", "match_kind")
+
+
 @register("layer_roundtrip", oracle.with_(oracle.layer_ctes(("outlet",)) + [oracle.DIM_PLATFORM_CTE],
                                           "select * from dim_platform"))
 def layer_roundtrip(spark, sf_dir):

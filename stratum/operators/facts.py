@@ -20,8 +20,40 @@ FACT_COLUMNS = ["listing_key", "market_key", "platform_key", "outlet_key", "prod
                 "delivery_fee", "min_order_amount", "created_at", "load_timestamp"]
 
 
+#: Pieces of a hot link per task's share of the listings.
+PIECES = 4
+
+
+def hot_links(listings: DataFrame, parts: int) -> DataFrame:
+    """market, id_ext_link, _pieces of links that hold more than one of
+    ``parts`` shares of all listings, at most ``parts`` rows.  Counted by a
+    sketch in one pass over two columns: a link missed or too many changes
+    how rows are dealt, never the result."""
+    link = "named_struct('market', market, 'id_ext_link', id_ext_link)"
+    top = listings.filter("market is not null and id_ext_link is not null").agg(
+        F.count(F.lit(1)).alias("_n"), F.expr(f"approx_top_k(to_json({link}), {parts}, {max(1024, 8 * parts)})").alias("_top"))
+    item = F.from_json("_hot.item", "market string, id_ext_link string")
+    return (top.select("_n", F.explode("_top").alias("_hot"))
+            .select(item["market"].alias("market"), item["id_ext_link"].alias("id_ext_link"),
+                    F.ceil(F.col("_hot.count") * parts * PIECES / F.col("_n")).cast("int").alias("_pieces"))
+            .filter(F.col("_pieces") > PIECES))
+
+
+def join_spread(listings: DataFrame, outlets: DataFrame, parts: int) -> DataFrame:
+    """The inner join on (market, id_ext_link) with hot links dealt in pieces:
+    a listing goes to the piece its content hashes to (the same after a
+    retry), the link's outlets to all of them.  Needed where a hot link's
+    listings each meet many outlets: AQE splits by bytes read, not by rows made."""
+    link, hot = ["market", "id_ext_link"], hot_links(listings, parts)
+    dealt = listings.join(F.broadcast(hot), link, "left").withColumn(
+        "_piece", F.coalesce(F.pmod(F.xxhash64(*listings.columns), F.col("_pieces")), F.lit(0)).cast("int"))
+    copied = outlets.join(F.broadcast(hot), link, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
+    return dealt.drop("_pieces").join(copied.drop("_pieces"), [*link, "_piece"]).drop("_piece")
+
+
 def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None,
-                weights: tuple[str, str] | None = None) -> DataFrame:
+                weights: tuple[str, str] | None = None, spread: int = 0) -> DataFrame:
     """One row per valid listing (a portfolio file row) that maps to an outlet.
 
     The reference writes LEFT JOIN dim_outlet + ``outlet_key IS NOT NULL``;
@@ -40,6 +72,8 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
 
     ``weights`` names a signed multiplicity of either side; their product is
     the fact row's, under the first name (see plans.deltas).
+
+    ``spread`` (a number of tasks) deals hot links in pieces, see join_spread.
     """
     left, right = ([w] for w in weights) if weights else ([], [])
     listings = (valid_portfolio
@@ -49,7 +83,7 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
         "market", "id_ext_link", "platform_key", "outlet_key", "serves_red_bull", "serves_drinks",
         "is_chain", F.col("average_rating").alias("outlet_average_rating"),
         F.col("num_ratings").alias("outlet_num_ratings"), "delivery_fee", "min_order_amount", *[F.col(w).alias("_weight") for w in right])
-    enriched = listings.join(outlets, ["market", "id_ext_link"], "inner")
+    enriched = join_spread(listings, outlets, spread) if spread else listings.join(outlets, ["market", "id_ext_link"], "inner")
     if dim_product is None:
         enriched = enriched.withColumn("product_key", surrogate_key("market", "id_beverage"))
     else:

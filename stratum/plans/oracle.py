@@ -536,3 +536,19 @@ kinds as (select *, 'unique' as kind from m1 union all by name select *, 'extend
 select p.market, p.source_file, p.n as file_row_number, p.id_outlet, p.id_platform, p.place_id, p.created_at, k.rn as raw_row_number, r.t as raw_record,
   coalesce(kind, 'none') as match_kind
 from p left join kinds k using ({f}, n) left join r on r.market = p.market and r.source_file = p.source_file and r.n = k.rn"""
+
+
+# --- one link with a third of the listings ----------------------------------------------------
+
+HOT_LINK = ("EUROPE", "Chain#1")
+HOT_ROWS = {"outlet": "file_row_number <= 3", "portfolio": "file_row_number % 10 = 1"}  # a listing's first line
+
+
+def hot_linked(ctes: list[str]) -> list[str]:
+    """The CTEs over bronze in which three outlets share a link that many listings have."""
+    out, (market, link) = list(ctes), HOT_LINK
+    for s, rows in HOT_ROWS.items():
+        out[out.index(bronze_cte(s))] = (
+            f"{s}_parsed as (select * replace (case when {rows} then '{market}' else market end as market, "
+            f"case when {rows} then '{link}' else id_ext_link end as id_ext_link) from ({standins.duckdb_sql(standins.parsed_sql(s, 'duckdb', True))}))")
+    return out

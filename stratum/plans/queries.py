@@ -94,6 +94,17 @@ def fact_listing_joined(spark, sf_dir):
     return facts.fct_listing(lay.valid["portfolio"], lay.gold["dim_outlet"], lay.gold["dim_product"])
 
 
+@register("fact_hot_link", oracle.with_(oracle.hot_linked(oracle.gold_ctes()), "select * from fct"))
+def fact_hot_link(spark, sf_dir):
+    """J4 where one link of several outlets holds a quarter of the listings."""
+    bronze = _bronze(spark, sf_dir, materialized=standins.SOURCES, with_raw=False)
+    for s, rows in oracle.HOT_ROWS.items():
+        hot = dict(zip(("market", "id_ext_link"), oracle.HOT_LINK))
+        bronze[s] = bronze[s].withColumns({c: F.when(F.expr(rows), F.lit(v)).otherwise(F.col(c)) for c, v in hot.items()})
+    lay = build.build(bronze, _scope(spark, sf_dir))
+    return facts.fct_listing(lay.valid["portfolio"], lay.gold["dim_outlet"], spread=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @register("dim_market", oracle.with_([oracle.SCOPE_CTE],
                                      "select " + oracle.sk("market") + " as market_key, market, market_name from scope"))
 def dim_market(spark, sf_dir):

@@ -552,3 +552,34 @@ def hot_linked(ctes: list[str]) -> list[str]:
             f"{s}_parsed as (select * replace (case when {rows} then '{market}' else market end as market, "
             f"case when {rows} then '{link}' else id_ext_link end as id_ext_link) from ({standins.duckdb_sql(standins.parsed_sql(s, 'duckdb', True))}))")
     return out
+
+
+# --- drifted headers ---------------------------------------------------------------------------
+
+def ingest_drifted_body(load_ts: str) -> str:
+    """Every row as landed, but for the fields whose column is gone or renamed beyond recognition."""
+    return (f"select * replace (case when source_dir like '%=3/' then null else place_id end as place_id, "
+            f"case when source_dir like '%=4/' then null else sd end as sd) from ({ingest_parsed_body(load_ts)})")
+
+
+def header_drift_body(headers: dict[int, tuple[str, ...]]) -> str:
+    """The drift of each variant of header, once for all its files."""
+    from ..sources.schemas import MATCHING_FIELDS
+    plain = "regexp_replace(lower({}), '[^a-z0-9]', '', 'g')"
+    rows = ", ".join(f"({v}, {i}, '{c}')" for v, fields in headers.items() for i, c in enumerate(fields))
+    layout = ", ".join(f"({i}, '{f}')" for i, f in enumerate(MATCHING_FIELDS))
+    return f"""
+with found(variant, pos, name) as (values {rows}), layout(place, field) as (values {layout}),
+pairs as (select *, levenshtein({plain.format('name')}, {plain.format('field')}) as far from found, layout),
+same as (select * from pairs where far = 0),
+rest as (select * from pairs p where not exists (select 1 from same s where s.variant = p.variant and (s.pos = p.pos or s.field = p.field))),
+close as (select * from rest p where far * 4 <= length({plain.format('field')}) and not exists (
+  select 1 from rest o where o.variant = p.variant and (o.pos = p.pos or o.field = p.field) and (o.pos, o.field) <> (p.pos, p.field) and o.far <= p.far)),
+bound as (select * from same union all select * from close),
+drift as (select variant, if(far > 0, 'renamed', 'moved') as kind, field, place, name, pos from bound where far > 0 or place <> pos
+  union all select variant, 'missing', field, place, null, null from (select distinct variant from found), layout
+    where (variant, field) not in (select (variant, field) from bound)
+  union all select variant, 'added', null, null, name, pos from found where (variant, pos) not in (select (variant, pos) from bound))
+select {SOURCE_DIR_SQL} as source_dir, kind, field, place as position, name as found_name, pos as found_position
+from (select distinct market, bucket from (select upper(r_name) as market, {{bucket}} as bucket from events join region on r_regionkey = user_id % 5))
+join drift on variant = bucket % 8"""

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import casts
 from ..operators import access, alignment, audit, checks, conform, dims, facts, labels, learned, monitoring, quality
 from ..session import shared_dir
-from ..sources import constants, ingest, landed_events, landing, layers, lineage, schemas, standins
+from ..sources import constants, drift, ingest, landed_events, landing, layers, lineage, schemas, standins
 from ..streaming import deadlines, file_ingest
 from . import build, deltas, oracle
 from . import run as run_layers
@@ -556,6 +556,25 @@ def file_reject(spark, sf_dir):
     return _source_dir(load.file_issues).select("source_dir", "issue")
 
 
+def _drifted(spark, sf_dir):
+    root = shared_dir(spark, "landing", unique=True)
+    landed_events.land_drifted(spark, sf_dir, root)
+    return drift.parse_by_header(ingest.land(spark, root, "matching", cut_lineage=True), "matching", _TS)
+
+
+@register("ingest_drifted", oracle.with_(oracle.landed_ctes(), oracle.ingest_drifted_body(_TS)))
+def ingest_drifted(spark, sf_dir):
+    """Files whose columns were moved, added, dropped or renamed, bound by
+    their headers."""
+    return _source_dir(_drifted(spark, sf_dir)[0]).select(*_PARSED_OUT)
+
+
+@register("header_drift", oracle.header_drift_body(landed_events.DRIFTED).format(bucket=landed_events.BUCKET))
+def header_drift(spark, sf_dir):
+    """How each file's header differs from the layout."""
+    return _source_dir(_drifted(spark, sf_dir)[1]).select("source_dir", "kind", "field", "position", "found_name", "found_position")
+
+
 @register("ingest_stream", oracle.with_(oracle.landed_ctes(), oracle.ingest_parsed_body(_TS)))
 def ingest_stream(spark, sf_dir):
     """The same landed files loaded by the streaming ingest (availableNow)."""

@@ -8,9 +8,11 @@ file and parse issues only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import landing, standins
+from .schemas import MATCHING_FIELDS
 
 VALUES = dict(standins._MATCHING)
 VALUES["merged_chain_name"] = ("case when event_id % 10 = 0 then concat('chain \"', event_type, '\"', chr(9), "
@@ -38,6 +40,37 @@ def landing_rows(spark: SparkSession, sf_dir: str, with_stray: bool = False) ->
     rows = spark.sql(ROWS_SQL, events=standins.read_table(spark, sf_dir, "events"),
                      region=standins.read_table(spark, sf_dir, "region"))
     if with_stray:
-        from pyspark.sql import functions as F
         rows = rows.withColumn("line", F.concat("line", F.when(F.col("stray"), F.lit('\t"')).otherwise(F.lit(""))))
     return rows.select("market", "bucket", "seq", "line")
+
+
+# Headers of the buckets 1 to 4 of every eight: a column first that was last, one
+# more, one less, some spelt otherwise.
+DRIFTED = {
+    1: (MATCHING_FIELDS[-1], *MATCHING_FIELDS[:-1]),
+    2: (*MATCHING_FIELDS[:3], "reviewed_by", *MATCHING_FIELDS[3:]),
+    3: tuple(f for f in MATCHING_FIELDS if f != "place_id"),
+    4: tuple({"id_outlet": "Id Outlet", "similarity_score_name": "similarty_score_name", "sd": "quite_else_here"}.get(f, f) for f in MATCHING_FIELDS),
+}
+_COLUMN_OF = {"Id Outlet": "id_outlet", "similarty_score_name": "similarity_score_name", "quite_else_here": "sd"}
+
+
+def _drifted_line(fields) -> str:
+    """A line of encoded fields (``_<field>``) in the order of a header."""
+    return "concat_ws(chr(9), " + ", ".join("'someone'" if f == "reviewed_by" else f"_{_COLUMN_OF.get(f, f)}" for f in fields) + ")"
+
+
+def drifted_header() -> Column:
+    header = F.lit(landing.header_line("matching"))
+    for variant, fields in DRIFTED.items():
+        header = F.when(F.col("bucket") % 8 == variant, F.lit("\t".join(fields))).otherwise(header)
+    return header
+
+
+def land_drifted(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The same rows in files whose headers drifted."""
+    tables = {t: standins.read_table(spark, sf_dir, t) for t in ("events", "region")}
+    encoded = ", ".join(f"{landing.encode_sql(f)} as _{f}" for f in MATCHING_FIELDS)
+    line = "case bucket % 8 " + " ".join(f"when {v} then {_drifted_line(fields)}" for v, fields in DRIFTED.items()) + " else line end"
+    rows = spark.sql(f"select market, bucket, seq, {line} as line from (select market, bucket, seq, line, {encoded} from ({ROWS_SQL}))", **tables)
+    landing.write_landing(rows, root, "matching", drifted_header())

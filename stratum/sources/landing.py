@@ -10,7 +10,7 @@ tab or newline or begins with a quote is enclosed with inner quotes doubled.  Fi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .schemas import SOURCE_FIELDS, SOURCE_FOLDERS
@@ -32,11 +32,12 @@ def header_line(source: str) -> str:
     return "\t".join(SOURCE_FIELDS[source])
 
 
-def write_landing(rows: DataFrame, root: str, source: str) -> str:
-    """rows: market, bucket, seq, line.  Returns the source folder written."""
+def write_landing(rows: DataFrame, root: str, source: str, header: Column | None = None) -> str:
+    """rows: market, bucket, seq, line.  ``header`` is each bucket's header line,
+    by default the layout's.  Returns the source folder written."""
     header = (rows.select("market", "bucket").distinct()
               .select("market", "bucket", F.lit(-1).cast("long").alias("seq"),
-                      F.lit(header_line(source)).alias("line")))
+                      (F.lit(header_line(source)) if header is None else header).alias("line")))
     out = f"{root.rstrip('/')}/{SOURCE_FOLDERS[source]}"
     (rows.select("market", "bucket", F.col("seq").cast("long"), "line").unionByName(header)
      .repartition("market", "bucket")

@@ -70,3 +70,23 @@ def test_allowlist_and_warn_severity(spark):
                   fromlist=["col"]).col("created_at").isNull(), severity="warn")]
     valid2, flagged2 = quality.split_with_exceptions(df, warn_rules)
     assert valid2.count() == 3 and [r.severity for r in flagged2.collect()] == ["warn"]
+
+
+def test_settled_split_equals_the_join_and_moves_no_rows(spark, tmp_dir):
+    df = _outlets(spark, [
+        ("USA", "f", 1, TS, "restaurant", "a", TS), ("USA", "f", 1, None, "restaurant", "b", TS),  # one key, good and bad
+        (None, "f", 2, None, "restaurant", "c", TS), ("USA", None, 3, TS, "restaurant", "d", TS),
+        ("USA", "f", 4, TS, "restaurant", "e", TS), ("USA", "f", 4, TS, "restaurant", "e", TS),
+        ("USA", "f", 5, None, "restaurant", "g", TS), ("USA", "f", 5, None, "restaurant", "g", TS), ("USA", "f", 6, TS, None, "h", TS)])
+    df.write.parquet(f"{tmp_dir}/t")
+    staged = spark.read.parquet(f"{tmp_dir}/t")
+    for rows in (staged, staged.filter("file_row_number <> 1"), staged.limit(0)):
+        want = sorted(map(str, quality.split(rows, quality.OUTLET_RULES)[0].collect()))
+        assert sorted(map(str, quality.settled(rows, quality.OUTLET_RULES).collect())) == want
+    earlier = spark.createDataFrame([("USA", "f", 4), (None, "f", 6)], "market string, source_file string, file_row_number long")
+    bad = quality.rejected(staged, quality.OUTLET_RULES).select(*quality.KEYS).unionByName(earlier)
+    assert sorted(map(str, quality.settled(staged, quality.OUTLET_RULES, earlier=earlier).collect())) == sorted(map(str, quality.valid(staged, bad).collect()))
+    plan = quality.settled(staged.filter("file_row_number <> 1"), quality.OUTLET_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    plan = quality.settled(staged, quality.OUTLET_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -87,8 +87,8 @@ def to_score(scoped: DataFrame, predictions: DataFrame, budget: int | None = Non
     order, so nothing is ever dropped.
     """
     keys = ["market", "source_file", "file_row_number"]
-    seen = predictions.select(*keys, text_hash().alias("_h"))
-    todo = (scoped.withColumn("_h", text_hash())
+    seen = predictions.select(*keys, F.unhex(text_hash()).alias("_h"))  # half the bytes of its digits
+    todo = (scoped.withColumn("_h", F.unhex(text_hash()))
             .join(seen, keys + ["_h"], "left_anti").drop("_h"))
     if budget is None:
         return todo

@@ -52,6 +52,15 @@ def join_spread(listings: DataFrame, outlets: DataFrame, parts: int) -> DataFram
     return dealt.drop("_pieces").join(copied.drop("_pieces"), [*link, "_piece"]).drop("_piece")
 
 
+#: What the fact reads of an outlet.
+OUTLET_COLUMNS = ["market", "id_ext_link", "platform_key", "outlet_key", "serves_red_bull", "serves_drinks", "is_chain",
+                  "average_rating", "num_ratings", "delivery_fee", "min_order_amount"]
+
+
+def outlet_columns(dim_outlet: DataFrame, *more: str) -> DataFrame:
+    return dim_outlet.select(*OUTLET_COLUMNS, *more)
+
+
 def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None,
                 weights: tuple[str, str] | None = None, spread: int = 0) -> DataFrame:
     """One row per valid listing (a portfolio file row) that maps to an outlet.

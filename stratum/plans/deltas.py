@@ -13,7 +13,8 @@ Every table is a log of signed rows, one folder per load: a row with
 
 ``current`` adds the signs up.  A load's cost follows its own rows and the
 rows that share their keys: logs are read with a semi join on the changed
-keys, which are broadcast where they are few, so logs aren't shuffled.
+keys, whose hashes are broadcast where they are few, and signs are added up
+only for rows that also went out, so logs aren't shuffled.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from ..sources import layers
 from . import run
 
 CHANGE = "_change"
-#: Bytes of changed keys that may be broadcast; more are joined by shuffle.
+#: Bytes of hashes of changed keys that may be broadcast; more are joined by
+#: shuffle.  A hash takes about HASH_BYTES in a broadcast table.
 BROADCAST_BYTES = 64 << 20
+HASH_BYTES = 32
 
 
 def signed(df: DataFrame, sign: int) -> DataFrame:
@@ -46,10 +49,25 @@ def net(log: DataFrame) -> DataFrame:
     return log.groupBy(*_rows(log)).agg(F.sum(CHANGE).cast("int").alias(CHANGE)).filter(F.col(CHANGE) != 0)
 
 
-def current(log: DataFrame) -> DataFrame:
-    """The table that a log stands for, repeated rows kept."""
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Rows with a positive sign, each as often as it says."""
     times = F.explode(F.sequence(F.lit(1), F.col(CHANGE)))
-    return net(log).filter(F.col(CHANGE) > 0).withColumn("_time", times).drop(CHANGE, "_time")
+    return rows.filter(F.col(CHANGE) > 0).withColumn("_time", times).drop(CHANGE, "_time")
+
+
+def current(log: DataFrame) -> DataFrame:
+    """The table that a log stands for, repeated rows kept.  Only rows that
+    also went out are added up: they are found by the hashes of the signs
+    below 0, so a log that only grew isn't moved at all."""
+    row = F.xxhash64(*_rows(log))
+    out, small = _kept_hashes(log.filter(F.col(CHANGE) < 0).select(row.alias("_h")), "rows-out")
+    if small and out.isEmpty():
+        return _repeated(log)
+    if not small:
+        return _repeated(net(log))
+    hashed = log.withColumn("_h", row)
+    doubted = hashed.join(F.broadcast(out), "_h", "left_semi").drop("_h")
+    return _repeated(hashed.join(F.broadcast(out), "_h", "left_anti").drop("_h")).unionByName(_repeated(net(doubted)))
 
 
 def difference(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -59,14 +77,25 @@ def difference(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 
+def near_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose keys have the hash of one of the (few) ``keys``:
+    all rows of these keys, and rows of others whose hash is the same."""
+    names = keys.columns
+    hashes = keys.select(F.xxhash64(*names).alias("_h"))
+    return df.withColumn("_h", F.xxhash64(*names)).join(F.broadcast(hashes), "_h", "left_semi").drop("_h")
+
+
 def of_keys(df: DataFrame, keys: DataFrame, small: bool) -> DataFrame:
-    """Rows of ``df`` with one of the keys (distinct; NULL equals NULL)."""
+    """Rows of ``df`` with one of the keys (distinct; NULL equals NULL).  Few
+    keys are broadcast as hashes; only rows that these find are compared."""
+    if small:
+        df = near_keys(df, keys)
     keys = keys.select(*[F.col(c).alias(f"_k_{c}") for c in keys.columns])
     on = None
     for c in keys.columns:
         same = df[c[3:]].eqNullSafe(keys[c])
         on = same if on is None else on & same
-    return df.join(F.broadcast(keys) if small else keys, on, "left_semi")
+    return df.join(keys, on, "left_semi")
 
 
 class Log:
@@ -81,7 +110,7 @@ class Log:
 
     def add(self, changes: DataFrame, load: int) -> DataFrame:
         """Write one load's changes; a replay writes the same folder again."""
-        changes.write.mode("overwrite").parquet(f"{self.path}/load={load}")
+        layers.write_table(changes, f"{self.path}/load={load}")
         self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in changes.schema])
         if load not in self.loads:
             self.loads.append(load)
@@ -92,10 +121,13 @@ class Log:
 
 
 def _kept_keys(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, bool]:
-    """The distinct keys, written once, and whether they are few."""
-    size = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + F.lit(16) for k in keys)
+    """The distinct keys, written once, and whether their hashes are few."""
     kept = layers.materialize(df.select(*keys).distinct(), name)
-    return kept, (kept.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+    return kept, kept.count() * HASH_BYTES <= BROADCAST_BYTES
+
+
+def _kept_hashes(hashes: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    return _kept_keys(hashes, ["_h"], name)
 
 
 class Incremental:
@@ -111,12 +143,11 @@ class Incremental:
 
     def _valid(self, source: str, bronze: DataFrame) -> DataFrame:
         """The load's signed valid rows."""
-        staged = layers.materialize(conform.STAGERS[source](bronze), f"staged-{source}")
+        staged = conform.STAGERS[source](bronze)  # one projection of the load's table
         rejected, valid = self.logs[f"rejected_{source}"], self.logs[f"valid_{source}"]
         bad_before, valid_before = rejected.before(), valid.before()
         bad_now = rejected.add(quality.rejected(staged, quality.RULES[source]).select(*quality.KEYS), self.load)
-        bad = bad_now if bad_before is None else bad_now.unionByName(bad_before)
-        changes = signed(quality.valid(staged, bad), 1)
+        changes = signed(quality.settled(staged, quality.RULES[source], source, bad_before), 1)
         if valid_before is not None:
             # a key with a NULL part matches nothing, so it takes nothing out
             whole = bad_now.filter(" and ".join(f"{k} is not null" for k in quality.KEYS))
@@ -127,14 +158,16 @@ class Incremental:
 
     def _derive(self, name: str, keys: list[str], touched: DataFrame, derive) -> DataFrame:
         """Derive the rows of the touched keys again; the signed difference to
-        the table.  ``derive`` gets a function that restricts a log."""
+        the table.  ``derive`` gets a function that restricts a log.  Rows of
+        other keys may be derived too, they come out as they were: so few keys
+        are found by their hashes, and for many the whole log is taken."""
         log = self.logs[name]
         before = log.before()
-        found, small = _kept_keys(touched, keys, f"touched-{name}")
-        new = derive(lambda table: current(of_keys(table.before(), found, small)))
         if before is None:
-            return log.add(signed(new, 1), self.load)
-        return log.add(difference(current(of_keys(before, found, small)), new), self.load)
+            return log.add(signed(derive(lambda table: current(table.before())), 1), self.load)
+        found, small = _kept_keys(touched, keys, f"touched-{name}")
+        near = lambda rows: near_keys(rows, found) if small else rows
+        return log.add(difference(current(near(before)), derive(lambda table: current(near(table.before())))), self.load)
 
     def apply(self, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Take in one load; the signed changes of every table."""
@@ -164,11 +197,14 @@ class Incremental:
     def _fact(self, out: dict[str, DataFrame], listings_before: DataFrame | None) -> DataFrame:
         log, link = self.logs["fct_outlet_product_listing"], ["market", "id_ext_link"]
         links, small = _kept_keys(out["valid_portfolio"].filter("id_ext_link is not null"), link, "touched-links")
-        parts = [(out["valid_portfolio"], signed(current(of_keys(self.logs["dim_outlet"].before(), links, small)), 1))]
+        outlets = self.logs["dim_outlet"].before()
+        parts = [(out["valid_portfolio"], signed(current(near_keys(outlets, links) if small else outlets), 1))]
         if listings_before is not None:
-            parts.append((listings_before, out["dim_outlet"]))
+            # most changes of an outlet are of columns that the fact doesn't have
+            moved = net(facts.outlet_columns(out["dim_outlet"], CHANGE))
+            parts.append((listings_before, layers.materialize(moved, "moved-outlets")))
         changes = None
         for listings, outlets in parts:
             rows = facts.fct_listing(listings, outlets, weights=(CHANGE, CHANGE))
             changes = rows if changes is None else changes.unionByName(rows)
-        return log.add(net(changes), self.load)
+        return log.add(changes, self.load)  # ``current`` adds the signs up

@@ -82,3 +82,17 @@ def test_rows_of_keys_match_nulls(spark, small):
     df = spark.createDataFrame([("a", None, 1), (None, None, 2), ("a", "b", 3)], "m string, n string, v int")
     keys = spark.createDataFrame([("a", None), (None, None)], "m string, n string")
     assert sorted(r.v for r in deltas.of_keys(df, keys, small).collect()) == [1, 2]
+
+
+def test_a_log_that_only_grew_is_not_moved(spark, tmp_dir):
+    log = spark.createDataFrame([("a", 1, 1), ("a", 1, 1), ("b", None, 2), (None, 3, 1)], "m string, v int, _change int")
+    assert rows(deltas.current(log)) == rows(spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None), (None, 3)], "m string, v int"))
+    assert "Exchange" not in deltas.current(log)._jdf.queryExecution().executedPlan().toString()
+    out = log.unionByName(spark.createDataFrame([("a", 1, -1), ("b", None, -2)], log.schema))
+    assert rows(deltas.current(out)) == rows(spark.createDataFrame([("a", 1), (None, 3)], "m string, v int"))
+
+
+def test_near_keys_hold_all_rows_of_the_keys(spark):
+    df = spark.createDataFrame([("a", None, 1), (None, None, 2), ("a", "b", 3)], "m string, n string, v int")
+    keys = spark.createDataFrame([("a", None), (None, None)], "m string, n string")
+    assert {1, 2} <= {r.v for r in deltas.near_keys(df, keys).collect()}

@@ -47,6 +47,10 @@ _SIGNAL_FLAGS = ["serves_drinks", "serves_red_bull", "sugar_free_available",
                  "organics_available", "editions_available", "is_chain"]
 
 
+#: What ``matching_signals`` reads.
+SIGNAL_COLUMNS = ["market", "id_outlet", *_SIGNAL_FLAGS, "num_restaurants", "similarity_score_name", "similarity_score_address"]
+
+
 def matching_signals(valid_matching: DataFrame) -> DataFrame:
     """Per (market, id_outlet): OR of flags, max restaurants, mean scores.
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 
-_LISTING_COLS = ["market", "source_file", "file_row_number", "id_outlet", "id_beverage",
-                 "id_ext_link", "item_name", "item_price", "item_volume_ml", "item_position_code",
-                 "menu_category", "is_banner_available", "has_addon_prompt", "created_at",
-                 "load_timestamp"]
+LISTING_COLUMNS = ["market", "source_file", "file_row_number", "id_outlet", "id_beverage",
+                   "id_ext_link", "item_name", "item_price", "item_volume_ml", "item_position_code",
+                   "menu_category", "is_banner_available", "has_addon_prompt", "created_at",
+                   "load_timestamp"]
 
 FACT_COLUMNS = ["listing_key", "market_key", "platform_key", "outlet_key", "product_key",
                 "market", "source_file", "file_row_number", "id_outlet", "id_beverage",
@@ -61,6 +61,12 @@ def outlet_columns(dim_outlet: DataFrame, *more: str) -> DataFrame:
     return dim_outlet.select(*OUTLET_COLUMNS, *more)
 
 
+def linked_listings(valid_portfolio: DataFrame) -> DataFrame:
+    """What the fact reads of the valid listings, for a table that is dealt
+    for the join: rows that can't meet an outlet are left out."""
+    return valid_portfolio.select(*LISTING_COLUMNS).dropna(subset=["id_outlet", "id_beverage", "market", "id_ext_link"])
+
+
 def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product: DataFrame | None = None,
                 weights: tuple[str, str] | None = None, spread: int = 0) -> DataFrame:
     """One row per valid listing (a portfolio file row) that maps to an outlet.
@@ -87,7 +93,7 @@ def fct_listing(valid_portfolio: DataFrame, dim_outlet: DataFrame, dim_product:
     left, right = ([w] for w in weights) if weights else ([], [])
     listings = (valid_portfolio
                 .filter(F.col("id_outlet").isNotNull() & F.col("id_beverage").isNotNull())
-                .select(*_LISTING_COLS, *left))
+                .select(*LISTING_COLUMNS, *left))
     outlets = dim_outlet.select(
         "market", "id_ext_link", "platform_key", "outlet_key", "serves_red_bull", "serves_drinks",
         "is_chain", F.col("average_rating").alias("outlet_average_rating"),

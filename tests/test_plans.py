@@ -127,3 +127,31 @@ def test_joins_of_bucketed_tables_exchange_nothing(spark):
         assert fact.count() == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_buckets_grow_with_the_table():
+    from stratum.sources import layers
+    assert [layers.buckets(n, 16) for n in (0, 600_000, 8_000_001, 216_000_000)] == [16, 16, 17, 432]
+
+
+def test_listings_dealt_for_the_fact_are_what_it_reads(spark):
+    from stratum.operators import dims, facts
+    ok = {"item_price": "1", "id_outlet": "o", "id_beverage": "b", "id_ext_link": "a", "created_at": "2024-01-01", "item_desc": "long text"}
+    staged = conform.stg_portfolio(bronze(spark, "portfolio", [ok, ok | {"id_ext_link": None}, ok | {"id_outlet": None}, ok | {"id_beverage": None}, ok | {"market": None}, ok]))
+    outlets = conform.stg_outlets(bronze(spark, "outlet", [{"id_outlet": "o", "id_ext_link": "a", "segment_type": "restaurant", "created_at": "2024-01-01"}]))
+    dim = dims.dim_outlet(outlets, conform.stg_matching(bronze(spark, "matching", [{"id_outlet": "o"}])))
+    dealt = facts.linked_listings(staged)
+    assert dealt.columns == facts.LISTING_COLUMNS and dealt.count() == 2
+    assert sorted(facts.fct_listing(dealt, dim).collect()) == sorted(facts.fct_listing(staged, dim).collect())
+
+
+def test_fact_bucketed_writes_narrow_tables(spark, monkeypatch):
+    from helpers import SF_SMOKE
+    from stratum.operators import dims, facts
+    from stratum.plans import queries
+    from stratum.sources import layers
+    wrote, write = {}, layers.write_bucketed
+    monkeypatch.setattr(layers, "write_bucketed", lambda df, name, keys, n: wrote.update({name: set(df.columns)}) or write(df, name, keys, n))
+    queries.QUERIES["fact_bucketed"](spark, SF_SMOKE)
+    assert wrote["stg_portfolio"] == {*facts.LISTING_COLUMNS, "raw_record"} and wrote["linked_listings"] == set(facts.LISTING_COLUMNS)
+    assert wrote["stg_matching"] == {*quality.KEYS, *dims.SIGNAL_COLUMNS, "created_at", "load_timestamp", "raw_record"}

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from stratum.operators import labels, learned
 
 SCHEMA = ("market string, source_file string, file_row_number long, classification_text string, predicted_label string, rule_id string, "
@@ -35,3 +37,32 @@ def test_without_two_labels_nothing_is_learned(spark):
     df = spark.createDataFrame([r[:6] + (labels.MEAL,) for r in rows(20)], SCHEMA)
     assert learned.fit(df) is None
     assert learned.label(df, None).collect() == df.collect()
+
+
+def test_texts_are_taken_apart_once_and_decided_ones_not_at_all(spark, monkeypatch):
+    kept = []
+    write = learned.layers.materialize
+    monkeypatch.setattr(learned.layers, "materialize", lambda df, name: kept.append((name, df.columns)) or write(df, name))
+    df = spark.createDataFrame(rows(), SCHEMA)
+    model = learned.fit(df)
+    assert kept == [("learned-features", ["target", "_features"])]
+    read = []
+
+    class Spy:
+        def transform(self, df):
+            read.extend(df.select("rule_id", "classification_text").collect())
+            return model.transform(df)
+
+    out = learned.label(df, Spy())
+    assert {bool(r.classification_text) for r in read if r.rule_id != labels.NO_RULE} == {False}
+    assert {(r.file_row_number, r.classification_text) for r in out.collect()} == {(r[2], r[3] or "") for r in rows()}
+
+
+def test_metrics_score_only_held_out_reviews(spark, monkeypatch):
+    from helpers import SF_SMOKE
+    from stratum.plans import queries
+    scored = []
+    label = learned.label
+    monkeypatch.setattr(learned, "label", lambda df, model: scored.append(df) or label(df, model))
+    queries.QUERIES["label_learned_metrics"](spark, SF_SMOKE)
+    assert scored[0].filter(~learned.is_held_out() | F.col("manual_review_label").isNull()).isEmpty() and not scored[0].isEmpty()

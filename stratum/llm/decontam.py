@@ -49,17 +49,29 @@ def grams(h: np.ndarray, width: int) -> np.ndarray:
     return acc
 
 
+#: Cells of the alignment that are held at once, about.
+ALIGN_CELLS = 1 << 16
+
+
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     """Best local alignment score and the place after its last word."""
-    at = np.arange(len(window))
-    h, best, end = np.zeros(len(window), np.int64), 0, 0
-    for w in item:
-        step = np.where(window == w, MATCH, -DIFFER)
-        step[1:] += h[:-1]
-        h = np.maximum(np.maximum(step, h - GAP), 0)
-        h = np.maximum.accumulate(h + GAP * at) - GAP * at  # gaps along the window
-        if (top := int(h.max())) > best:
-            best, end = top, int(h.argmax()) + 1
+    # scores are kept plus the gaps to their place, so that a gap along the window
+    # is a running maximum; in front is a place of score 0
+    at = GAP * np.arange(-1, len(window))
+    h, best, end = at.copy(), 0, 0
+    rows = max(1, ALIGN_CELLS // max(1, len(window)))
+    for lo in range(0, len(item) if len(window) else 0, rows):
+        steps = np.where(item[lo: lo + rows, None] == window, MATCH + GAP, GAP - DIFFER)
+        for step in steps:
+            step += h[:-1]
+            h[1:] -= GAP
+            np.maximum(step, h[1:], out=step)
+            np.maximum(step, at[1:], out=step)
+            np.maximum.accumulate(step, out=h[1:])
+            step[:] = h[1:]
+        steps -= at[1:]
+        if (top := int(steps.max())) > best:
+            best, end = top, int(steps.argmax()) % len(window) + 1
     return best, end
 
 
@@ -89,6 +101,20 @@ class Seeds:
         self.width, self.gram, self.item, self.place = width[order], gram[order], item[order], place[order]
         self.key = {int(w): np.unique(self.gram[self.width == w]) for w in np.unique(self.width)}
 
+    def words(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The different words of an item and how often it has each."""
+        known = self.__dict__.setdefault("counts", {})
+        if i not in known:
+            known[i] = np.unique(self.items[i], return_counts=True)
+        return known[i]
+
+    def shared(self, i: int, window: np.ndarray) -> int:
+        """Words that an item and a window have in common, repeats counted: no
+        alignment matches more."""
+        word, times = self.words(i)
+        at = np.minimum(np.searchsorted(word, window), len(word) - 1)
+        return int(np.minimum(np.bincount(at[word[at] == window], minlength=len(word)), times).sum())
+
     @staticmethod
     def of(state: dict) -> Seeds:
         """From the attributes of another, which is what is broadcast."""
@@ -118,9 +144,8 @@ class Seeds:
         """(item, score, seeds, start, end) of the items that a document copies."""
         starts: dict[int, list[int]] = {}
         for w, at, g in self.found(h):
-            mine = np.flatnonzero(self.width == w)
-            low = mine[0] + np.searchsorted(self.gram[mine], g, "left")
-            high = mine[0] + np.searchsorted(self.gram[mine], g, "right")
+            first, last = np.searchsorted(self.width, (w, w + 1))  # sorted by width, then gram
+            low, high = (first + np.searchsorted(self.gram[first:last], g, side) for side in ("left", "right"))
             for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
                 for s in range(a, b):
                     starts.setdefault(int(self.item[s]), []).append(p - int(self.place[s]))
@@ -138,8 +163,8 @@ class Seeds:
                 if k == len(begin) or begin[k] - begin[k - 1] > slack:
                     left = max(0, begin[lo] - slack)
                     window = h[left: begin[k - 1] + len(item) + slack]
-                    # more words than are the item's can't match
-                    if MATCH * np.count_nonzero(np.isin(window, item)) >= least_score:
+                    # more words than both have can't match
+                    if MATCH * self.shared(i, window) >= least_score:
                         score, end = align(item, window)
                         if score > best[0]:
                             best = (score, k - lo, left, end)

@@ -43,6 +43,29 @@ def test_alignment_is_smith_waterman():
         assert decontam.align(a, b)[0] == smith_waterman(a, b)
 
 
+def test_alignment_in_blocks_of_rows(monkeypatch):
+    r = np.random.default_rng(3)
+    for cells in (1, 40, 1 << 16):
+        monkeypatch.setattr(decontam, "ALIGN_CELLS", cells)
+        for _ in range(30):
+            a, b = r.integers(0, 4, r.integers(1, 15)).astype(np.uint64), r.integers(0, 4, r.integers(1, 30)).astype(np.uint64)
+            score, end = decontam.align(a, b)
+            assert score == smith_waterman(a, b) == smith_waterman(a, b[:end])
+
+
+def test_words_in_common_bound_the_alignments(monkeypatch):
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        a, b = r.integers(0, 6, r.integers(1, 15)).astype(np.uint64), r.integers(0, 6, r.integers(1, 30)).astype(np.uint64)
+        both = decontam.Seeds([1], [a], 3).shared(0, b)
+        assert both == sum(min(list(a).count(w), list(b).count(w)) for w in set(a))
+        assert smith_waterman(a, b) <= decontam.MATCH * both
+    # a window full of one word of the item isn't aligned
+    monkeypatch.setattr(decontam, "align", lambda *_: 1 / 0)
+    item = decontam.tokens("one two three four five six seven eight nine ten")
+    assert decontam.Seeds([1], [item], 3).copies(decontam.tokens("one two three " + "four x " * 20), 0.9) == []
+
+
 def test_copies_are_found_and_match_brute_force(spark):
     items, docs, planted = data()
     bench = spark.createDataFrame([(i, t, 0, 0) for i, t in items + items[:1]], ITEM)

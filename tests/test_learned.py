@@ -59,10 +59,10 @@ def test_texts_are_taken_apart_once_and_decided_ones_not_at_all(spark, monkeypat
 
 
 def test_metrics_score_only_held_out_reviews(spark, monkeypatch):
-    from helpers import SF_SMOKE
     from stratum.plans import queries
-    scored = []
-    label = learned.label
+    scored, label = [], learned.label
     monkeypatch.setattr(learned, "label", lambda df, model: scored.append(df) or label(df, model))
-    queries.QUERIES["label_learned_metrics"](spark, SF_SMOKE)
+    review = spark.createDataFrame(rows(), SCHEMA).withColumns({"item_name": F.col("classification_text"), "item_brand": F.lit("b1")})
+    monkeypatch.setattr(queries, "_review", lambda *_: review)
+    assert queries.QUERIES["label_learned_metrics"](spark, "unused").count() == 3
     assert scored[0].filter(~learned.is_held_out() | F.col("manual_review_label").isNull()).isEmpty() and not scored[0].isEmpty()

@@ -146,12 +146,16 @@ def test_listings_dealt_for_the_fact_are_what_it_reads(spark):
 
 
 def test_fact_bucketed_writes_narrow_tables(spark, monkeypatch):
-    from helpers import SF_SMOKE
     from stratum.operators import dims, facts
     from stratum.plans import queries
-    from stratum.sources import layers
+    from stratum.sources import layers, standins
+    one = {"outlet": {"segment_type": "restaurant"}, "portfolio": {"item_price": "1", "id_beverage": "b"}, "matching": {}}
+    rows = {s: bronze(spark, s, [r | {"id_outlet": "o", "id_ext_link": "a", "created_at": "2024-01-01"}]) for s, r in one.items()}
+    monkeypatch.setattr(queries, "_bronze", lambda *_, **__: rows)
+    monkeypatch.setattr(standins, "read_table", lambda *_: spark.range(3))
     wrote, write = {}, layers.write_bucketed
-    monkeypatch.setattr(layers, "write_bucketed", lambda df, name, keys, n: wrote.update({name: set(df.columns)}) or write(df, name, keys, n))
-    queries.QUERIES["fact_bucketed"](spark, SF_SMOKE)
-    assert wrote["stg_portfolio"] == {*facts.LISTING_COLUMNS, "raw_record"} and wrote["linked_listings"] == set(facts.LISTING_COLUMNS)
-    assert wrote["stg_matching"] == {*quality.KEYS, *dims.SIGNAL_COLUMNS, "created_at", "load_timestamp", "raw_record"}
+    monkeypatch.setattr(layers, "write_bucketed", lambda df, name, keys, n: wrote.update({name: (set(df.columns), n)}) or write(df, name, keys, n))
+    assert queries.QUERIES["fact_bucketed"](spark, "unused").count() == 1
+    listing = set(facts.LISTING_COLUMNS)
+    assert wrote["stg_portfolio"] == (listing | {"raw_record"}, queries.BUCKETS) and wrote["linked_listings"] == (listing, queries.BUCKETS)
+    assert wrote["stg_matching"][0] == {*quality.KEYS, *dims.SIGNAL_COLUMNS, "created_at", "load_timestamp", "raw_record"}

@@ -138,3 +138,24 @@ def test_files_that_agree_are_not_aligned(spark):
     raw = raw_rows(spark, [("usa", "MATCHING/USA/a.tsv", r["file_row_number"], {"id_outlet": r["id_outlet"]}) for r in rows])
     out = alignment.attach_aligned(bronze(spark, "matching", rows), raw, "matching").collect()
     assert {(r.file_row_number, r.raw_row_number, r.match_kind) for r in out} == {(i, i, "same") for i in range(1, 9)}
+
+
+def test_inputs_are_read_once(spark):
+    """Both sides feed several steps, and neither may be made for each of them."""
+    rows = [{"file_row_number": i, "id_outlet": str(i % 5)} for i in range(1, 21)]
+    made = {side: spark.sparkContext.accumulator(0) for side in ("parsed", "raw")}
+
+    def counted(side, column):
+        seen = made[side]
+
+        def count(text):
+            seen.add(1)
+            return text
+        return F.udf(count, "string").asNondeterministic()(column)
+
+    parsed = bronze(spark, "matching", rows).withColumn("id_outlet", counted("parsed", "id_outlet"))
+    raw = raw_rows(spark, [("usa", "MATCHING/USA/a.tsv", r["file_row_number"] + 1, {"id_outlet": r["id_outlet"]}) for r in rows])
+    raw = raw.withColumn("raw_data", counted("raw", "raw_data"))
+    out = alignment.attach_aligned(parsed, raw, "matching").collect()
+    assert {(r.file_row_number, r.raw_row_number, r.id_outlet) for r in out} == {(i, i + 1, str(i % 5)) for i in range(1, 21)}
+    assert {side: seen.value for side, seen in made.items()} == {"parsed": 20, "raw": 20}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
+from ..sources import layers
 
 LISTING_COLUMNS = ["market", "source_file", "file_row_number", "id_outlet", "id_beverage",
                    "id_ext_link", "item_name", "item_price", "item_volume_ml", "item_position_code",
@@ -43,10 +44,15 @@ def join_spread(listings: DataFrame, outlets: DataFrame, parts: int) -> DataFram
     """The inner join on (market, id_ext_link) with hot links dealt in pieces:
     a listing goes to the piece its content hashes to (the same after a
     retry), the link's outlets to all of them.  Needed where a hot link's
-    listings each meet many outlets: AQE splits by bytes read, not by rows made."""
-    link, hot = ["market", "id_ext_link"], hot_links(listings, parts)
-    dealt = listings.join(F.broadcast(hot), link, "left").withColumn(
-        "_piece", F.coalesce(F.pmod(F.xxhash64(*listings.columns), F.col("_pieces")), F.lit(0)).cast("int"))
+    listings each meet many outlets: AQE splits by bytes read, not by rows made.
+    The hot links are counted when the join is built and written, so that both
+    sides are dealt by the same numbers; without any it is the plain join."""
+    link, hot = ["market", "id_ext_link"], layers.materialize(hot_links(listings, parts), "hot-links")
+    if hot.isEmpty():
+        return listings.join(outlets, link)
+    # only a hot link's listings are hashed
+    piece = F.when(F.col("_pieces").isNotNull(), F.pmod(F.xxhash64(*listings.columns), F.col("_pieces"))).otherwise(F.lit(0))
+    dealt = listings.join(F.broadcast(hot), link, "left").withColumn("_piece", piece.cast("int"))
     copied = outlets.join(F.broadcast(hot), link, "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
     return dealt.drop("_pieces").join(copied.drop("_pieces"), [*link, "_piece"]).drop("_piece")

@@ -65,3 +65,12 @@ def test_links_of_any_text(spark):
     odd = spark.range(60).select(F.lit('a"\\\t').alias("market"), F.lit("l {}").alias("id_ext_link"), "id")
     assert facts.join_spread(odd, odd.select("market", "id_ext_link", F.col("id").alias("o")).limit(2), PARTS).count() == 120
     assert facts.hot_links(odd, PARTS).count() == 1
+
+
+def test_links_are_counted_once(spark):
+    """Both sides are dealt by one written count: sketches of two passes may
+    differ, and each pass reads all listings."""
+    plan = facts.join_spread(listings(spark), outlets(spark), PARTS)._jdf.queryExecution().toString()
+    assert "_pieces" in plan and "approx_top_k" not in plan
+    even = listings(spark).filter("id_ext_link <> 'hot'")
+    assert "_piece" not in facts.join_spread(even, outlets(spark), PARTS)._jdf.queryExecution().toString()

@@ -26,6 +26,10 @@ def dim_market(scope: DataFrame) -> DataFrame:
     return scope.select(surrogate_key("market").alias("market_key"), "market", "market_name")
 
 
+#: What ``dim_platform`` reads.
+PLATFORM_COLUMNS = ["market", "id_platform", "platform_name", "load_timestamp", "source_file", "file_row_number"]
+
+
 def dim_platform(valid_outlets: DataFrame) -> DataFrame:
     """Latest platform name per (market, id_platform) among valid outlets.
 
@@ -33,8 +37,7 @@ def dim_platform(valid_outlets: DataFrame) -> DataFrame:
     row key so that every tie is decided.
     """
     src = (valid_outlets.filter(F.col("id_platform").isNotNull())
-           .select("market", "id_platform", "platform_name", "load_timestamp",
-                   "source_file", "file_row_number"))
+           .select(*PLATFORM_COLUMNS))
     latest = latest_per_key(src, ["market", "id_platform"], [
         F.col("load_timestamp").desc_nulls_first(), F.col("platform_name").asc_nulls_last(),
         F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last()])
@@ -65,7 +68,7 @@ def matching_signals(valid_matching: DataFrame) -> DataFrame:
                  F.avg("similarity_score_address").alias("avg_similarity_score_address")))
 
 
-_OUTLET_COLS = ["market", "id_outlet", "id_ext_link", "id_platform", "platform_name",
+OUTLET_COLUMNS = ["market", "id_outlet", "id_ext_link", "id_platform", "platform_name",
                 "name", "business_name", "primary_category", "segment_type", "latitude",
                 "longitude", "city", "street_address", "postal_code", "address_state_locality",
                 "address_country", "num_ratings", "average_rating", "delivery_fee",
@@ -76,10 +79,10 @@ _OUTLET_COLS = ["market", "id_outlet", "id_ext_link", "id_platform", "platform_n
 def dim_outlet(valid_outlets: DataFrame, valid_matching: DataFrame) -> DataFrame:
     """One row per valid outlet-platform row (not deduplicated, by intent),
     enriched with its outlet's matching signals (flags default FALSE)."""
-    outlets = valid_outlets.filter(F.col("id_outlet").isNotNull()).select(*_OUTLET_COLS)
+    outlets = valid_outlets.filter(F.col("id_outlet").isNotNull()).select(*OUTLET_COLUMNS)
     m = matching_signals(valid_matching)
     joined = outlets.join(m, ["market", "id_outlet"], "left")
-    body = [c if c != "name" else F.col("name").alias("outlet_name") for c in _OUTLET_COLS]
+    body = [c if c != "name" else F.col("name").alias("outlet_name") for c in OUTLET_COLUMNS]
     body += [F.coalesce(F.col(f), F.lit(False)).alias(f) for f in _SIGNAL_FLAGS]
     body += ["num_restaurants", "avg_similarity_score_name", "avg_similarity_score_address"]
     return joined.select(surrogate_key("market", "id_ext_link").alias("outlet_key"),
@@ -88,7 +91,7 @@ def dim_outlet(valid_outlets: DataFrame, valid_matching: DataFrame) -> DataFrame
                          *body)
 
 
-_PRODUCT_COLS = ["market", "id_beverage", "id_drink", "id_category", "item_name", "item_brand",
+PRODUCT_COLS = ["market", "id_beverage", "id_drink", "id_category", "item_name", "item_brand",
                  "item_subbrand", "item_manufacturer", "menu_category", "drink_category_primary",
                  "drink_category_secondary", "item_description", "item_volume_ml",
                  "packaging_size", "item_image_url", "has_addon_prompt", "addon_text",
@@ -100,7 +103,22 @@ def product_order() -> list[Column]:
     row content (a row key can repeat), so no tie is left open."""
     return [F.col("created_at").desc_nulls_last(), F.col("load_timestamp").desc_nulls_first(),
             F.col("source_file").asc_nulls_last(), F.col("file_row_number").asc_nulls_last(),
-            *[F.col(c).asc_nulls_last() for c in _PRODUCT_COLS[2:]]]
+            *[F.col(c).asc_nulls_last() for c in PRODUCT_COLS[2:]]]
+
+
+#: What orders the listings of a product and isn't in the dimension.
+PRODUCT_ORDER_COLS = ["load_timestamp", "source_file", "file_row_number"]
+
+
+def product_listings(valid_portfolio: DataFrame) -> DataFrame:
+    """Listings that may describe a product: its columns and their order's."""
+    return valid_portfolio.filter(F.col("id_beverage").isNotNull()).select(*PRODUCT_COLS, *PRODUCT_ORDER_COLS)
+
+
+def product_rows(listings: DataFrame, *more: str) -> DataFrame:
+    """dim_product's row of each of the (latest) listings."""
+    return listings.select(surrogate_key("market", "id_beverage").alias("product_key"),
+                           surrogate_key("market").alias("market_key"), *PRODUCT_COLS, *more)
 
 
 def dim_product(valid_portfolio: DataFrame) -> DataFrame:
@@ -109,11 +127,7 @@ def dim_product(valid_portfolio: DataFrame) -> DataFrame:
     Order: created_at DESC NULLS LAST, load_timestamp DESC, then the row
     key ascending (the reference leaves such ties undecided).
     """
-    src = (valid_portfolio.filter(F.col("id_beverage").isNotNull())
-           .select(*_PRODUCT_COLS, "load_timestamp", "source_file", "file_row_number"))
-    latest = latest_per_key(src, ["market", "id_beverage"], product_order())
-    return latest.select(surrogate_key("market", "id_beverage").alias("product_key"),
-                         surrogate_key("market").alias("market_key"), *_PRODUCT_COLS)
+    return product_rows(latest_per_key(product_listings(valid_portfolio), ["market", "id_beverage"], product_order()))
 
 
 _DRINK_COLS = ["market", "id_drink", "item_brand", "item_subbrand", "item_manufacturer",

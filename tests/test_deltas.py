@@ -1,12 +1,13 @@
 """Layers kept up to date by changes equal a full rebuild."""
 import datetime as dt
+import random
 
 import pytest
 from helpers import bronze
 from pyspark.sql import functions as F
 
 from stratum.operators import conform, dims, facts, quality
-from stratum.plans import deltas
+from stratum.plans import deltas, queries
 from stratum.sources import layers
 
 DAY = "2024-01-01 00:00:00"
@@ -96,3 +97,52 @@ def test_near_keys_hold_all_rows_of_the_keys(spark):
     df = spark.createDataFrame([("a", None, 1), (None, None, 2), ("a", "b", 3)], "m string, n string, v int")
     keys = spark.createDataFrame([("a", None), (None, None)], "m string, n string")
     assert {1, 2} <= {r.v for r in deltas.near_keys(df, keys).collect()}
+
+
+def rebuilt_portfolio(spark, loads):
+    staged = conform.STAGERS["portfolio"](frames(spark, {"portfolio": [r for load in loads for r in load]})["portfolio"])
+    valid, _ = quality.split(staged, quality.RULES["portfolio"])
+    return {"valid_portfolio": valid, "dim_product": dims.dim_product(valid)}
+
+
+@pytest.mark.parametrize("most", [deltas.BROADCAST_BYTES, 0])
+def test_products_follow_their_latest_listing(spark, tmp_dir, monkeypatch, most):
+    monkeypatch.setattr(deltas, "BROADCAST_BYTES", most)
+    r = random.Random(4)
+    days = [None, DAY, "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
+    some = lambda: item(r.randrange(60), "a", price=r.choice(["1", "1", "1", "x"]), bev=r.choice(["b1", "b2", "b3", "b4", None]), created_at=r.choice(days),
+                        market=r.choice(["USA", "USA", "FR", None]), source_file=r.choice(["f", "f", "g", None]), item_name=r.choice(["n", "m"]))
+    loads = [[some() for _ in range(n)] for n in (40, 15, 25)]
+    # every listing of a product goes out, and the product comes back
+    loads[0].append(item(90, "a", bev="b9"))
+    loads[1].append(item(90, "a", bev="b9", price="x"))
+    loads[2] += [item(91, "a", bev="b9"), item(91, "a", bev="b9")]
+    state = deltas.Incremental(spark, tmp_dir, ("portfolio",))
+    for n, load in enumerate(loads):
+        state.apply(frames(spark, {"portfolio": load}))
+        for name, full in rebuilt_portfolio(spark, loads[: n + 1]).items():
+            assert rows(state.logs[name].current()) == rows(full), (n, name)
+
+
+def test_new_listings_are_not_compared_with_all_earlier_ones(spark, tmp_dir):
+    loads = [[item(1, "a"), item(2, "a", bev="b2")], [item(3, "a", created_at="2024-02-01 00:00:00"), item(4, "a", bev="b2", created_at=None)]]
+    state = deltas.Incremental(spark, tmp_dir, ("portfolio",))
+    state.apply(frames(spark, {"portfolio": loads[0]}))
+    log = state.logs["valid_portfolio"]
+    keys = log.before().select(*quality.KEYS, deltas.CHANGE)
+    log.before = lambda: keys  # nothing else of the earlier listings is there
+    changes = state.apply(frames(spark, {"portfolio": loads[1]}))["dim_product"]
+    assert sorted((c.id_beverage, c.item_name, c[deltas.CHANGE]) for c in changes.collect()) == [("b1", "n1", -1), ("b1", "n3", 1)]
+    assert rows(state.logs["dim_product"].current()) == rows(rebuilt_portfolio(spark, loads)["dim_product"])
+
+
+def test_a_load_reads_the_files_of_its_own_rows(spark, tmp_dir):
+    spark.createDataFrame([(i, i % 5, f"R{i}") for i in range(5)], "r_regionkey long, n long, r_name string").write.parquet(f"{tmp_dir}/region.parquet")
+    events = [(i, dt.datetime(2024, 1, 1), i, "click", 1.0) for i in [*range(20), 71, 71, 142, None]]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_dir}/events.parquet")
+    loads = [load["matching"] for load in queries._three_loads(spark, tmp_dir, ("matching",))]
+    numbers = [sorted((r.file_row_number, r.created_at != "") for r in load.collect()) for load in loads]
+    whole = lambda *parts: [(i, True) for i in [*range(20), 71, 71, 142] if i % 5 in parts]
+    assert numbers == [whole(0, 1, 2), whole(3), sorted(whole(4) + [(0, False), (71, False), (71, False), (142, False)])]
+    files = [{r[0] for r in load.select(F.input_file_name()).collect()} for load in loads]
+    assert not files[0] & files[1] and not files[0] & files[2] and not files[1] & files[2]

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from stratum.operators import quality
 
 TS = dt.datetime(2024, 1, 1)
@@ -90,3 +92,16 @@ def test_settled_split_equals_the_join_and_moves_no_rows(spark, tmp_dir):
     assert "Exchange" not in plan and "Join" not in plan
     plan = quality.settled(staged, quality.OUTLET_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_settled_by_written_keys_equals_valid(spark, few):
+    staged = _outlets(spark, [
+        ("USA", "f", 1, TS, "restaurant", "a", TS), ("USA", "f", 1, None, "restaurant", "b", TS),  # one key, good and bad
+        ("USA", "f", 2, TS, "restaurant", "c", TS), ("USA", None, 3, TS, "restaurant", "d", TS), ("USA", None, 3, None, "restaurant", "e", TS),
+        ("USA", "f", 4, TS, "restaurant", "g", TS), ("USA", "f", 4, TS, "restaurant", "g", TS), ("USA", "f", 5, None, "restaurant", "h", TS)])
+    earlier = spark.createDataFrame([("USA", "f", 4), ("USA", None, 3)], "market string, source_file string, file_row_number long")
+    now = quality.rejected(staged, quality.OUTLET_RULES).select(*quality.KEYS)
+    kept = quality.settled(staged, quality.OUTLET_RULES, "outlet", earlier, now, few)
+    assert sorted(r.raw_record for r in kept.collect()) == ["c", "d", "e"]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, quality.valid(staged, now.unionByName(earlier)).collect()))
